@@ -1 +1,162 @@
+"""Alert rules over the request log, on tables and on streams.
 
+The log holds about fourteen requests an hour, so windows are hours instead
+of minutes and the rate limits are scaled with them.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tablewarden.catalog.registry import query, r6, stamp
+from tablewarden.catalog.traffic import _ROUTED, TIER_SQL, routed
+from tablewarden.operators import alerts
+from tablewarden.spec import Thresholds
+from tablewarden.streaming.hold import ROCKSDB, hold_for
+from tablewarden.streaming.runner import run_available
+
+WIDTH, SLIDE = "1 hour", "30 minutes"
+LIMITS = Thresholds(error_rate=3 / 3600, latency_p95=8.0, low_confidence_share=0.3)
+
+_FMT = "'%Y-%m-%d %H:%M:%S'"
+# Every request in the two half-hour-aligned windows that cover it.
+SLIDING = _ROUTED + """,
+spread as (select *, time_bucket(interval 30 minutes, ts, timestamp '2024-01-01') - k*interval 30 minutes ws from routed, (values (0),(1)) x(k))"""
+
+
+def _stamped(df):
+    return r6(df.withColumns({c: stamp(c) for c, t in df.dtypes if t == "timestamp"}))
+
+
+_BOUNDS = f"strftime(ws,{_FMT}) window_start, strftime(ws + interval 1 hour,{_FMT}) window_end"
+
+
+@query("request_rate", f"{SLIDING} select {_BOUNDS}, destination, count(*)::bigint n, round(count(*)/3600.0::double,6) rate from spread group by ws, destination")
+def request_rate(spark, sf_dir):
+    return _stamped(alerts.request_rate(routed(spark, sf_dir), "ts", ["destination"], WIDTH, SLIDE))
+
+
+_ERRORS = f"""errors as (select ws, destination, count(*)::bigint n, count(*) filter (status='error')::bigint errors,
+ count(*) filter (status='error')/3600.0::double rate from spread group by ws, destination)"""
+
+
+def error_windows(df):
+    return alerts.error_rate(df, "ts", F.col("status") == "error", ["destination"], WIDTH, SLIDE, LIMITS)
+
+
+@query("alert_error_rate", f"{SLIDING}, {_ERRORS} select {_BOUNDS}, destination, n, errors, round(rate,6) rate, rate > 3/3600.0::double breached from errors")
+def alert_error_rate(spark, sf_dir):
+    return _stamped(error_windows(routed(spark, sf_dir)))
+
+
+@query("latency_p95", f"""{SLIDING}, q as (select ws, destination, quantile_cont(latency_s,0.95) p95 from spread group by all)
+select {_BOUNDS}, destination, round(p95,6) p95, p95 > 8 breached from q""")
+def latency_p95(spark, sf_dir):
+    return _stamped(alerts.latency_exact_p95(routed(spark, sf_dir), "ts", "latency_s", ["destination"], WIDTH, SLIDE, LIMITS))
+
+
+def _histogram_sql(source: str, group: str) -> str:
+    bounds = [b for b in alerts.LATENCY_BUCKETS if b != float("inf")]
+    counts = ", ".join(f"count(*) filter (latency_s <= {b}::double)" for b in bounds)
+    edges = ", ".join(f"{b}::double" for b in bounds)
+    return f"""hist as (select {group}, [{counts}, count(*)] c, count(*)::bigint n, [{edges}] b from {source} group by {group}),
+placed as (select *, list_position(list_transform(c, lambda x: x >= 0.95::double*n), true) i from hist),
+quant as (select {group}, n, case when i > {len(bounds)} then b[{len(bounds)}] else
+ coalesce(b[i-1],0) + (b[i]-coalesce(b[i-1],0))*(0.95::double*n-coalesce(c[i-1],0))/(c[i]-coalesce(c[i-1],0)) end p95 from placed)"""
+
+
+@query("histogram_quantile", f"{SLIDING}, {_histogram_sql('spread', 'ws, destination')} select {_BOUNDS}, destination, n, round(p95,6) p95, p95 > 8 breached from quant")
+def histogram_quantile(spark, sf_dir):
+    return _stamped(alerts.latency_histogram_p95(routed(spark, sf_dir), "ts", "latency_s", ["destination"], WIDTH, SLIDE, LIMITS))
+
+
+_SILENT = """seen as (select distinct date_trunc('hour', ts) ws, path from routed),
+calendar as (select unnest(generate_series((select min(ws) from seen), (select max(ws) from seen), interval 1 hour)) ws),
+silent as (select c.ws, p.path from calendar c, (select distinct path from seen) p where not exists (select 1 from seen s where s.ws=c.ws and s.path=p.path))"""
+
+
+@query("silent_series", f"{_ROUTED}, {_SILENT} select strftime(ws,{_FMT}) window_start, path from silent")
+def silent_series(spark, sf_dir):
+    return _stamped(alerts.silent_series(routed(spark, sf_dir), "ts", ["path"], "1 hour"))
+
+
+@query("alert_low_confidence", f"""{SLIDING}, t as (select ws, destination, count(*)::bigint n, count(*) filter ({TIER_SQL}='Low')::bigint low from spread group by ws, destination)
+select {_BOUNDS}, destination, n, low, round(low::double/n,6) "share", low::double/n > 0.3::double breached from t""")
+def alert_low_confidence(spark, sf_dir):
+    return _stamped(alerts.low_confidence_share(routed(spark, sf_dir), "ts", "p", ["destination"], WIDTH, SLIDE, LIMITS))
+
+
+@query("alert_imbalance", f"""{SLIDING}, t as (select ws, destination, count(*)::bigint n, count(*) filter (prediction=1)::bigint positives from spread group by ws, destination)
+select {_BOUNDS}, destination, n, positives, round(abs(positives::double/n-0.6::double),6) imbalance, abs(positives::double/n-0.6::double) > 0.15::double breached from t""")
+def alert_imbalance(spark, sf_dir):
+    return _stamped(alerts.prediction_imbalance(routed(spark, sf_dir), "ts", F.col("prediction") == 1, ["destination"], WIDTH, SLIDE, LIMITS))
+
+
+def _runs_sql(where: str = "true") -> str:
+    return f"""{_ERRORS},
+marks as (select destination, ws + interval 1 hour t, rate > 3/3600.0::double hot from errors where {where}),
+steps as (select *, epoch(t)::bigint//1800 - row_number() over (partition by destination order by t) run from marks where hot),
+runs as (select destination, min(t) a, max(t) b, count(*)::bigint evaluations from steps group by destination, run),
+spans as (select *, b - a >= interval 1 hour fires, b >= (select max(t) from marks) open_end from runs)"""
+
+
+@query("alert_sustained", f"""{SLIDING}, {_runs_sql()} select destination, strftime(a,{_FMT}) pending_since, strftime(b,{_FMT}) last_true, evaluations,
+ case when fires then strftime(a + interval 1 hour,{_FMT}) end firing_since, case when not open_end then strftime(b + interval 30 minutes,{_FMT}) end resolved_at,
+ case when fires and open_end then 'firing' when fires then 'resolved' when open_end then 'pending' else 'inactive' end state from spans""")
+def alert_sustained(spark, sf_dir):
+    windows = error_windows(routed(spark, sf_dir))
+    return _stamped(alerts.sustained(windows, "window_end", "breached", ["destination"], SLIDE, "1 hour"))
+
+
+@query("health_summary", f"""{_ROUTED}, {_SILENT}, hourly as (select *, date_trunc('hour', ts) ws from routed),
+{_histogram_sql('hourly', 'ws, path')},
+rates as (select ws, path, count(*) filter (status='error')/3600.0::double rate from hourly group by all),
+every as (select ws, path, rate <= 3/3600.0::double error_ok, p95 <= 8 latency_ok, true up from rates join quant using (ws, path)
+ union all select ws, path, true, true, false from silent)
+select strftime(ws,{_FMT}) window_start, bool_and(error_ok) error_ok, bool_and(latency_ok) latency_ok, bool_and(up) up,
+ bool_and(error_ok and latency_ok and up) healthy from every group by ws""")
+def health_summary(spark, sf_dir):
+    return _stamped(alerts.health_summary(
+        routed(spark, sf_dir), "ts", F.col("status") == "error", "latency_s", ["path"], "1 hour", LIMITS))
+
+
+# --- the same rules on a stream ---------------------------------------------------------------
+
+def event_stream(spark, sf_dir):
+    """The events file as a stream source."""
+    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
+    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+
+
+def routed_stream(spark, sf_dir, delay: str = "10 minutes"):
+    from tablewarden.catalog.views import labelled, request_columns
+    from tablewarden.operators.traffic import canary_assign
+
+    rows = labelled(request_columns(event_stream(spark, sf_dir)).withWatermark("ts", delay))
+    return canary_assign(rows, "event_id")
+
+
+# A window is out once the watermark has passed it: its end lies before the last event less the delay.
+_CLOSED = "ws + interval 1 hour <= (select max(ts) from request) - interval 10 minutes"
+
+
+@query("stream_error_rate", f"{SLIDING}, {_ERRORS} select {_BOUNDS}, destination, n, errors, round(rate,6) rate, rate > 3/3600.0::double breached from errors where {_CLOSED}")
+def stream_error_rate(spark, sf_dir):
+    """Append mode: the windows that the watermark has closed."""
+    windows, _ = run_available(error_windows(routed_stream(spark, sf_dir)), "error-rate")
+    return _stamped(windows)
+
+
+@query("stream_sustained", f"""{SLIDING}, {_runs_sql(_CLOSED)},
+moves as (select destination, a t, 'pending' state, a from spans
+ union all select destination, a + interval 1 hour, 'firing', a from spans where fires
+ union all select destination, b + interval 30 minutes, case when fires then 'resolved' else 'inactive' end, a from spans
+  where b < (select max(t) from marks m where m.destination = spans.destination))
+select destination, strftime(t,{_FMT}) "at", state, strftime(a,{_FMT}) pending_since from moves""")
+def stream_sustained(spark, sf_dir):
+    """Pending, firing and resolved transitions from the stateful rule."""
+    for key, value in ROCKSDB.items():
+        spark.conf.set(key, value)
+    windows = error_windows(routed_stream(spark, sf_dir))
+    events, _ = run_available(hold_for(windows, "window_end", "breached", ["destination"], SLIDE, "1 hour"), "hold")
+    return _stamped(events)

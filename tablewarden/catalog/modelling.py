@@ -1 +1,140 @@
+"""Training, cross-validation, scoring and continuous training.
 
+Learned models have no SQL to compare with; nearest neighbours do.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tablewarden.catalog.data import worded
+from tablewarden.catalog.drift import _report
+from tablewarden.catalog.registry import query, r6
+from tablewarden.catalog.views import labelled, request, subject, table
+from tablewarden.operators import models
+from tablewarden.operators.evaluate import evaluate
+from tablewarden.operators.knn import knn_join, knn_predict
+from tablewarden.operators.models import QUICK_SUITE, Candidate
+from tablewarden.plans import monitoring, prepare
+from tablewarden.plans.training import cross_validate, cv_summary, score_rows, train_suite, vectors
+from tablewarden.session import materialize, scratch_path
+from tablewarden.spec import SUBJECT
+from tablewarden.streaming.runner import run_available
+from tablewarden.streaming.scoring import score_stream
+
+_PARTS: dict[tuple[str, str], tuple] = {}
+
+
+def prepared(spark, sf_dir):
+    """(raw, state, train vectors, test vectors), prepared once per session and directory."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _PARTS:
+        rows = materialize(worded(subject(spark, sf_dir)), "subject")
+        done = prepare.run(rows, SUBJECT, validate=False)
+        parts = [
+            materialize(vectors(done.raw_parts(p), SUBJECT, done.state, dedup=True), f"{p}-vectors")
+            for p in ("train", "test")
+        ]
+        _PARTS[key] = (rows, done.state, *parts)
+    return _PARTS[key]
+
+
+def _trained(name: str, fit, **params):
+    """Fit on train, report the five test metrics."""
+
+    @query(name)
+    def run(spark, sf_dir):
+        _, _, train, test = prepared(spark, sf_dir)
+        model = Candidate(name.removeprefix("train_"), fit, params).train(train)
+        scored = evaluate(model.score(test), models.LABEL, "prediction", "probability")
+        return r6(scored.select(F.lit(model.name).alias("model"), "*"))
+
+    return run
+
+
+_trained("train_lr", models.fit_logistic, max_iter=1000)
+_trained("train_rf", models.fit_forest, trees=200, depth=20, min_split=10)
+_trained("train_gbt", models.fit_boosting, rounds=200, rate=0.1, depth=5)
+_trained("train_gbt_deep", models.fit_boosting_deep, rounds=200, rate=0.1, depth=7)
+_trained("train_gbt_hist", models.fit_boosting_hist, rounds=200, rate=0.1, depth=7)
+_trained("train_svm_rff", models.fit_svm)
+_trained("train_knn", models.fit_neighbours, k=7)
+
+
+@query("train_quick")
+def train_quick(spark, sf_dir):
+    """The quick suite without cross-validation."""
+    _, _, train, test = prepared(spark, sf_dir)
+    return train_suite(train, test, quick=True, cv=0).table(spark).drop("training_seconds", "cv_auc")
+
+
+@query("train_suite")
+def suite(spark, sf_dir):
+    """Two models with logs and stored models, and one that fails and is reported."""
+    _, _, train, test = prepared(spark, sf_dir)
+    broken = Candidate("broken", models.fit_forest, {"depth": 99})
+    found = train_suite(
+        train, test, suite=(QUICK_SUITE[0], broken, QUICK_SUITE[2]), cv=0,
+        log_path=scratch_path(spark, "runs"), model_path=scratch_path(spark, "models"))
+    return found.table(spark).select("model", "test_auc", F.col("error").isNotNull().alias("failed"))
+
+
+@query("cv_auc")
+def cv_auc(spark, sf_dir):
+    _, _, train, _ = prepared(spark, sf_dir)
+    return r6(cv_summary(cross_validate(QUICK_SUITE[0], train)))
+
+
+def _near(spark, sf_dir):
+    rows = table(spark, sf_dir, "embeddings")
+    train = rows.select(F.col("vec_id").alias("id"), F.col("embedding").alias("vec"), (F.col("label") >= 5).cast("double").alias("label"))
+    return train, rows.select(F.col("vec_id").alias("qid"), F.col("embedding").alias("vec"))
+
+
+_NEAR_SQL = """with e as (select vec_id, embedding::double[] v, (label>=5)::int y from embeddings),
+pairs as (select q.vec_id qid, t.vec_id id, t.y, list_distance(q.v, t.v) d from e q join e t on q.vec_id<>t.vec_id),
+near as (select * from pairs qualify row_number() over (partition by qid order by d, id) <= 7)"""
+
+
+@query("knn_predict", f"{_NEAR_SQL} select qid, round(avg(y),6) probability, (avg(y)>0.5)::double prediction from near group by qid")
+def knn_votes(spark, sf_dir):
+    """Every vector is classified by its nearest other vectors."""
+    train, asked = _near(spark, sf_dir)
+    return r6(knn_predict(train, asked, 7, exclude_self=True))
+
+
+@query("knn_neighbours", f"{_NEAR_SQL} select qid, id, round(d,5) dist from near")
+def knn_neighbours(spark, sf_dir):
+    train, asked = _near(spark, sf_dir)
+    return knn_join(train, asked, 7, exclude_self=True).select("qid", "id", F.round("dist", 5).alias("dist"))
+
+
+@query("score_batch")
+def score_batch(spark, sf_dir):
+    rows, state, train, _ = prepared(spark, sf_dir)
+    model = QUICK_SUITE[0].train(train)
+    scored = score_rows(rows.drop("outcome"), SUBJECT, state, model)
+    return r6(scored.select("subject_id", "prediction", "probability", "confidence", F.array_join("risk_factors", "; ").alias("risk_factors")))
+
+
+@query("stream_score")
+def stream_score(spark, sf_dir):
+    """The same answers as in a batch, from a stream of requests."""
+    rows, state, train, _ = prepared(spark, sf_dir)
+    model = QUICK_SUITE[0].train(train)
+    path = scratch_path(spark, "requests")
+    rows.drop("outcome").write.parquet(path)
+    stream = spark.readStream.schema(rows.drop("outcome").schema).parquet(path)
+    answers = score_stream(stream, SUBJECT, state, model).select(
+        "subject_id", "prediction", "probability", "confidence", "destination")
+    return r6(run_available(answers, "answers")[0])
+
+
+@query("continuous_training")
+def continuous(spark, sf_dir):
+    """Drift check, preparation, quick training, selection and the new baseline."""
+    rows = subject(spark, sf_dir)
+    found = monitoring.continuous_training(
+        spark, rows, SUBJECT, _report(spark, sf_dir), labelled(request(spark, sf_dir)), scratch_path(spark, "baseline"),
+        suite=QUICK_SUITE[:2], cv=0, force=True, auto_deploy=True, deploy_path=scratch_path(spark, "deployed"))
+    return found.drop("duration_seconds")

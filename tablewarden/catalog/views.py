@@ -61,8 +61,11 @@ def repeated(df: DataFrame) -> DataFrame:
 
 def request(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per event as a scoring request with a pseudo-probability."""
-    e = table(spark, sf_dir, "events")
-    return e.select(
+    return request_columns(table(spark, sf_dir, "events"))
+
+
+def request_columns(events: DataFrame) -> DataFrame:
+    return events.select(
         "event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id",
         F.when(F.col("event_type") == "error", "error").otherwise("ok").alias("status"),
         F.col("event_type").alias("path"),
