@@ -41,12 +41,17 @@ def remove_duplicates(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 
 
+def cells(
+    df: DataFrame, ids: Sequence[str], columns: Sequence[str], cast: str,
+    label: str = "column", value: str = "value",
+) -> DataFrame:
+    """(ids, column, value): one row per non-null cell of ``columns``, cast to one type."""
+    narrow = df.select(*ids, *[F.col(f"`{c}`").cast(cast).alias(c) for c in columns])
+    return narrow.unpivot(list(ids), [F.col(f"`{c}`") for c in columns], label, value).where(F.col(value).isNotNull())
+
+
 def long_form(df: DataFrame, columns: Sequence[str], cast: str) -> DataFrame:
-    """(column, value): one row per non-null cell of ``columns``."""
-    pairs = F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast(cast).alias("value")) for c in columns
-    ])
-    return df.select(F.inline(F.filter(pairs, lambda p: p["value"].isNotNull())))
+    return cells(df, [], columns, cast)
 
 
 def level_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:

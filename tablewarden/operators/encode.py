@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablewarden.operators.clean import level_counts, long_form
+from tablewarden.functions.sql import name, text
+from tablewarden.operators.clean import cells, level_counts, long_form
 from tablewarden.operators.features import yes_flag
 from tablewarden.operators.ranks import cumulate, range_bits
 from tablewarden.spec import AGE_BINS, SIZE_BINS, TableSpec
@@ -34,8 +35,8 @@ def categorical_columns(df: DataFrame, spec: TableSpec) -> list[str]:
     """Configured categories, then every other string column that is not binary or the target."""
     configured = [c for c in spec.categorical if c in df.columns]
     detected = [
-        name for name, dtype in df.dtypes
-        if dtype == "string" and name not in spec.binary and name != spec.target and name not in configured
+        c for c, dtype in df.dtypes
+        if dtype == "string" and c not in spec.binary and c != spec.target and c not in configured
     ]
     return configured + [c for c in detected if c not in spec.drop]
 
@@ -62,21 +63,22 @@ def onehot_name(column: str, level: str) -> str:
 
 
 def encode_onehot(df: DataFrame, levels: Mapping[str, Sequence[str]]) -> DataFrame:
-    """One boolean column per fitted level; null and unseen values are false everywhere."""
+    """One boolean column per fitted level; null and unseen values are false everywhere.
+
+    Written as SQL text: one string per column keeps the building of plans
+    with thousands of columns cheap.
+    """
+    rest = [name(c) for c in df.columns if c not in levels]
     dummies = [
-        F.coalesce(F.col(f"`{c}`").cast("string") == v, F.lit(False)).alias(onehot_name(c, v))
+        f"coalesce(cast({name(c)} as string) = {text(v)}, false) as {name(onehot_name(c, v))}"
         for c, vs in levels.items() for v in vs
     ]
-    rest = [F.col(f"`{c}`") for c in df.columns if c not in levels]
-    return df.select(*rest, *dummies)
+    return df.selectExpr(*rest, *dummies)
 
 
 def encode_onehot_sparse(df: DataFrame, id_col: str, columns: Sequence[str]) -> DataFrame:
     """(id, column, value) of the cells that are hot: any number of levels, no fit."""
-    pairs = F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("string").alias("value")) for c in columns
-    ])
-    return df.select(id_col, F.inline(F.filter(pairs, lambda p: p["value"].isNotNull())))
+    return cells(df, [id_col], columns, "string")
 
 
 # --- label and target --------------------------------------------------------------
@@ -106,11 +108,8 @@ def fit_label_codes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def fit_target_means(df: DataFrame, columns: Sequence[str], target: Column) -> DataFrame:
     """(column, value, code): mean of a 0/1 target per level, without smoothing."""
-    pairs = F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("string").alias("value")) for c in columns
-    ])
-    cells = df.select(target.cast("double").alias("__y"), F.inline(pairs))
-    return cells.where(F.col("value").isNotNull()).groupBy("column", "value").agg(F.avg("__y").alias("code"))
+    rows = cells(df.withColumn("__y", target.cast("double")), ["__y"], columns, "string")
+    return rows.groupBy("column", "value").agg(F.avg("__y").alias("code"))
 
 
 def apply_codes(df: DataFrame, codes: DataFrame, columns: Sequence[str], unseen: str = "error") -> DataFrame:
@@ -123,11 +122,12 @@ def apply_codes(df: DataFrame, codes: DataFrame, columns: Sequence[str], unseen:
     rows = codes.select("column", "value", "code").limit(MAX_LITERAL_CODES + 1).collect()
     literal = len(rows) <= MAX_LITERAL_CODES
 
-    def checked(name: str, code: Column) -> Column:
+    def checked(column: str, code: Column) -> Column:
         if unseen == "null":
             return code
-        problem = F.raise_error(F.concat(F.lit(f"unseen value in {name}: "), F.col(f"`{name}`").cast("string")))
-        return F.when(F.col(f"`{name}`").isNull() | code.isNotNull(), code).otherwise(problem)
+        value = F.col(name(column))
+        problem = F.raise_error(F.concat(F.lit(f"unseen value in {column}: "), value.cast("string")))
+        return F.when(value.isNull() | code.isNotNull(), code).otherwise(problem)
 
     if literal:
         out = {}
@@ -142,8 +142,3 @@ def apply_codes(df: DataFrame, codes: DataFrame, columns: Sequence[str], unseen:
         df = df.join(mine, F.col(f"`{c}`").cast("string") == F.col("__value"), "left")
         df = df.withColumn(c, checked(c, F.col("__code"))).drop("__value", "__code")
     return df
-
-
-def code_rows(codes: DataFrame) -> DataFrame:
-    """Codes in a readable order (for reports)."""
-    return codes.withColumn("pos", F.row_number().over(Window.partitionBy("column").orderBy("value")))

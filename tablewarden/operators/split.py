@@ -11,11 +11,13 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-HASH_RANGE_DIGITS = 4  # 65,536 ranges of the hash per stratum
+HASH_RANGE_DIGITS = 3  # 4,096 ranges of the hash per stratum
 MAX_STRATA = 1_000
 
 
@@ -50,61 +52,65 @@ class Cuts:
         return out
 
 
-def strata_sizes(df: DataFrame, stratum: str) -> dict[object, int]:
-    rows = df.groupBy(stratum).agg(F.count("*").alias("n")).limit(MAX_STRATA + 1).collect()
-    if len(rows) > MAX_STRATA:
-        raise ValueError(f"more than {MAX_STRATA} strata in {stratum}")
-    return dict(sorted(((r[stratum], r["n"]) for r in rows), key=lambda kv: (kv[0] is None, str(kv[0]))))
-
-
-def find_cuts(
-    df: DataFrame, stratum: str, id_col: str, seed: int, ranks: Mapping[object, Sequence[int]]
-) -> Cuts:
-    """Rows at the 1-based ``ranks`` of each stratum's hash order. Ids must be unique."""
-    key = row_hash(id_col, seed)
-    narrow = df.select(
-        F.col(stratum).alias("s"), F.col(id_col).alias("id"), key.alias("h"),
-        F.substring(key, 1, HASH_RANGE_DIGITS).alias("b"),
-    )
-    number = F.coalesce(*[F.when(F.col("s").eqNullSafe(F.lit(s)), i) for i, s in enumerate(ranks)])
-    # At most 65,536 count rows per stratum reach the window.
-    before = Window.partitionBy("si").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
-    ranged = narrow.withColumn("si", number).groupBy("si", "b").agg(F.count("*").alias("n"))
-    ranged = ranged.withColumn("below", F.coalesce(F.sum("n").over(before), F.lit(0)))
-    wanted = F.coalesce(*[
-        F.when(F.col("si") == i, F.array(*[F.lit(r).cast("long") for r in sorted(set(rs))]))
-        for i, rs in enumerate(ranks.values())
-    ])
-    hits = (
-        ranged.withColumn("r", F.explode(wanted))
-        .where((F.col("r") > F.col("below")) & (F.col("r") <= F.col("below") + F.col("n")))
-        .select("si", "b", "below", "r").collect()
-    )
-    at: dict[tuple[int, int], tuple[str, object]] = {}
-    if hits:
-        chosen = [(F.col("si") == h["si"]) & (F.col("b") == h["b"]) for h in {(h["si"], h["b"]): h for h in hits}.values()]
-        condition = chosen[0]
-        for c in chosen[1:]:
-            condition = condition | c
-        inside = Window.partitionBy("si", "b").orderBy("h", "id")
-        local = {}
-        for h in hits:
-            local.setdefault((h["si"], h["b"]), []).append(h["r"] - h["below"])
-        pick = None
-        for (si, b), rns in local.items():
-            test = (F.col("si") == si) & (F.col("b") == b) & F.col("rn").isin(*rns)
-            pick = test if pick is None else pick | test
-        found = (
-            narrow.withColumn("si", number).where(condition)
-            .withColumn("rn", F.row_number().over(inside)).where(pick).collect()
+class HashOrder:
+    """Row counts per stratum and hash range, from one job over two narrow columns.
+
+    At most ``MAX_STRATA`` times 4,096 counts come to the driver.
+    """
+
+    def __init__(self, df: DataFrame, stratum: str, id_col: str, seed: int):
+        self.stratum, self.id_col, self.seed = stratum, id_col, seed
+        key = row_hash(id_col, seed)
+        self.rows = df.select(
+            F.col(stratum).alias("s"), F.col(id_col).alias("id"), key.alias("h"),
+            F.conv(F.substring(key, 1, HASH_RANGE_DIGITS), 16, 10).cast("int").alias("b"),
         )
-        by_place = {(f["si"], f["b"], f["rn"]): (f["h"], f["id"]) for f in found}
-        for h in hits:
-            at[(h["si"], h["r"])] = by_place[(h["si"], h["b"], h["r"] - h["below"])]
-    points = {
-        s: tuple(at[(i, r)] if r > 0 else None for r in rs) for i, (s, rs) in enumerate(ranks.items())
-    }
-    return Cuts(seed, stratum, id_col, points)
+        limit = MAX_STRATA << (4 * HASH_RANGE_DIGITS)
+        counts = self.rows.groupBy("s", "b").agg(F.count("*").alias("n"))
+        found: dict[object, dict[int, int]] = {}
+        for r in counts.limit(limit + 1).collect():
+            found.setdefault(r["s"], {})[r["b"]] = r["n"]
+        if len(found) > MAX_STRATA:
+            raise ValueError(f"more than {MAX_STRATA} strata in {stratum}")
+        self.counts = dict(sorted(found.items(), key=lambda kv: (kv[0] is None, str(kv[0]))))
+
+    @property
+    def sizes(self) -> dict[object, int]:
+        return {s: sum(c.values()) for s, c in self.counts.items()}
+
+    def _places(self, ranks: Mapping[object, Sequence[int]]) -> dict[tuple[object, int], tuple[int, int]]:
+        """(stratum, rank) to the range that holds the rank and the rank inside it."""
+        out = {}
+        for s, wanted in ranks.items():
+            below, todo = 0, sorted({r for r in wanted if r > 0})
+            for b, n in sorted(self.counts[s].items()):
+                while todo and todo[0] <= below + n:
+                    rank = todo.pop(0)
+                    out[s, rank] = (b, rank - below)
+                below += n
+        return out
+
+    def cut(self, ranks: Mapping[object, Sequence[int]]) -> Cuts:
+        """Cuts after the rows at the 1-based ``ranks`` of each stratum. Ids must be unique."""
+        places = self._places(ranks)
+        # Only the ranges that hold a cut are ordered, each by itself.
+        chosen: dict[tuple[object, int], set[int]] = {}
+        for (s, _), (b, inner) in places.items():
+            chosen.setdefault((s, b), set()).add(inner)
+        at: dict[tuple[object, int, int], tuple[str, object]] = {}
+        if chosen:
+            def here(s, b):
+                return F.col("s").eqNullSafe(F.lit(s)) & (F.col("b") == b)
+
+            held = reduce(or_, [here(s, b) for s, b in chosen])
+            picked = reduce(or_, [here(s, b) & F.col("rn").isin(*inner) for (s, b), inner in chosen.items()])
+            order = Window.partitionBy("s", "b").orderBy("h", "id")
+            for r in self.rows.where(held).withColumn("rn", F.row_number().over(order)).where(picked).collect():
+                at[r["s"], r["b"], r["rn"]] = (r["h"], r["id"])
+        points = {
+            s: tuple(at[s, *places[s, r]] if r > 0 else None for r in wanted) for s, wanted in ranks.items()
+        }
+        return Cuts(self.seed, self.stratum, self.id_col, points)
 
 
 def _share_out(sizes: Sequence[int], draws: int) -> list[int]:
@@ -153,9 +159,9 @@ def stratified_split(
     test, validation, seed = test or 0.2, validation or 0.1, seed or 42
     names = ("test", "val", "train")
     if exact:
-        sizes = split_sizes(strata_sizes(df, target), test, validation)
-        ranks = {c: (t, t + v) for c, (t, v, _) in sizes.items()}
-        part = find_cuts(df, target, id_col, seed, ranks).part()
+        order = HashOrder(df, target, id_col, seed)
+        sizes = split_sizes(order.sizes, test, validation)
+        part = order.cut({c: (t, t + v) for c, (t, v, _) in sizes.items()}).part()
     else:
         u = hash_fraction(id_col, seed)
         part = F.when(u < test, 0).when(u < test + validation, 1).otherwise(2)
@@ -178,7 +184,8 @@ def fold_sizes(sizes: Mapping[object, int], folds: int) -> dict[object, list[int
 
 def cv_folds(df: DataFrame, target: str, id_col: str, folds: int = 5, seed: int = 42) -> DataFrame:
     """Add ``fold`` (0 .. folds-1): stratified, sizes differ by at most one per class."""
-    ranks = {}
-    for c, parts in fold_sizes(strata_sizes(df, target), folds).items():
-        ranks[c] = [sum(parts[: i + 1]) for i in range(folds - 1)]
-    return df.withColumn("fold", find_cuts(df, target, id_col, seed, ranks).part())
+    order = HashOrder(df, target, id_col, seed)
+    ranks = {
+        c: [sum(parts[: i + 1]) for i in range(folds - 1)] for c, parts in fold_sizes(order.sizes, folds).items()
+    }
+    return df.withColumn("fold", order.cut(ranks).part())

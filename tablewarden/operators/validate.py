@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablewarden.operators.clean import cells
 from tablewarden.spec import REQUEST_AGE, REQUEST_RATE, REQUEST_WORDS, ROLE_DOMAINS, TableSpec
 
 ISSUE_SCHEMA = "check string, column string, detail string, n bigint"
@@ -167,18 +168,10 @@ def validate_domain(df: DataFrame, spec: TableSpec) -> DataFrame:
     Allowed values are dropped before anything is shuffled.
     """
     domains = {c: v for c, v in spec.domains.items() if c in df.columns}
-    pairs = F.array(*[
-        F.struct(
-            F.lit(c).alias("column"),
-            F.when(~F.col(c).isin(*allowed), F.col(c).cast("string")).alias("detail"),
-        )
-        for c, allowed in domains.items()
-    ])
-    return (
-        df.select(F.inline(F.filter(pairs, lambda p: p["detail"].isNotNull())))
-        .groupBy("column", "detail").agg(F.count("*").alias("n"))
-        .select(F.lit("domain").alias("check"), "column", "detail", "n")
-    )
+    unexpected = df.select(*[F.when(~F.col(c).isin(*allowed), F.col(c)).alias(c) for c, allowed in domains.items()])
+    found = cells(unexpected, [], list(domains), "string", value="detail")
+    return found.groupBy("column", "detail").agg(F.count("*").alias("n")).select(
+        F.lit("domain").alias("check"), "column", "detail", "n")
 
 
 CHECKS = ("schema", "missing", "duplicates", "dtypes", "ranges", "domain")

@@ -144,8 +144,7 @@ def fit(
     derived = [c for c in NUMERIC_FEATURES if c in train.columns]
     if scaling == "robust":
         clean_rows = materialize(clean_rows, "fit-rows")
-    state.scaler = scale.fit_scaler(clean_rows, numeric, scaling)
-    state.feature_fill = clean.numeric_means(clean_rows, derived)
+    state.scaler, state.feature_fill = scale.fit_scaler_and_means(clean_rows, numeric, scaling, derived)
     if encoding in ("label", "target"):
         coded = encode.encode_binary(clean_rows, spec)
         columns = encode.categorical_columns(coded.drop(spec.target), spec)
@@ -226,19 +225,18 @@ def run(
     """Validate, derive features, split, fit on train and transform all three parts.
 
     Failed validation does not stop the run; the report says what was found.
-    The split and feature table is written once to the shared folder because
-    fitting and three transformations read it. ``parity=True`` takes the
+    The split rows are written once to the shared folder because fitting and
+    three transformations read them; derived features are a map over them. ``parity=True`` takes the
     interaction maxima from the whole table and imputation values and levels
     from each part, instead of from the training rows.
     """
     report = validation_report(df, spec) if validate else None
-    parts = stratified_split(df, spec.target, spec.id_col, seed=seed)
+    parts = materialize(stratified_split(df, spec.target, spec.id_col, seed=seed), "split-rows", ("split",))
     maxima = None
-    if engineer and spec.role("age", df.columns) and spec.role("size", df.columns):
-        maxima = interaction_maxima(parts if parity else parts.where("split = 'train'"), spec)
     if engineer:
+        if spec.role("age", df.columns) and spec.role("size", df.columns):
+            maxima = interaction_maxima(parts if parity else parts.where("split = 'train'"), spec)
         parts = engineer_features(parts, spec, maxima)
-    parts = materialize(parts, "split-features", ("split",))
 
     def part(name: str) -> DataFrame:
         return parts.where(F.col("split") == name).drop("split")
