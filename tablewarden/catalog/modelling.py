@@ -32,7 +32,7 @@ def prepared(spark, sf_dir):
         rows = materialize(worded(subject(spark, sf_dir)), "subject")
         done = prepare.run(rows, SUBJECT, validate=False)
         parts = [
-            materialize(vectors(done.raw_parts(p), SUBJECT, done.state, dedup=True), f"{p}-vectors")
+            materialize(vectors(done.raw_parts(p), SUBJECT, done.state, dedup=True), f"{p}-vectors", spread_by=models.ID)
             for p in ("train", "test")
         ]
         _PARTS[key] = (rows, done.state, *parts)
@@ -53,10 +53,11 @@ def _trained(name: str, fit, **params):
 
 
 _trained("train_lr", models.fit_logistic, max_iter=1000)
-_trained("train_rf", models.fit_forest, trees=200, depth=20, min_split=10)
-_trained("train_gbt", models.fit_boosting, rounds=200, rate=0.1, depth=5)
-_trained("train_gbt_deep", models.fit_boosting_deep, rounds=200, rate=0.1, depth=7)
-_trained("train_gbt_hist", models.fit_boosting_hist, rounds=200, rate=0.1, depth=7)
+# Depths and rates of the full suite, fewer trees; ``models.FULL_SUITE`` has the full sizes.
+_trained("train_rf", models.fit_forest, trees=50, depth=20, min_split=10)
+_trained("train_gbt", models.fit_boosting, rounds=20, rate=0.1, depth=5)
+_trained("train_gbt_deep", models.fit_boosting_deep, rounds=20, rate=0.1, depth=7)
+_trained("train_gbt_hist", models.fit_boosting_hist, rounds=20, rate=0.1, depth=7)
 _trained("train_svm_rff", models.fit_svm)
 _trained("train_knn", models.fit_neighbours, k=7)
 

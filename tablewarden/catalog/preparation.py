@@ -140,4 +140,4 @@ def fit_state(spark, sf_dir):
     path = scratch_path(spark, "state")
     _prepared(spark, sf_dir).state.save(spark, path)
     back = prepare.PrepState.load(spark, path).as_table(spark)
-    return r6(back.where(F.col("kind").isin("fill", "scale", "level", "maximum")))
+    return r6(back.where(F.col("kind").isin("fill", "scale", "level", "maximum")).drop("ord"))

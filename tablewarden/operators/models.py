@@ -105,7 +105,9 @@ def fit_forest(
     train: DataFrame, name: str = "random_forest", trees: int = 200, depth: int = 20, min_split: int = 10
 ) -> SparkModel:
     return _pipeline(name, train, RandomForestClassifier(
-        numTrees=trees, maxDepth=depth, minInstancesPerNode=max(1, min_split // 2), seed=42))
+        numTrees=trees, maxDepth=depth, minInstancesPerNode=max(1, min_split // 2), seed=42,
+        # More nodes per pass over the rows, and node ids kept instead of walking deep trees again.
+        maxMemoryInMB=1024, cacheNodeIds=True, checkpointInterval=10))
 
 
 def fit_boosting(

@@ -116,6 +116,8 @@ class HashOrder:
 def _share_out(sizes: Sequence[int], draws: int) -> list[int]:
     """Split ``draws`` over classes in proportion to ``sizes``: whole parts, then largest remainders."""
     total = sum(sizes)
+    if not total:
+        return [0] * len(sizes)
     whole = [s * draws // total for s in sizes]
     rest = sorted(range(len(sizes)), key=lambda i: (-(sizes[i] * draws % total), i))
     for i in rest[: draws - sum(whole)]:

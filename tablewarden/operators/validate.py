@@ -127,6 +127,8 @@ def _outside(col: Column, low, high) -> Column:
 def range_stats(df: DataFrame, spec: TableSpec) -> DataFrame:
     """(column, min_value, max_value, n): columns whose extremes leave their range."""
     ranges = {c: r for c, r in spec.ranges.items() if c in df.columns}
+    if not ranges:
+        return df.sparkSession.createDataFrame([], "column string, min_value double, max_value double, n bigint")
     aggs = []
     for c, (low, high) in ranges.items():
         aggs += [
@@ -168,6 +170,8 @@ def validate_domain(df: DataFrame, spec: TableSpec) -> DataFrame:
     Allowed values are dropped before anything is shuffled.
     """
     domains = {c: v for c, v in spec.domains.items() if c in df.columns}
+    if not domains:
+        return _none(df)
     unexpected = df.select(*[F.when(~F.col(c).isin(*allowed), F.col(c)).alias(c) for c, allowed in domains.items()])
     found = cells(unexpected, [], list(domains), "string", value="detail")
     return found.groupBy("column", "detail").agg(F.count("*").alias("n")).select(

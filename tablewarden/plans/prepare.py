@@ -16,7 +16,8 @@ from tablewarden.session import materialize
 from tablewarden.sources.tables import write_splits
 from tablewarden.spec import TableSpec
 
-STATE_SCHEMA = "kind string, column string, pos int, value_str string, value_dbl double"
+SPLITS = ("train", "test", "val")
+STATE_SCHEMA = "ord int, kind string, column string, pos int, value_str string, value_dbl double"
 
 
 @dataclass
@@ -48,7 +49,7 @@ class PrepState:
         out += [("feature_fill", c, 0, None, float(v)) for c, v in self.feature_fill.items()]
         out += [("maximum", c, 0, None, float(v)) for c, v in self.maxima.items()]
         out += [("feature", c, i, None, None) for i, c in enumerate(self.feature_names)]
-        return out
+        return [(i, *row) for i, row in enumerate(out)]
 
     def as_table(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame(self.rows(), STATE_SCHEMA)
@@ -61,7 +62,7 @@ class PrepState:
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> PrepState:
         state = cls()
-        for r in spark.read.parquet(f"{path}/state").orderBy("kind", "column", "pos").collect():
+        for r in spark.read.parquet(f"{path}/state").orderBy("ord").collect():
             kind, c = r["kind"], r["column"]
             if kind == "option":
                 setattr(state, c, r["value_str"])
@@ -75,8 +76,8 @@ class PrepState:
                 state.feature_fill[c] = r["value_dbl"]
             elif kind == "maximum":
                 state.maxima[c] = r["value_dbl"]
-        names = spark.read.parquet(f"{path}/state").where("kind = 'feature'").orderBy("pos").collect()
-        state.feature_names = [r["column"] for r in names]
+            elif kind == "feature":
+                state.feature_names.append(c)
         if state.encoding in ("label", "target"):
             state.codes = spark.read.parquet(f"{path}/codes")
         return state
@@ -152,19 +153,21 @@ def fit(
             encode.fit_label_codes(coded, columns) if encoding == "label"
             else encode.fit_target_means(coded, columns, F.col(spec.target))
         )
-    state.feature_names = [c for c in transform(train.limit(0), spec, state).columns if c != spec.target]
+    plain_names = [c for c in train.columns if c not in (*spec.drop, spec.target, *state.levels)]
+    state.feature_names = plain_names + [encode.onehot_name(c, v) for c, vs in state.levels.items() for v in vs]
     return state
 
 
 def transform(
     df: DataFrame, spec: TableSpec, state: PrepState, include_target: bool = True,
-    stats_from: str = "fit", dedup: bool = True, keep: Sequence[str] = (),
+    stats_from: str = "fit", dedup: bool = True, keep: Sequence[str] = (), within: Sequence[str] = (),
 ) -> DataFrame:
     """Apply a fitted state: drop, impute, deduplicate, encode, scale.
 
     Duplicates are removed after the id is gone, so subjects with equal
     features collapse. Training keeps one id per distinct row with ``keep``;
-    scoring keeps every row with ``dedup=False``. ``stats_from="self"`` takes imputation values and levels from
+    scoring keeps every row with ``dedup=False``. Columns in ``within`` pass
+    through and separate rows: equal rows collapse only inside them.``stats_from="self"`` takes imputation values and levels from
     ``df`` instead of the state.
     """
     fill, levels = state.fill, state.levels
@@ -181,7 +184,7 @@ def transform(
     if state.encoding == "onehot":
         tail = encode.encode_onehot(tail, levels)
     elif state.codes is not None:
-        columns = [c for c in encode.categorical_columns(tail, spec) if c not in keep]
+        columns = [c for c in encode.categorical_columns(tail, spec) if c not in (*keep, *within)]
         tail = encode.apply_codes(tail, state.codes, columns, "error" if state.encoding == "label" else "null")
     tail = scale.apply_scaler(tail, state.scaler)
     features = [c for c in tail.columns if c != "__target"]
@@ -238,23 +241,28 @@ def run(
             maxima = interaction_maxima(parts if parity else parts.where("split = 'train'"), spec)
         parts = engineer_features(parts, spec, maxima)
 
-    def part(name: str) -> DataFrame:
-        return parts.where(F.col("split") == name).drop("split")
+    def part(frame: DataFrame, name: str) -> DataFrame:
+        return frame.where(F.col("split") == name).drop("split")
 
-    state = fit(part("train"), spec, strategy, scaling, encoding, maxima)
-    source = "self" if parity else "fit"
-    done = {
-        name: transform(part(name), spec, state, stats_from="fit" if name == "train" else source)
-        for name in ("train", "test", "val")
-    }
+    state = fit(part(parts, "train"), spec, strategy, scaling, encoding, maxima)
+    if parity:
+        done = {
+            name: transform(part(parts, name), spec, state, stats_from="fit" if name == "train" else "self")
+            for name in SPLITS
+        }
+    else:
+        # One plan for all parts. The split is part of every row's identity, so a
+        # filter on it reaches the stored folders through the duplicate removal.
+        whole = transform(parts, spec, state, within=("split",))
+        done = {name: part(whole, name) for name in SPLITS}
     result = Prepared(done["train"], done["test"], done["val"], state, spec, report, parts)
     if save_to:
         if parity:
             raise ValueError("parts with their own levels have no common schema to save under")
         spark = df.sparkSession
-        write_splits(result.all_rows(), f"{save_to}/splits")
+        write_splits(whole, f"{save_to}/splits")
         state.save(spark, f"{save_to}/state")
-        stored = spark.read.parquet(f"{save_to}/splits")
-        for name in done:
-            setattr(result, name, stored.where(F.col("split") == name).drop("split"))
+        stored = spark.read.schema(whole.schema).parquet(f"{save_to}/splits")
+        for name in SPLITS:
+            setattr(result, name, part(stored, name))
     return result

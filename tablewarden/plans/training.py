@@ -88,7 +88,7 @@ def train_suite(
     """
     spark = train.sparkSession
     suite = suite if suite is not None else (QUICK_SUITE if quick else FULL_SUITE)
-    train, test = materialize(train, "train-vectors"), materialize(test, "test-vectors")
+    train, test = (materialize(df, "vectors", spread_by=ID) for df in (train, test))
     sizes = {"train_samples": train.count(), "test_samples": test.count()}
     result = TrainedSuite()
     for candidate in suite:

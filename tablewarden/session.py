@@ -42,12 +42,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+def materialize(
+    df: DataFrame, name: str, partition_by: tuple[str, ...] = (), spread_by: str | None = None
+) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
     For tables that several later jobs read: it cuts the lineage and survives
-    the loss of executors, which a cache does not.
+    the loss of executors, which a cache does not. ``spread_by`` names a
+    column to spread the rows by over all shuffle partitions, for iterative
+    jobs that would otherwise run on the few partitions a small table has.
     """
-    path = scratch_path(df.sparkSession, name)
-    df.write.partitionBy(*partition_by).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    out = df
+    if spread_by:
+        out = df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), spread_by)
+    out.write.partitionBy(*partition_by).parquet(path)
+    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
