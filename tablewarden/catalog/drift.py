@@ -8,7 +8,7 @@ from tablewarden.catalog.evaluation import metrics_cte
 from tablewarden.catalog.features import FEATURE_SQL, NUMERIC, feature_sql
 from tablewarden.catalog.registry import query, r6, stamp
 from tablewarden.catalog.views import (
-    REFERENCE_END, REQUEST_CTE, SUBJECT_CTE, labelled, request, sided, sided_subject, subject, table,
+    REFERENCE_END, REQUEST_CTE, SUBJECT_CTE, labelled, request, sided, sided_subject, stored_subject, subject, table,
 )
 from tablewarden.operators import drift
 from tablewarden.operators.features import NUMERIC_FEATURES, engineer_features
@@ -98,7 +98,7 @@ report as (select feature, 'numerical' "type", d stat, p from ks union all selec
 
 
 def _report(spark, sf_dir):
-    rows = engineer_features(sided_subject(subject(spark, sf_dir)), SUBJECT)
+    rows = engineer_features(sided_subject(stored_subject(spark, sf_dir)), SUBJECT)
     return drift.feature_drift_report(rows, "is_ref", skip=["subject_id", "outcome"])
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tablewarden.catalog.features import FEATURE_SQL, FLOAT_FEATURES, LEVELS, NUMERIC, feature_sql
 from tablewarden.catalog.registry import query, r6
-from tablewarden.catalog.views import SUBJECT_CTE, split_cte, subject, table
+from tablewarden.catalog.views import SUBJECT_CTE, split_cte, stored_subject, subject, table
 from tablewarden.operators.encode import BINNED_LEVELS
 from tablewarden.operators.features import NUMERIC_FEATURES
 from tablewarden.operators.split import cv_folds, stratified_split
@@ -89,7 +89,7 @@ _PREPARED = prepared_cte()
 
 
 def _prepared(spark, sf_dir, **options):
-    return prepare.run(subject(spark, sf_dir), SUBJECT, validate=False, **options)
+    return prepare.run(stored_subject(spark, sf_dir), SUBJECT, validate=False, **options)
 
 
 @query("preprocess_train", f"{_PREPARED} select * exclude (split) from done where split='train'")
@@ -107,7 +107,7 @@ def preprocess_test(spark, sf_dir):
  from done group by split""")
 def prepare_splits(spark, sf_dir):
     """Validate, derive, split, fit, transform and save, then a summary of the saved parts."""
-    done = prepare.run(subject(spark, sf_dir), SUBJECT, save_to=scratch_path(spark, "prepared"))
+    done = prepare.run(stored_subject(spark, sf_dir), SUBJECT, save_to=scratch_path(spark, "prepared"))
     parts = None
     for name, df in done.frames().items():
         part = df.select(F.lit(name).alias("split"), "outcome", "size_mm", "cost", "risk_score", "bmi_Normal", "cost_per_mm")

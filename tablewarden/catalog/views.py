@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablewarden.session import materialize
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -54,6 +56,11 @@ def subject(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stored_subject(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The view as a stored table, for plans that read their input several times."""
+    return materialize(subject(spark, sf_dir), "subject")
+
+
 def repeated(df: DataFrame) -> DataFrame:
     """The table with one screening group present twice."""
     return df.unionAll(df.where("screening = 'Never'"))

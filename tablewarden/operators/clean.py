@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tablewarden.functions.sql import name, text
 from tablewarden.operators.ranks import exact_quantiles
 from tablewarden.spec import TableSpec
 
@@ -46,8 +47,11 @@ def cells(
     label: str = "column", value: str = "value",
 ) -> DataFrame:
     """(ids, column, value): one row per non-null cell of ``columns``, cast to one type."""
-    narrow = df.select(*ids, *[F.col(f"`{c}`").cast(cast).alias(c) for c in columns])
-    return narrow.unpivot(list(ids), [F.col(f"`{c}`") for c in columns], label, value).where(F.col(value).isNotNull())
+    # A generator keeps the identity of the id columns, which lets plans that use the
+    # result several times share its shuffle; the unpivot operator would not.
+    pairs = ", ".join(f"{text(c)}, cast({name(c)} as {cast})" for c in columns)
+    stacked = f"stack({len(columns)}, {pairs}) as ({name(label)}, {name(value)})"
+    return df.selectExpr(*[name(c) for c in ids], stacked).where(F.col(value).isNotNull())
 
 
 def long_form(df: DataFrame, columns: Sequence[str], cast: str) -> DataFrame:
@@ -68,7 +72,7 @@ def numeric_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float]:
     """Exact medians of all columns, with linear interpolation between the middle values."""
     if not columns:
         return {}
-    found = exact_quantiles(long_form(df, columns, "double"), ["column"], "value", [0.5])
+    found = exact_quantiles(long_form(df, columns, "double"), ["column"], "value", [0.5], few_keys=True)
     return {r["column"]: r["quantile"] for r in found.collect()}
 
 

@@ -102,7 +102,8 @@ def fit_label_codes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column, value, code): rank of each level among the sorted levels of its column."""
     levels = long_form(df, columns, "string").distinct().withColumn("one", F.lit(1).cast("long"))
     bits = range_bits(df)
-    placed = cumulate(levels, ["column"], "value", ["one"], _string_bounds(levels.drop("one"), columns, bits), bits)
+    bounds = _string_bounds(levels.drop("one"), columns, bits)
+    placed = cumulate(levels, ["column"], "value", ["one"], bounds, bits, few_keys=True)
     return placed.select("column", "value", F.col("below_one").alias("code"))
 
 

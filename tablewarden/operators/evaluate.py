@@ -49,8 +49,8 @@ def roc_auc(df: DataFrame, label: str, score: str, keys: Sequence[str] = ()) ->
         F.count_if(y == 1).alias("pos"), F.count_if(y == 0).alias("neg")
     )
     won = F.sum(F.col("pos") * (F.col("below_neg") + F.col("neg") / 2.0))
-    pairs = F.sum("pos").cast("double") * F.sum("neg").cast("double")
-    return cumulate(counts, keys, score, ["neg"]).groupBy(*keys).agg(F.try_divide(won, pairs).alias("auc"))
+    pairs = F.max("total_pos").cast("double") * F.max("total_neg").cast("double")
+    return cumulate(counts, keys, score, ["pos", "neg"]).groupBy(*keys).agg(F.try_divide(won, pairs).alias("auc"))
 
 
 def evaluate(

@@ -34,13 +34,15 @@ def range_of(value: Column, bounds: Column, bits: int) -> Column:
     )
 
 
-def numeric_bounds(counts: DataFrame, keys: Sequence[str], value: str, bits: int) -> DataFrame:
-    """One row per key: ``2**bits - 1`` approximate quantiles of its distinct values."""
+def numeric_bounds(value: str, bits: int) -> Column:
+    """Aggregate: ``2**bits - 1`` approximate quantiles of the distinct values."""
     parts = 1 << bits
-    cuts = [i / parts for i in range(1, parts)]
-    return counts.groupBy(*keys).agg(
-        F.percentile_approx(value, cuts, max(1000, 4 * parts)).alias("__bounds")
-    )
+    return F.percentile_approx(value, [i / parts for i in range(1, parts)], max(1000, 4 * parts))
+
+
+def per_key(df: DataFrame, few_keys: bool) -> DataFrame:
+    """One row per key, to be joined. It is broadcast only where the caller knows the keys are few."""
+    return F.broadcast(df) if few_keys else df
 
 
 def cumulate(
@@ -50,42 +52,57 @@ def cumulate(
     measures: Sequence[str],
     bounds: DataFrame | None = None,
     bits: int | None = None,
+    few_keys: bool = False,
+    unique: bool = True,
 ) -> DataFrame:
-    """Add ``below_<m>``: the sum of measure ``m`` over smaller values of the same key.
+    """Add ``below_<m>``, the sum of measure ``m`` over smaller values of the same key, and ``total_<m>``, over all.
 
-    ``counts`` holds one row per (keys, value), or several where equal values
-    carry different measures. Key sets are joined to their bounds and range
-    totals without a broadcast hint; both are small (one row per key, and one
-    per key and range), which adaptive execution sees at run time.
+    ``counts`` holds one row per (keys, value); with ``unique=False`` it may
+    hold several that differ in other columns. ``few_keys`` says that the keys
+    are names of columns, so tables with one row per key may be broadcast.
+    Otherwise adaptive execution picks the join from their sizes at run time.
+
+    ``counts`` is read three times, always with the same columns as long as
+    the caller uses the totals, so its shuffle is written once and reused.
     """
     keys = list(keys)
     bits = bits or range_bits(counts)
+    sums = [F.sum(m).alias(f"total_{m}") for m in measures]
     if bounds is None:
-        bounds = numeric_bounds(counts, keys, value, bits)
+        guide = counts.groupBy(*keys).agg(numeric_bounds(value, bits).alias("__bounds"), *sums)
+    else:
+        guide = bounds.join(counts.groupBy(*keys).agg(*sums), keys)
     if keys:
-        ranged = counts.join(bounds, keys)
+        ranged = counts.join(per_key(guide, few_keys), keys)
     else:
-        ranged = counts.withColumn("__bounds", bounds.scalar())
+        whole = guide.select(F.struct(*guide.columns).alias("g")).scalar()
+        ranged = counts.withColumn("__guide", whole).select(*counts.columns, "__guide.*")
     ranged = ranged.withColumn("__range", range_of(F.col(value), F.col("__bounds"), bits)).drop("__bounds")
 
-    totals = ranged.groupBy(*keys, "__range").agg(*[F.sum(m).alias(f"__total_{m}") for m in measures])
-    before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
-    if keys:
-        before = Window.partitionBy(*keys).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    totals = ranged.groupBy(*keys, "__range", *[f"total_{m}" for m in measures]).agg(
+        *[F.sum(m).alias(f"__sum_{m}") for m in measures]
+    )
+    # What lies before a range is the total less what follows. (Both uses of the guide then
+    # read the same columns of it.) The windows see at most 4,096 rows per key.
+    rest = Window.partitionBy(*keys).orderBy("__range").rowsBetween(Window.currentRow, Window.unboundedFollowing)
     offsets = totals.select(
         *keys,
         "__range",
-        *[F.coalesce(F.sum(f"__total_{m}").over(before), F.lit(0)).alias(f"__before_{m}") for m in measures],
+        *[(F.col(f"total_{m}") - F.sum(f"__sum_{m}").over(rest)).alias(f"__before_{m}") for m in measures],
     )
     inside = Window.partitionBy(*keys, "__range").orderBy(value)
+    smaller = inside.rowsBetween(Window.unboundedPreceding, -1)
     upto = inside.rangeBetween(Window.unboundedPreceding, Window.currentRow)
     same = Window.partitionBy(*keys, "__range", value)
     placed = ranged.join(offsets, [*keys, "__range"])
-    for m in measures:
-        placed = placed.withColumn(
-            f"below_{m}", F.col(f"__before_{m}") + F.sum(m).over(upto) - F.sum(m).over(same)
-        )
-    return placed.drop("__range", *[f"__before_{m}" for m in measures])
+
+    def below(m: str) -> Column:
+        if unique:
+            return F.coalesce(F.sum(m).over(smaller), F.lit(0))
+        return F.sum(m).over(upto) - F.sum(m).over(same)
+
+    found = [(F.col(f"__before_{m}") + below(m)).alias(f"below_{m}") for m in measures]
+    return placed.select(*counts.columns, *found, *[f"total_{m}" for m in measures])
 
 
 def value_counts(df: DataFrame, keys: Sequence[str], value: str, weight: str | None = None) -> DataFrame:
@@ -95,25 +112,22 @@ def value_counts(df: DataFrame, keys: Sequence[str], value: str, weight: str | N
 
 
 def exact_quantiles(
-    df: DataFrame, keys: Sequence[str], value: str, fractions: Sequence[float], weight: str | None = None
+    df: DataFrame, keys: Sequence[str], value: str, fractions: Sequence[float],
+    weight: str | None = None, few_keys: bool = False,
 ) -> DataFrame:
     """Exact quantiles with linear interpolation: (keys, fraction, quantile).
 
-    ``weight`` names a column that says how often a row counts.
+    ``weight`` names a column that says how often a row counts; ``few_keys``
+    is as in :func:`cumulate`.
     """
     keys = list(keys)
     counts = value_counts(df, keys, value, weight)
-    placed = cumulate(counts, keys, value, ["n"])
-    totals = counts.groupBy(*keys).agg(F.sum("n").alias("__rows"))
-    if keys:
-        placed = placed.join(totals, keys)
-    else:
-        placed = placed.withColumn("__rows", totals.scalar())
+    placed = cumulate(counts, keys, value, ["n"], few_keys=few_keys)
     wanted = placed.select(
-        *keys, value, "n", "below_n", "__rows",
+        *keys, value, "n", "below_n", "total_n",
         F.explode(F.array(*[F.lit(float(f)) for f in fractions])).alias("fraction"),
     )
-    position = F.col("fraction") * (F.col("__rows") - 1)
+    position = F.col("fraction") * (F.col("total_n") - 1)
     lower, upper = F.floor(position), F.ceil(position)
     first, last = F.col("below_n"), F.col("below_n") + F.col("n") - 1
     holds_lower = (first <= lower) & (lower <= last)

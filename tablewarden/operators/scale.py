@@ -35,7 +35,7 @@ def fit_scaler_and_means(
 
 def _quartiles(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float, float]]:
     """(median, interquartile range) of all columns in one plan."""
-    found = exact_quantiles(long_form(df, columns, "double"), ["column"], "value", [0.25, 0.5, 0.75])
+    found = exact_quantiles(long_form(df, columns, "double"), ["column"], "value", [0.25, 0.5, 0.75], few_keys=True)
     by_column: dict[str, dict[float, float]] = {}
     for r in found.collect():
         by_column.setdefault(r["column"], {})[r["fraction"]] = r["quantile"]

@@ -65,24 +65,79 @@ def table_profile(df: DataFrame) -> DataFrame:
     )
 
 
-def validate_schema(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """Columns the table lacks or should not have; ``n`` counts the values concerned."""
+# A check that one pass can answer is a pair: its aggregates, and the issues built from them.
+Parts = tuple[list[Column], list[Column]]
+
+
+def _schema_parts(df: DataFrame, spec: TableSpec) -> Parts:
     missing = [c for c in spec.expected_columns if c not in df.columns]
     extra = [c for c in df.columns if c not in spec.expected_columns]
-    if not (missing or extra):
-        return _none(df)
-    stats = df.agg(F.count("*").alias("__rows"), *[F.count(f"`{c}`").alias(c) for c in extra])
-    return _rows(
-        stats,
-        [_issue("schema", c, "missing", F.col("__rows")) for c in missing]
-        + [_issue("schema", c, "unexpected", F.col(f"`{c}`")) for c in extra],
+    aggs = [F.count("*").alias("__rows")] if missing else []
+    aggs += [F.count(f"`{c}`").alias(f"extra__{c}") for c in extra]
+    issues = [_issue("schema", c, "missing", F.col("__rows")) for c in missing]
+    issues += [_issue("schema", c, "unexpected", F.col(f"`extra__{c}`")) for c in extra]
+    return aggs, issues
+
+
+def _missing_parts(df: DataFrame) -> Parts:
+    return (
+        [F.count_if(F.col(f"`{c}`").isNull()).alias(f"null__{c}") for c in df.columns],
+        [_issue("missing", c, "null values", F.col(f"`null__{c}`")) for c in df.columns],
     )
 
 
+def _dtype_parts(df: DataFrame, spec: TableSpec) -> Parts:
+    aggs, issues = [], []
+    for f in df.schema.fields:
+        if f.name in spec.numerical and not isinstance(f.dataType, (T.NumericType, T.BooleanType)):
+            value = F.col(f"`{f.name}`")
+            bad = value.isNotNull() & value.cast("string").try_cast("double").isNull()
+            aggs.append(F.count_if(bad).alias(f"type__{f.name}"))
+            found = f"expected numeric, got {f.dataType.simpleString()}"
+            issues.append(_issue("dtypes", f.name, found, F.col(f"`type__{f.name}`")))
+    return aggs, issues
+
+
+def _range_parts(df: DataFrame, spec: TableSpec) -> Parts:
+    aggs, issues = [], []
+    for c, (low, high) in spec.ranges.items():
+        if c in df.columns:
+            aggs += [
+                F.min(c).cast("double").alias(f"min__{c}"),
+                F.max(c).cast("double").alias(f"max__{c}"),
+                F.count_if(_outside(F.col(c), low, high)).alias(f"out__{c}"),
+            ]
+            found = F.format_string("out of range: %s - %s", f"min__{c}", f"max__{c}")
+            issues.append(_issue("ranges", c, found, F.col(f"out__{c}")))
+    return aggs, issues
+
+
+def _one_pass(df: DataFrame, *parts: Parts) -> DataFrame:
+    """Issues of several checks from one scan; counts of 0 are issues only where the names alone decide."""
+    aggs, issues = [a for p in parts for a in p[0]], [i for p in parts for i in p[1]]
+    if not issues:
+        return _none(df)
+    return _rows(df.agg(*aggs), issues).where(F.col("check").isin("schema", "dtypes") | (F.col("n") > 0))
+
+
+def validate_schema(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """Columns the table lacks or should not have; ``n`` counts the values concerned."""
+    return _one_pass(df, _schema_parts(df, spec))
+
+
 def validate_missing(df: DataFrame) -> DataFrame:
-    stats = df.agg(*[F.count_if(F.col(f"`{c}`").isNull()).alias(c) for c in df.columns])
-    issues = [_issue("missing", c, "null values", F.col(f"`{c}`")) for c in df.columns]
-    return _rows(stats, issues).where("n > 0")
+    """Columns with nulls and how many."""
+    return _one_pass(df, _missing_parts(df))
+
+
+def validate_dtypes(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """Numeric columns stored as something else; ``n`` counts values that are no number."""
+    return _one_pass(df, _dtype_parts(df, spec))
+
+
+def validate_ranges(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """Columns whose extremes leave their range; ``n`` counts the rows outside. Nulls are ignored."""
+    return _one_pass(df, _range_parts(df, spec))
 
 
 def duplicate_count(df: DataFrame) -> DataFrame:
@@ -100,24 +155,6 @@ def validate_duplicates(df: DataFrame) -> DataFrame:
     return _rows(duplicate_count(df), [_issue("duplicates", "*", "repeated rows", F.col("n"))]).where("n > 0")
 
 
-def validate_dtypes(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """Numeric columns stored as something else; ``n`` counts values that are no number."""
-    wrong = [
-        f for f in df.schema.fields
-        if f.name in spec.numerical and not isinstance(f.dataType, (T.NumericType, T.BooleanType))
-    ]
-    if not wrong:
-        return _none(df)
-    bad = [
-        F.count_if(F.col(f.name).isNotNull() & F.col(f.name).cast("string").try_cast("double").isNull()).alias(f.name)
-        for f in wrong
-    ]
-    return _rows(
-        df.agg(*bad),
-        [_issue("dtypes", f.name, f"expected numeric, got {f.dataType.simpleString()}", F.col(f.name)) for f in wrong],
-    )
-
-
 def _outside(col: Column, low, high) -> Column:
     tests = [col < low] if low is not None else []
     tests += [col > high] if high is not None else []
@@ -125,34 +162,16 @@ def _outside(col: Column, low, high) -> Column:
 
 
 def range_stats(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """(column, min_value, max_value, n): columns whose extremes leave their range."""
-    ranges = {c: r for c, r in spec.ranges.items() if c in df.columns}
-    if not ranges:
-        return df.sparkSession.createDataFrame([], "column string, min_value double, max_value double, n bigint")
-    aggs = []
-    for c, (low, high) in ranges.items():
-        aggs += [
-            F.min(c).cast("double").alias(f"{c}__min"),
-            F.max(c).cast("double").alias(f"{c}__max"),
-            F.count_if(_outside(F.col(c), low, high)).alias(f"{c}__n"),
-        ]
-    return _rows(
-        df.agg(*aggs),
-        [
-            F.struct(
-                F.lit(c).alias("column"), F.col(f"{c}__min").alias("min_value"),
-                F.col(f"{c}__max").alias("max_value"), F.col(f"{c}__n").alias("n"),
-            )
-            for c in ranges
-        ],
-    ).where("n > 0")
-
-
-def validate_ranges(df: DataFrame, spec: TableSpec) -> DataFrame:
-    return range_stats(df, spec).select(
-        F.lit("ranges").alias("check"), "column",
-        F.format_string("out of range: %s - %s", "min_value", "max_value").alias("detail"), "n",
-    )
+    """(column, min_value, max_value, n): the range issues with their extremes as numbers."""
+    aggs, _ = _range_parts(df, spec)
+    stats = [
+        F.struct(
+            F.lit(c).alias("column"), F.col(f"min__{c}").alias("min_value"),
+            F.col(f"max__{c}").alias("max_value"), F.col(f"out__{c}").alias("n"),
+        )
+        for c in spec.ranges if c in df.columns
+    ]
+    return _rows(df.agg(*aggs), stats).where("n > 0")
 
 
 def range_violations(df: DataFrame, spec: TableSpec) -> DataFrame:
@@ -182,12 +201,10 @@ CHECKS = ("schema", "missing", "duplicates", "dtypes", "ranges", "domain")
 
 
 def validation_issues(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """All issue rows of the six checks."""
-    parts = [
-        validate_schema(df, spec), validate_missing(df), validate_duplicates(df),
-        validate_dtypes(df, spec), validate_ranges(df, spec), validate_domain(df, spec),
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    """All issue rows of the six checks, from three scans: simple counts, duplicates, domains."""
+    simple = _one_pass(
+        df, _schema_parts(df, spec), _missing_parts(df), _dtype_parts(df, spec), _range_parts(df, spec))
+    return simple.unionByName(validate_duplicates(df)).unionByName(validate_domain(df, spec))
 
 
 def validation_report(df: DataFrame, spec: TableSpec) -> DataFrame:
