@@ -9,12 +9,12 @@ from tablewarden.catalog.views import (
     REPEATED_CTE, REQUEST_CTE, REFERENCE_END, SUBJECT_CTE, labelled, repeated, request, split_cte, subject,
 )
 from tablewarden.operators import clean, validate
-from tablewarden.operators.evaluate import binary_metrics, evaluate, metric_rows
+from tablewarden.operators.evaluate import binary_metrics, metric_rows
 from tablewarden.operators.features import engineer_features
 from tablewarden.operators.split import stratified_split
 from tablewarden.session import scratch_path
 from tablewarden.sources import runlog, tables
-from tablewarden.spec import METRICS, SUBJECT
+from tablewarden.spec import SUBJECT
 
 COLUMNS = SUBJECT.expected_columns
 NUMERIC = SUBJECT.numerical
@@ -256,5 +256,3 @@ def request_constraints(spark, sf_dir):
     checked = validate.request_constraints(worded(subject(spark, sf_dir)), SUBJECT)
     return checked.select("subject_id", F.array_join("errors", "; ").alias("errors"))
 
-
-__all__ = ["METRICS", "evaluate", "worded"]
