@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewarden.llm import bpe, mixture, shards, sketch, urls
+from tablewarden.llm import bpe, html, mixture, shards, sketch, toxicity, urls
 from tablewarden.llm.registry import query, table
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -39,6 +39,11 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture.mix(table(spark, sf_dir, "documents"))
 
 
+@query("op2_main_text")
+def op2_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
 @query("op4_fingerprints")
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sketch.edit_likeness(table(spark, sf_dir, "documents"))
@@ -60,6 +65,13 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), vocabulary())
 
 
+@query("op9_toxicity")
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    model = toxicity.fit(documents, table(spark, sf_dir, "labels"))
+    return toxicity.score(documents, model).drop("passages")
+
+
 @query("op10_shards")
 def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.interleave(table(spark, sf_dir, "documents"))

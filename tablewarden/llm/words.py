@@ -77,13 +77,15 @@ def lower(data: np.ndarray) -> np.ndarray:
     return _LOWER[data]
 
 
-def spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def spans(
+    data: np.ndarray, offsets: np.ndarray, separator: np.ndarray = _SPACE
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end of every word, and for each text the index of its first word (n + 1 entries)."""
     n = len(data)
     if not n:
         none = np.zeros(0, dtype=np.int64)
         return none, none, np.zeros(len(offsets), dtype=np.int64)
-    space = _SPACE[data]
+    space = separator[data]
     cut = np.zeros(n + 1, dtype=bool)
     cut[offsets] = True
     cut[1:n] |= space[: n - 1]
