@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewarden.llm import bpe, html, mixture, shards, sketch, toxicity, urls
+from tablewarden.llm import bpe, html, mixture, neardup, shards, sketch, toxicity, urls, vectors
 from tablewarden.llm.registry import query, table
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -44,6 +44,11 @@ def op2_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(table(spark, sf_dir, "pages"))
 
 
+@query("op3_near_documents")
+def op3_near_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.groups(table(spark, sf_dir, "documents")).drop("node", "class_node")
+
+
 @query("op4_fingerprints")
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sketch.edit_likeness(table(spark, sf_dir, "documents"))
@@ -55,6 +60,11 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict", F.round("blocked", 6).alias("blocked"))
 
 
+@query("op6_near_vectors")
+def op6_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 @functools.cache
 def vocabulary() -> bpe.Vocabulary:
     return bpe.Vocabulary(bpe.read_ranks(RANKS))
