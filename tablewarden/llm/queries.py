@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewarden.llm import bpe, html, mixture, neardup, shards, sketch, toxicity, urls, vectors
+from tablewarden.llm import bpe, html, mixture, neardup, pitman_yor, shards, sketch, toxicity, urls, vectors
 from tablewarden.llm.registry import query, table
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -65,6 +65,11 @@ def op6_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+@query("op7_pitman_yor")
+def op7_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pitman_yor.score(table(spark, sf_dir, "documents"))
+
+
 @functools.cache
 def vocabulary() -> bpe.Vocabulary:
     return bpe.Vocabulary(bpe.read_ranks(RANKS))
