@@ -59,16 +59,28 @@ _WORDS = "chunk string, target int, counts binary, root binary, back binary"
 _SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
 
 
-def _stored(df: DataFrame, name: str) -> DataFrame:
-    """A step's table; shuffle files of finished steps are released."""
+def _stored(df: DataFrame, name: str, *by: str) -> tuple[DataFrame, str]:
+    """A step's table and its path; shuffle files of finished steps are released."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", "zstd").partitionBy(*by).parquet(path)
     schema = df.schema
     del df
     gc.collect()
     spark.sparkContext._jvm.System.gc()
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.schema(schema).parquet(path), path
+
+
+def _removed(spark: SparkSession, path: str) -> None:
+    """Remove a table of this run that no later step reads."""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def _numbers(row: dict) -> np.ndarray:
+    """The word numbers of a chunk."""
+    return np.frombuffer(pa.decompress(row["ids"], decompressed_size=4 * int(np.sum(row["size"])), codec="zstd", asbytes=True), "<i4")
 
 
 def _pack40(x: np.ndarray) -> bytes:
@@ -108,7 +120,7 @@ def chunks(df: DataFrame, key: str, text: str, folds: int) -> DataFrame:
         one = lambda x, kind: pa.array([x], kind)
         return pa.RecordBatch.from_arrays(
             [one(name, pa.string()), one([i for x in ids for i in x], pa.list_(pa.int64())), one(held.tolist(), pa.list_(pa.bool_())),
-             one(size.tolist(), pa.list_(pa.int32())), one(local.astype("<i4").tobytes(), pa.binary()),
+             one(size.tolist(), pa.list_(pa.int32())), one(pa.compress(local.astype("<i4").tobytes(), codec="zstd", asbytes=True), pa.binary()),
              one(vocabulary.astype("<u8").tobytes(), pa.binary()), one(counts.astype("<u4").tobytes(), pa.binary())],
             names=["chunk", "doc_id", "held", "size", "ids", "vocabulary", "counts"],
         )
@@ -186,7 +198,7 @@ def _owner_of(u: np.ndarray, w: np.ndarray, owners: int, hot: np.ndarray, parts:
 def _deal(row: dict, owners: int, hot: np.ndarray, parts: np.ndarray):
     """A chunk's pairs in the order in which they are sent: context, word, count, owner; and each token's place."""
     v = np.frombuffer(row["vocabulary"], "<u8")
-    ids, size, held = np.frombuffer(row["ids"], "<i4"), np.array(row["size"]), np.array(row["held"], dtype=bool)
+    ids, size, held = _numbers(row), np.array(row["size"]), np.array(row["held"], dtype=bool)
     start = int(np.searchsorted(v, _START))
     distinct, counts, inverse = _pairs(ids, size, held, start, len(v))
     u, w = v[distinct // len(v)] & _LOW, v[distinct % len(v)] & _LOW
@@ -346,7 +358,7 @@ def _root_seats(customers: np.ndarray, target: int, vocabulary: int) -> np.ndarr
 def score(df: DataFrame, key: str = "doc_id", text: str = "text", folds: int = 10) -> DataFrame:
     """Per row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score (log10)."""
     spark: SparkSession = df.sparkSession
-    table = _stored(chunks(df, key, text, folds), "lm-chunks")
+    table, _ = _stored(chunks(df, key, text, folds), "lm-chunks")
     size = table.agg(
         F.sum(F.aggregate("size", F.lit(0).cast("long"), lambda a, b: a + b)).alias("tokens"),
         F.sum(F.octet_length("vocabulary") / 8).alias("words")).first()
@@ -361,7 +373,7 @@ def score(df: DataFrame, key: str = "doc_id", text: str = "text", folds: int = 1
         rows += [(int(a), int(b)) for a, b in zip((v[common] & _LOW).tolist(), c[common].tolist(), strict=True)]
         return pd.DataFrame(rows, columns=["word", "n"])
 
-    counted = _stored(_requests(table, owners).groupBy("target").applyInPandas(count, "word long, n long"), "lm-words")
+    counted, of_words = _stored(_requests(table, owners).groupBy("target").applyInPandas(count, "word long, n long"), "lm-words")
     totals = {r["word"]: r["n"] for r in counted.where("word < 0").groupBy("word").agg(F.sum("n").alias("n")).collect()}
     train, vocabulary, texts = (totals.get(k, 0) for k in (-1, -2, -3))
     frequent = counted.where((F.col("word") >= 0) & (F.col("n") >= max(2.0, COMMON * train))).orderBy("word").toArrow()
@@ -373,8 +385,10 @@ def score(df: DataFrame, key: str = "doc_id", text: str = "text", folds: int = 1
     share = np.where(start, COMMON, counts / max(1, train))
     common = spark.sparkContext.broadcast((known, share, hot, parts))
 
-    mail = _stored(
-        _pair_mail(table, owners, common).groupBy("target").applyInPandas(_owner_step(owners, common), _MAIL), "lm-mail")
+    mail, of_mail = _stored(
+        _pair_mail(table, owners, common).groupBy("target").applyInPandas(_owner_step(owners, common), _MAIL), "lm-mail", "kind")
+    mail = mail.select("kind", "target", "chunk", "a", "b", "total")
+    _removed(spark, of_words)
 
     def root(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         ids = np.unique(np.concatenate([_unpack40(x) for x in group["a"]]))
@@ -399,12 +413,14 @@ def score(df: DataFrame, key: str = "doc_id", text: str = "text", folds: int = 1
         back = (STRENGTH + DISCOUNT * _sums(group, 2, ids)[to]) / (STRENGTH + used)
         ends = np.cumsum([len(x) // 8 for x in asked["a"]])
         out = [
-            (chunk, int(key[0]), c[i].astype("<u4").tobytes(), p[to][i].astype("<f8").tobytes(), back[i].astype("<f4").tobytes())
+            (chunk, int(key[0]), c[i].astype("<u4").tobytes(), p[to][i].astype("<f4").tobytes(), back[i].astype("<f4").tobytes())
             for chunk, i in zip(asked["chunk"], np.split(inverse, ends[:-1]), strict=True)]
         return pd.DataFrame(out, columns=["chunk", "target", "counts", "root", "back"])
 
     asked = _requests(table, owners).unionByName(mail.where("kind in (1, 2)"))
-    answers = _stored(asked.groupBy("target").applyInPandas(answer, _WORDS), "lm-answers")
+    answers, _ = _stored(asked.groupBy("target").applyInPandas(answer, _WORDS), "lm-answers")
+    for kind in (1, 2):
+        _removed(spark, f"{of_mail}/kind={kind}")
 
     def scores(key: tuple, own: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
         row = own[own["vocabulary"].notna()].iloc[0].to_dict()
@@ -413,14 +429,14 @@ def score(df: DataFrame, key: str = "doc_id", text: str = "text", folds: int = 1
         order = np.argsort(home, kind="stable")
         told = told.sort_values("target")
         c, p, back = np.empty(len(v), np.int64), np.empty(len(v)), np.empty(len(v))
-        for to, column, kind in ((c, "counts", "<u4"), (p, "root", "<f8"), (back, "back", "<f4")):
+        for to, column, kind in ((c, "counts", "<u4"), (p, "root", "<f4"), (back, "back", "<f4")):
             to[order] = np.concatenate([np.frombuffer(x, kind) for x in told[column]])
         u, w, counts, owner, place = _deal(row, owners, hot, parts)
         value = np.where(counts == 1, 1 - DISCOUNT, 0.0)
         cuts = np.searchsorted(owner, np.arange(owners + 1))
         for target, a, b in own.loc[own["kind"] == 0, ["target", "a", "b"]].itertuples(index=False):
             value[cuts[int(target)] + np.frombuffer(a, "<u4").astype(np.int64)] = np.frombuffer(b, "<f4")
-        ids, sizes = np.frombuffer(row["ids"], "<i4"), np.array(row["size"], dtype=np.int64)
+        ids, sizes = _numbers(row), np.array(row["size"], dtype=np.int64)
         before = np.empty_like(ids)
         before[1:] = ids[:-1]
         first = np.cumsum(sizes) - sizes
