@@ -8,10 +8,11 @@ documents draw the same sample with a probability equal to their weighted Jaccar
 banded; documents that share a band are candidates, and a pair is a link if its weighted Jaccard
 similarity, computed from the whole texts, is 0.8 or more. Groups are the connected components.
 
-Bands do not produce all pairs of their members. Every member is compared with the smallest one; then, in
-bands whose members are still in different components, the members outside of the largest component are
-compared with the others, by two bits per sample first and by their texts if those agree. So no pair of a
-band that could join two components is left out, and copies and near copies cost one pair each.
+Bands do not produce all pairs of their members. Every member is compared with a central one, the member
+that meets most others over all bands. In bands whose members are still in different components, long
+sketches are compared in blocks inside tasks, and only pairs that agree enough and join two components
+leave: first the best partner of each member, in the end every such pair. So no pair of a band that
+could join two components is left out.
 
 Equal texts are one group whatever they hold; null and empty texts are equal texts. A text of one to four
 words is one shingle. Rows with equal texts share a group, repeated rows too. A null id is the last choice
@@ -24,8 +25,9 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablewarden.llm import words
@@ -38,6 +40,9 @@ BANDS, ROWS = 10, 3
 SAMPLES = BANDS * ROWS
 # Of a pair at the threshold, about 25.5 of 30 two-bit codes agree; fewer than this do in one of 3,000.
 LEAST_AGREEING = 18
+# Long sketches: of 1,024 codes about 870 agree at the threshold, fewer than this in one of 30,000 pairs.
+LONG, LEAST_LONG = 1024, 825
+TURNS, BLOCK = 1, 512
 CELLS = 1 << 18
 RARE, FLOOR = 0.02, 0.5
 _HALF = 0x5555555555555555
@@ -151,11 +156,92 @@ def signatures(df: DataFrame, sampler: Sampler, key: str = "doc_id", text: str =
     return df.select(col(key).cast("long"), col(text)).mapInArrow(run, "doc_id long, node string, bits long, bands array<long>")
 
 
+def _differ(a: Column, b: Column) -> Column:
+    """How many two-bit codes of two longs differ."""
+    x = a.bitwiseXOR(b)
+    return F.bit_count(x.bitwiseOR(F.shiftright(x, 1)).bitwiseAND(F.lit(_HALF)))
+
+
 def _agree(a: Column, b: Column) -> Column:
     """Whether enough two-bit codes are equal."""
-    x = a.bitwiseXOR(b)
-    differ = F.bit_count(x.bitwiseOR(F.shiftright(x, 1)).bitwiseAND(F.lit(_HALF)))
-    return differ <= SAMPLES - LEAST_AGREEING
+    return _differ(a, b) <= SAMPLES - LEAST_AGREEING
+
+
+def _agreement(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """How many codes of long sketches agree, of every row of ``a`` with every row of ``b``."""
+    out = np.empty((len(a), len(b)), dtype=np.int32)
+    for k in range(0, len(a), 32):
+        x = a[k : k + 32, None, :] ^ b[None, :, :]
+        x |= x >> np.uint64(1)
+        x &= np.uint64(_HALF)
+        out[k : k + 32] = LONG - np.bitwise_count(x).sum(axis=2, dtype=np.int32)
+    return out
+
+
+def _candidates(open_: DataFrame, every: bool) -> DataFrame:
+    """Pairs (a, b) of different components in open bands whose long sketches agree enough.
+
+    ``every`` gives all of them, else only the best partner of each member in each block. Bands are met in
+    blocks of bounded size; small bands share a task's call.
+    """
+    rows = open_.count()
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    meets = F.transform(
+        F.sequence(F.lit(0), F.col("blocks") - 1),
+        lambda other: F.struct(F.least(F.col("block"), other).alias("i"), F.greatest(F.col("block"), other).alias("j")))
+    shared = F.concat(F.lit("small "), F.pmod(F.xxhash64("band", "bucket"), F.lit(rows // 2000 + 1)))
+    group = F.when(F.col("blocks") == 1, shared).otherwise(F.concat_ws(" ", "band", "bucket", "meet.i", "meet.j"))
+    met = open_.withColumn("blocks", blocks).withColumn("block", own).withColumn("meet", F.explode(meets)).select(
+        group.alias("group"), "band", "bucket", F.col("meet.i").alias("i"), F.col("meet.j").alias("j"), "block", "node", "label", "bands", "long")
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        a, b = [], []
+        for (band, _), part in frame.groupby(["band", "bucket"]):
+            node, label, block = part["node"].to_numpy(), part["label"].to_numpy(), part["block"].to_numpy()
+            sketch = np.stack(part["long"].to_numpy()).astype(np.int64).view(np.uint64)
+            i, j = part["i"].iloc[0], part["j"].iloc[0]
+            left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
+            agree = _agreement(sketch[left], sketch[right])
+            agree[label[left][:, None] == label[right][None, :]] = -1
+            if every:
+                x, y = np.nonzero(agree >= LEAST_LONG)
+            else:
+                x = np.concatenate([np.arange(len(left)), agree.argmax(axis=0)]) if agree.size else np.zeros(0, int)
+                y = np.concatenate([agree.argmax(axis=1), np.arange(len(right))]) if agree.size else np.zeros(0, int)
+                good = agree[x, y] >= LEAST_LONG if agree.size else np.zeros(0, bool)
+                x, y = x[good], y[good]
+            # A pair leaves from the first band that it shares.
+            bands = np.stack(part["bands"].to_numpy())
+            once = (bands[left[x]] == bands[right[y]]).argmax(axis=1) == band
+            x, y = x[once], y[once]
+            a.append(node[left[x]])
+            b.append(node[right[y]])
+        a, b = np.concatenate(a).astype(str), np.concatenate(b).astype(str)
+        return pd.DataFrame({"a": np.where(a > b, a, b), "b": np.where(a > b, b, a)}).drop_duplicates()
+
+    return met.groupBy("group").applyInPandas(run, "a string, b string").distinct()
+
+
+def _long_sketches(texts: DataFrame, weights: np.ndarray) -> DataFrame:
+    """(node, long): two-bit codes of ``LONG`` samples, 32 in a number."""
+    shared = texts.sparkSession.sparkContext.broadcast(Sampler(weights, LONG, seed=4))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        s = shared.value
+        for batch in batches:
+            for i, j, data, offsets in words.blocks(batch.column(1)):
+                codes = s.draw(*s.bag(data, offsets)) & np.uint64(3)
+                packed = np.zeros((len(codes), LONG // 32), dtype=np.uint64)
+                for k in range(32):
+                    packed |= codes[:, k::32] << np.uint64(2 * k)
+                ends = np.arange(len(codes) + 1, dtype=np.int32) * (LONG // 32)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(i, j - i), pa.ListArray.from_arrays(pa.array(ends), pa.array(packed.view(np.int64).ravel()))],
+                    names=["node", "long"],
+                )
+
+    return texts.select("node", "text").mapInArrow(run, "node string, long array<long>")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, sampler: Sampler, threshold: float) -> DataFrame:
@@ -190,9 +276,17 @@ def _with_labels(rows: DataFrame, labels: DataFrame) -> DataFrame:
         "label", F.coalesce("component", "node")).drop("__node", "component")
 
 
+def _open(rows: DataFrame) -> DataFrame:
+    """Members of bands that hold more than one component, with the number of members."""
+    split = rows.groupBy("band", "bucket", "label").agg(F.count(F.lit(1)).alias("n")).groupBy("band", "bucket").agg(
+        F.sum("n").alias("size"), F.count(F.lit(1)).alias("labels")).where("labels > 1 and size > 2")
+    return rows.join(split.drop("labels"), ["band", "bucket"])
+
+
 def groups(df: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """Per row: doc_id, node, class_id (smallest id of its group), class_node, copies (rows with its text) and kept."""
-    sampler = Sampler(cell_weights(df, text))
+    weights = cell_weights(df, text)
+    sampler = Sampler(weights)
     signed = materialize(signatures(df, sampler, key, text), "signatures")
     nodes = materialize(
         signed.groupBy("node").agg(
@@ -200,16 +294,13 @@ def groups(df: DataFrame, key: str = "doc_id", text: str = "text", threshold: fl
         "texts",
     )
     members = nodes.select("node", "bits", F.posexplode("bands").alias("band", "bucket"))
-    centres = members.groupBy("band", "bucket").agg(
-        F.min(F.struct("node", "bits")).alias("centre"), F.count(F.lit(1)).alias("size")).where("size > 1")
+    sizes = members.groupBy("band", "bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     placed = materialize(
-        members.join(centres, ["band", "bucket"]).select("band", "bucket", "size", "node", "bits", "centre"), "bands")
-    stars = materialize(
-        placed.where((F.col("node") != F.col("centre.node")) & _agree(F.col("bits"), F.col("centre.bits")))
-        .select(F.col("node").alias("a"), F.col("centre.node").alias("b")).distinct(),
-        "stars",
+        members.join(sizes, ["band", "bucket"])
+        .withColumn("met", F.sum("size").over(Window.partitionBy("node")))
+        .select("band", "bucket", "node", "bits", "met"),
+        "bands",
     )
-
     # The texts that pairs may ask for, one row each: those of nodes in shared bands.
     wanted = placed.select("node").distinct().join(nodes.select("node", "least"), "node")
     body = F.coalesce(col(text), F.lit(""))
@@ -219,23 +310,28 @@ def groups(df: DataFrame, key: str = "doc_id", text: str = "text", threshold: fl
         .groupBy("node").agg(F.first("text").alias("text")),
         "bodies",
     )
-    linked = materialize(_verified(stars, texts, sampler, threshold), "links")
+    # A star in every band: everybody against the central member.
+    centres = placed.groupBy("band", "bucket").agg(F.max(F.struct("met", "node", "bits")).alias("centre"))
+    stars = placed.join(centres, ["band", "bucket"]).where(
+        (F.col("node") != F.col("centre.node")) & _agree(F.col("bits"), F.col("centre.bits")))
+    tried = materialize(
+        stars.select(F.greatest("node", "centre.node").alias("a"), F.least("node", "centre.node").alias("b")).distinct(), "stars")
+    linked = materialize(_verified(tried, texts, sampler, threshold), "links")
     labels = components(linked)
 
-    # What stars left open: in bands of three or more, members outside of the largest component.
-    labelled = materialize(_with_labels(placed.where("size > 2").drop("centre", "size"), labels), "labelled")
-    split = labelled.groupBy("band", "bucket", "label").agg(F.count(F.lit(1)).alias("n")).groupBy("band", "bucket").agg(
-        F.max(F.struct("n", "label")).alias("top"), F.count(F.lit(1)).alias("labels")).where("labels > 1")
-    open_ = labelled.join(split, ["band", "bucket"]).select("band", "bucket", "node", "bits", "label", F.col("top.label").alias("top"))
-    outside = open_.where("label != top").select(
-        "band", "bucket", F.col("node").alias("a"), F.col("bits").alias("bits_a"), F.col("label").alias("label_a"))
-    once = (F.col("label") == F.col("top")) | (F.col("a") < F.col("node"))
-    pairs = outside.join(open_, ["band", "bucket"]).where(
-        (F.col("label_a") != F.col("label")) & once & _agree(F.col("bits_a"), F.col("bits"))
-    ).select(F.greatest("a", "node").alias("a"), F.least("a", "node").alias("b")).distinct()
-    pairs = materialize(pairs.join(stars, ["a", "b"], "left_anti"), "pairs")
-    more = _verified(pairs, texts, sampler, threshold)
-    labels = components(linked.unionByName(materialize(more, "links")))
+    # Bands that are still open: best partners first, which joins most, then all that is left.
+    open_ = _open(_with_labels(placed.drop("met", "bits"), labels))
+    sketched = materialize(_long_sketches(texts.join(open_.select("node").distinct(), "node"), weights), "sketches")
+    rest = materialize(
+        open_.drop("label", "size").join(sketched, "node").join(nodes.select("node", "bands"), "node"), "open")
+    for turn in range(TURNS + 1):
+        pairs = _candidates(materialize(_open(_with_labels(rest, labels)), "open"), every=turn == TURNS)
+        pairs = materialize(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
+        tried = materialize(tried.unionByName(pairs), "tried")
+        found = materialize(_verified(pairs, texts, sampler, threshold), "links")
+        if not found.isEmpty():
+            linked = materialize(linked.unionByName(found), "links")
+            labels = components(linked)
 
     grown = _with_labels(nodes.select("node", "copies", "least"), labels)
     best = grown.groupBy("label").agg(F.min(F.struct(F.col("least").isNull(), "least", "node")).alias("best"))
