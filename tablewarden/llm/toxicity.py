@@ -111,6 +111,8 @@ class ToxicModel:
         return sum(x for x in each if x > 0) or max(each)
 
     def probability(self, statistic: np.ndarray) -> np.ndarray:
+        if not len(self.keys):
+            return np.zeros(len(statistic))
         return 1.0 / (1.0 + np.exp(-np.clip(self.slope * statistic + self.intercept, -500, 500)))
 
 
