@@ -138,6 +138,8 @@ def pages(n: int, seed: int = 11) -> list[str]:
         before = [_head(rng)] if rng.random() < 0.6 else []
         before += [_noise(rng) for _ in range(rng.randint(0, 3))]
         after = [_noise(rng) for _ in range(rng.randint(0, 3))] + ([_foot(rng)] if rng.random() < 0.8 else [])
+        bare = rng.random()  # some pages end with the article, some hold nothing else
+        before, after = ([] if bare < 0.15 else before), ([] if bare < 0.3 else after)
         main = _article(rng) if rng.random() < 0.97 else ""
         out.append(f"<!DOCTYPE html><html><head><title>{' '.join(_words(rng, 4))}</title></head><body>{''.join(before)}{main}{''.join(after)}</body></html>")
     return out
