@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablewarden.functions.sql import name, text
@@ -12,6 +12,12 @@ from tablewarden.operators.ranks import exact_quantiles
 from tablewarden.spec import TableSpec
 
 
+def present(df: DataFrame, column: str) -> Column:
+    """The column with NaN as null: both are missing values."""
+    value = F.col(f"`{column}`")
+    return F.when(~F.isnan(value), value) if dict(df.dtypes)[column] in ("double", "float") else value
+
+
 def drop_columns(df: DataFrame, spec: TableSpec) -> DataFrame:
     return df.drop(*spec.drop)
 
@@ -46,10 +52,12 @@ def cells(
     df: DataFrame, ids: Sequence[str], columns: Sequence[str], cast: str,
     label: str = "column", value: str = "value",
 ) -> DataFrame:
-    """(ids, column, value): one row per non-null cell of ``columns``, cast to one type."""
+    """(ids, column, value): one row per cell of ``columns`` that is neither null nor NaN, cast to one type."""
     # A generator keeps the identity of the id columns, which lets plans that use the
     # result several times share its shuffle; the unpivot operator would not.
-    pairs = ", ".join(f"{text(c)}, cast({name(c)} as {cast})" for c in columns)
+    floating = {c for c, dtype in df.dtypes if dtype in ("double", "float")}
+    found = {c: f"nullif({name(c)}, double('NaN'))" if c in floating else name(c) for c in columns}
+    pairs = ", ".join(f"{text(c)}, cast({found[c]} as {cast})" for c in columns)
     stacked = f"stack({len(columns)}, {pairs}) as ({name(label)}, {name(value)})"
     return df.selectExpr(*[name(c) for c in ids], stacked).where(F.col(value).isNotNull())
 
@@ -64,7 +72,7 @@ def level_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def numeric_means(df: DataFrame, columns: Sequence[str]) -> dict[str, float]:
-    row = df.agg(*[F.avg(f"`{c}`").alias(c) for c in columns]).first() if columns else {}
+    row = df.agg(*[F.avg(present(df, c)).alias(c) for c in columns]).first() if columns else {}
     return {c: row[c] for c in columns if row[c] is not None}
 
 
@@ -101,7 +109,7 @@ def fit_fill_values(
 
 def fill_missing(df: DataFrame, fill: Mapping[str, object]) -> DataFrame:
     return df.withColumns({
-        c: F.coalesce(F.col(f"`{c}`"), F.lit(v)) for c, v in fill.items() if c in df.columns
+        c: F.coalesce(present(df, c), F.lit(v)) for c, v in fill.items() if c in df.columns
     })
 
 

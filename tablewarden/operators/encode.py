@@ -13,9 +13,7 @@ from tablewarden.operators.features import yes_flag
 from tablewarden.operators.ranks import cumulate, range_bits
 from tablewarden.spec import AGE_BINS, SIZE_BINS, TableSpec
 
-# One-hot levels become columns and plan nodes, so their number is checked.
-MAX_ONEHOT_LEVELS = 5_000
-# Codes up to this many rows become literals; larger code tables are joined.
+# Codes up to this many rows become literals; larger code tables are joined. Both give the same.
 MAX_LITERAL_CODES = 2_000
 
 BINNED_LEVELS = {
@@ -44,16 +42,11 @@ def categorical_columns(df: DataFrame, spec: TableSpec) -> list[str]:
 # --- one-hot -----------------------------------------------------------------------
 
 def fit_levels(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
-    """Sorted levels per column. Binned features always have all their labels."""
+    """Sorted levels per column, any number. Binned features always have all their labels."""
     seen = [c for c in columns if c not in BINNED_LEVELS]
     found: dict[str, list[str]] = {c: [] for c in columns}
     if seen:
-        rows = level_counts(df, seen).select("column", "value").limit(MAX_ONEHOT_LEVELS + 1).collect()
-        if len(rows) > MAX_ONEHOT_LEVELS:
-            raise ValueError(
-                f"more than {MAX_ONEHOT_LEVELS} one-hot levels; use label, target or sparse encoding"
-            )
-        for r in rows:
+        for r in level_counts(df, seen).select("column", "value").collect():
             found[r["column"]].append(r["value"])
     return {c: BINNED_LEVELS[c] if c in BINNED_LEVELS else sorted(v) for c, v in found.items()}
 
@@ -118,8 +111,9 @@ def apply_codes(df: DataFrame, codes: DataFrame, columns: Sequence[str], unseen:
 
     A small code table (its size is checked) becomes literals; a larger one is
     joined per column, which Spark may split further when a level is hot.
-    ``unseen`` is ``error`` or ``null``.
+    Codes keep the type of the code table, also in columns without a level. ``unseen`` is ``error`` or ``null``.
     """
+    kind = codes.schema["code"].dataType
     rows = codes.select("column", "value", "code").limit(MAX_LITERAL_CODES + 1).collect()
     literal = len(rows) <= MAX_LITERAL_CODES
 
@@ -133,10 +127,10 @@ def apply_codes(df: DataFrame, codes: DataFrame, columns: Sequence[str], unseen:
     if literal:
         out = {}
         for c in columns:
-            entries = [x for r in rows if r["column"] == c for x in (F.lit(r["value"]), F.lit(r["code"]))]
-            if entries:
-                lookup = F.create_map(*entries)
-                out[c] = checked(c, F.try_element_at(lookup, F.col(f"`{c}`").cast("string")))
+            entries = [x for r in rows if r["column"] == c for x in (F.lit(r["value"]), F.lit(r["code"]).cast(kind))]
+            value = F.col(f"`{c}`").cast("string")
+            found = F.try_element_at(F.create_map(*entries), value) if entries else F.lit(None).cast(kind)
+            out[c] = checked(c, found)
         return df.withColumns(out)
     for c in columns:
         mine = codes.where(F.col("column") == c).select(F.col("value").alias("__value"), F.col("code").alias("__code"))

@@ -2,115 +2,115 @@
 
 Rows are ordered by a hash of their id inside each stratum. A split is a set of
 cut points in that order, found from counts per hash range and a look into the
-few ranges a cut falls in. The table itself is never sorted or shuffled: once
-the cuts are known, membership is a projection.
+few ranges a cut falls in. The table itself is never sorted: once the cuts are
+known, one row per stratum, membership is a join with them and a projection.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-HASH_RANGE_DIGITS = 3  # 4,096 ranges of the hash per stratum
-MAX_STRATA = 1_000
+from tablewarden.session import materialize
+
+RANGE_ROWS = 50_000  # rows that a hash range should hold
+LITERAL_STRATA = 64  # cuts of up to this many strata go into the plan; those of more are joined
 
 
 def row_hash(id_col: str | Column, seed: int) -> Column:
     col = F.col(id_col) if isinstance(id_col, str) else id_col
-    return F.md5(F.concat(F.lit(f"{seed}:"), col.cast("string")))
-
-
-@dataclass(frozen=True)
-class Cuts:
-    """Per stratum the sorted ``(hash, id)`` of the last row of each part but the final one."""
-
-    seed: int
-    stratum: str
-    id_col: str
-    points: Mapping[object, tuple[tuple[str, object] | None, ...]]
-
-    def part(self) -> Column:
-        """Number of the part (0 first) that a row belongs to.
-
-        A cut of None lies before the first row: the part it closes is empty.
-        """
-        key, ident = row_hash(self.id_col, self.seed), F.col(self.id_col)
-        out = None
-        for stratum, cuts in self.points.items():
-            index: Column = F.lit(0)
-            for cut in cuts:
-                after = F.lit(True) if cut is None else (key > cut[0]) | ((key == cut[0]) & (ident > F.lit(cut[1])))
-                index = index + after.cast("int")
-            same = F.col(self.stratum).eqNullSafe(F.lit(stratum))
-            out = F.when(same, index) if out is None else out.when(same, index)
-        return out
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(col.cast("string"), F.lit("null"))))
 
 
 class HashOrder:
-    """Row counts per stratum and hash range, from one job over two narrow columns.
+    """The rows of each stratum in the order of their hash.
 
-    At most ``MAX_STRATA`` times 4,096 counts come to the driver.
+    The number of hash ranges grows with the table, so a range keeps its size. Only the sizes of the
+    strata, one row for each, come to the driver.
     """
 
     def __init__(self, df: DataFrame, stratum: str, id_col: str, seed: int):
-        self.stratum, self.id_col, self.seed = stratum, id_col, seed
-        key = row_hash(id_col, seed)
-        self.rows = df.select(
-            F.col(stratum).alias("s"), F.col(id_col).alias("id"), key.alias("h"),
-            F.conv(F.substring(key, 1, HASH_RANGE_DIGITS), 16, 10).cast("int").alias("b"),
+        self.df, self.stratum, self.id_col, self.seed = df, stratum, id_col, seed
+        # Three narrow columns, written once: sizes, counts and the look into ranges read them.
+        self.rows = materialize(
+            df.select(F.col(stratum).alias("s"), F.col(id_col).alias("id"), row_hash(id_col, seed).alias("h")), "split-order")
+        found = self.rows.groupBy("s").agg(F.count("*").alias("n")).collect()
+        self.sizes = dict(sorted(((r["s"], r["n"]) for r in found), key=lambda kv: (kv[0] is None, str(kv[0]))))
+        # Hexadecimal digits of the hash that name a range; at most eight, four billion ranges.
+        ranges = max(1, sum(self.sizes.values()) // RANGE_ROWS)
+        self.digits = min(8, max(1, math.ceil(math.log(ranges, 16))))
+
+    def cuts(self, ranks: Mapping[object, Sequence[int]]) -> DataFrame:
+        """(s, cuts): per stratum the (h, id) of the rows at its 1-based ``ranks``, null for rank 0.
+
+        Raises if the row after a cut has the same id: then ids repeat and no exact cut exists.
+        """
+        spark = self.df.sparkSession
+        kind = self.df.schema[self.stratum].dataType
+        rows = self.rows.withColumn("b", F.substring("h", 1, self.digits))
+        schema = T.StructType([
+            T.StructField("s_", kind), T.StructField("pos", T.IntegerType()), T.StructField("rank", T.LongType())])
+        wanted = spark.createDataFrame([(s, i, r) for s, rs in ranks.items() for i, r in enumerate(rs)], schema)
+        counts = rows.groupBy("s", "b").agg(F.count("*").alias("n"))
+        upto = F.sum("n").over(Window.partitionBy("s").orderBy("b"))
+        ranges = counts.withColumn("upto", upto).withColumn("below", F.col("upto") - F.col("n"))
+        place = (F.col("s").eqNullSafe(F.col("s_"))) & (F.col("rank") > F.col("below")) & (F.col("rank") <= F.col("upto"))
+        # At most one range per cut is ordered, each by itself.
+        places = ranges.join(wanted, place).groupBy(F.col("s").alias("s_"), F.col("b").alias("b_")).agg(
+            F.collect_list(F.struct((F.col("rank") - F.col("below")).alias("inner"), "pos")).alias("at"))
+        held = rows.join(places, F.col("s").eqNullSafe(F.col("s_")) & (F.col("b") == F.col("b_")))
+        order = Window.partitionBy("s", "b").orderBy("h", "id")
+        picked = (
+            held.withColumn("rn", F.row_number().over(order))
+            .withColumn("tied", F.coalesce(F.lead("h").over(order) == F.col("h"), F.lit(False)) & F.lead("id").over(order).eqNullSafe(F.col("id")))
+            .withColumn("here", F.filter("at", lambda x: x["inner"] == F.col("rn")))
+            .where(F.size("here") > 0)
+            .select("s", "h", "id", "tied", F.explode("here").alias("cut"))
+            .select("s", "h", "id", "tied", F.col("cut.pos").alias("pos"))
         )
-        limit = MAX_STRATA << (4 * HASH_RANGE_DIGITS)
-        counts = self.rows.groupBy("s", "b").agg(F.count("*").alias("n"))
-        found: dict[object, dict[int, int]] = {}
-        for r in counts.limit(limit + 1).collect():
-            found.setdefault(r["s"], {})[r["b"]] = r["n"]
-        if len(found) > MAX_STRATA:
-            raise ValueError(f"more than {MAX_STRATA} strata in {stratum}")
-        self.counts = dict(sorted(found.items(), key=lambda kv: (kv[0] is None, str(kv[0]))))
-
-    @property
-    def sizes(self) -> dict[object, int]:
-        return {s: sum(c.values()) for s, c in self.counts.items()}
-
-    def _places(self, ranks: Mapping[object, Sequence[int]]) -> dict[tuple[object, int], tuple[int, int]]:
-        """(stratum, rank) to the range that holds the rank and the rank inside it."""
-        out = {}
-        for s, wanted in ranks.items():
-            below, todo = 0, sorted({r for r in wanted if r > 0})
-            for b, n in sorted(self.counts[s].items()):
-                while todo and todo[0] <= below + n:
-                    rank = todo.pop(0)
-                    out[s, rank] = (b, rank - below)
-                below += n
-        return out
-
-    def cut(self, ranks: Mapping[object, Sequence[int]]) -> Cuts:
-        """Cuts after the rows at the 1-based ``ranks`` of each stratum. Ids must be unique."""
-        places = self._places(ranks)
-        # Only the ranges that hold a cut are ordered, each by itself.
-        chosen: dict[tuple[object, int], set[int]] = {}
-        for (s, _), (b, inner) in places.items():
-            chosen.setdefault((s, b), set()).add(inner)
-        at: dict[tuple[object, int, int], tuple[str, object]] = {}
-        if chosen:
-            def here(s, b):
-                return F.col("s").eqNullSafe(F.lit(s)) & (F.col("b") == b)
-
-            held = reduce(or_, [here(s, b) for s, b in chosen])
-            picked = reduce(or_, [here(s, b) & F.col("rn").isin(*inner) for (s, b), inner in chosen.items()])
-            order = Window.partitionBy("s", "b").orderBy("h", "id")
-            for r in self.rows.where(held).withColumn("rn", F.row_number().over(order)).where(picked).collect():
-                at[r["s"], r["b"], r["rn"]] = (r["h"], r["id"])
-        points = {
-            s: tuple(at[s, *places[s, r]] if r > 0 else None for r in wanted) for s, wanted in ranks.items()
-        }
-        return Cuts(self.seed, self.stratum, self.id_col, points)
+        checked = F.when(F.col("tied"), F.raise_error(F.lit(f"repeated values in {self.id_col}: no exact split"))).otherwise(F.col("h"))
+        found = picked.select(F.col("s").alias("f_s"), F.col("pos").alias("f_pos"), F.struct(checked.alias("h"), "id").alias("cut"))
+        joined = wanted.join(found, F.col("s_").eqNullSafe(F.col("f_s")) & (F.col("pos") == F.col("f_pos")), "left")
+        table = joined.groupBy(F.col("s_").alias("__s")).agg(
+            F.transform(F.sort_array(F.collect_list(F.struct("pos", "cut"))), lambda x: x["cut"]).alias("__cuts"))
+        return materialize(table, "cuts")
+
+    def part(self, ranks: Mapping[object, Sequence[int]], column: str, names: Sequence[str] | None = None) -> DataFrame:
+        """The table with the number (0 first) or name of the part that each row belongs to.
+
+        The cuts have one row per stratum. Few are written into the plan, which then needs no join; for more,
+        Spark picks the join from their stored size. Both give the same result.
+        """
+        if not self.sizes:
+            return self.df.withColumn(column, F.lit(None).cast("string" if names else "int"))
+        key, ident = row_hash(self.id_col, self.seed), F.col(self.id_col)
+
+        def after(cut: Column) -> Column:
+            # Null ids come first, as in the ordering.
+            later = F.coalesce(ident > cut["id"], ident.isNotNull() & cut["id"].isNull())
+            return F.when(cut.isNull() | (key > cut["h"]) | ((key == cut["h"]) & later), 1).otherwise(0)
+
+        def value(cuts: Column) -> Column:
+            number = F.aggregate(cuts, F.lit(0), lambda n, cut: n + after(cut))
+            return F.get(F.array(*[F.lit(n) for n in names]), number) if names else number
+
+        cuts = self.cuts(ranks)
+        if len(self.sizes) <= LITERAL_STRATA:
+            kind, stored = cuts.schema["__cuts"].dataType, None
+            for r in cuts.collect():
+                here = F.array(*[
+                    F.lit(None).cast(kind.elementType) if c is None
+                    else F.struct(F.lit(c["h"]).alias("h"), F.lit(c["id"]).alias("id")) for c in r["__cuts"]]).cast(kind)
+                same = F.col(self.stratum).eqNullSafe(F.lit(r["__s"]))
+                stored = F.when(same, here) if stored is None else stored.when(same, here)
+            return self.df.withColumn(column, value(stored))
+        return (
+            self.df.join(cuts, F.col(self.stratum).eqNullSafe(F.col("__s")))
+            .withColumn(column, value(F.col("__cuts"))).drop("__s", "__cuts"))
 
 
 def _share_out(sizes: Sequence[int], draws: int) -> list[int]:
@@ -155,18 +155,17 @@ def stratified_split(
 ) -> DataFrame:
     """Add ``split`` (train, test or val). Empty arguments take the defaults .2, .1 and 42.
 
-    ``exact=False`` compares the hash with the fractions: no job at all, sizes
-    right on average.
+    Exact sizes need ids that do not repeat; a repeated id at a cut raises an error. A null id counts as
+    one more id. ``exact=False`` compares the hash with the fractions: no job at all, sizes right on average.
     """
     test, validation, seed = test or 0.2, validation or 0.1, seed or 42
     names = ("test", "val", "train")
     if exact:
         order = HashOrder(df, target, id_col, seed)
         sizes = split_sizes(order.sizes, test, validation)
-        part = order.cut({c: (t, t + v) for c, (t, v, _) in sizes.items()}).part()
-    else:
-        u = hash_fraction(id_col, seed)
-        part = F.when(u < test, 0).when(u < test + validation, 1).otherwise(2)
+        return order.part({c: (t, t + v) for c, (t, v, _) in sizes.items()}, "split", names)
+    u = hash_fraction(id_col, seed)
+    part = F.when(u < test, 0).when(u < test + validation, 1).otherwise(2)
     return df.withColumn("split", F.get(F.array(*[F.lit(s) for s in names]), part))
 
 
@@ -190,4 +189,4 @@ def cv_folds(df: DataFrame, target: str, id_col: str, folds: int = 5, seed: int
     ranks = {
         c: [sum(parts[: i + 1]) for i in range(folds - 1)] for c, parts in fold_sizes(order.sizes, folds).items()
     }
-    return df.withColumn("fold", order.cut(ranks).part())
+    return order.part(ranks, "fold")

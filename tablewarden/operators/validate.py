@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablewarden.operators.clean import cells
+from tablewarden.operators.clean import cells, present
 from tablewarden.spec import REQUEST_AGE, REQUEST_RATE, REQUEST_WORDS, ROLE_DOMAINS, TableSpec
 
 ISSUE_SCHEMA = "check string, column string, detail string, n bigint"
@@ -46,7 +46,7 @@ def table_profile(df: DataFrame) -> DataFrame:
     widths = {"boolean": 1, "tinyint": 1, "smallint": 2, "int": 4, "date": 4, "float": 4}
     aggs = [F.count("*").alias("rows")]
     for i, (name, dtype) in enumerate(df.dtypes):
-        col = F.col(f"`{name}`")
+        col = present(df, name)
         aggs.append(F.count_if(col.isNull()).alias(f"null_{i}"))
         if dtype == "string":
             aggs.append(F.coalesce(F.sum(F.octet_length(col)), F.lit(0)).alias(f"size_{i}"))
@@ -81,7 +81,7 @@ def _schema_parts(df: DataFrame, spec: TableSpec) -> Parts:
 
 def _missing_parts(df: DataFrame) -> Parts:
     return (
-        [F.count_if(F.col(f"`{c}`").isNull()).alias(f"null__{c}") for c in df.columns],
+        [F.count_if(present(df, c).isNull()).alias(f"null__{c}") for c in df.columns],
         [_issue("missing", c, "null values", F.col(f"`null__{c}`")) for c in df.columns],
     )
 
@@ -103,9 +103,9 @@ def _range_parts(df: DataFrame, spec: TableSpec) -> Parts:
     for c, (low, high) in spec.ranges.items():
         if c in df.columns:
             aggs += [
-                F.min(c).cast("double").alias(f"min__{c}"),
-                F.max(c).cast("double").alias(f"max__{c}"),
-                F.count_if(_outside(F.col(c), low, high)).alias(f"out__{c}"),
+                F.min(present(df, c)).cast("double").alias(f"min__{c}"),
+                F.max(present(df, c)).cast("double").alias(f"max__{c}"),
+                F.count_if(_outside(present(df, c), low, high)).alias(f"out__{c}"),
             ]
             found = F.format_string("out of range: %s - %s", f"min__{c}", f"max__{c}")
             issues.append(_issue("ranges", c, found, F.col(f"out__{c}")))
@@ -126,7 +126,7 @@ def validate_schema(df: DataFrame, spec: TableSpec) -> DataFrame:
 
 
 def validate_missing(df: DataFrame) -> DataFrame:
-    """Columns with nulls and how many."""
+    """Columns with nulls or NaN and how many."""
     return _one_pass(df, _missing_parts(df))
 
 

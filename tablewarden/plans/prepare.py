@@ -87,9 +87,7 @@ def _learn_levels(df: DataFrame, spec: TableSpec, strategy: str) -> tuple[dict[s
     """Modes of the configured categories and one-hot levels of all, from one aggregation."""
     columns = encode.categorical_columns(df.drop(spec.target), spec)
     plain = [c for c in columns if c not in encode.BINNED_LEVELS]
-    counts = clean.level_counts(df, plain).limit(encode.MAX_ONEHOT_LEVELS + 1).collect() if plain else []
-    if len(counts) > encode.MAX_ONEHOT_LEVELS:
-        raise ValueError(f"more than {encode.MAX_ONEHOT_LEVELS} one-hot levels; use label or target encoding")
+    counts = clean.level_counts(df, plain).collect() if plain else []
     mode: dict[str, str] = {}
     seen: dict[str, list[str]] = {c: [] for c in plain}
     for r in sorted(counts, key=lambda r: (-r["n"], r["value"])):
@@ -149,10 +147,11 @@ def fit(
     if encoding in ("label", "target"):
         coded = encode.encode_binary(clean_rows, spec)
         columns = encode.categorical_columns(coded.drop(spec.target), spec)
-        state.codes = (
+        codes = (
             encode.fit_label_codes(coded, columns) if encoding == "label"
             else encode.fit_target_means(coded, columns, F.col(spec.target))
         )
+        state.codes = materialize(codes, "codes")
     plain_names = [c for c in train.columns if c not in (*spec.drop, spec.target, *state.levels)]
     state.feature_names = plain_names + [encode.onehot_name(c, v) for c, vs in state.levels.items() for v in vs]
     return state
@@ -227,13 +226,13 @@ def run(
 ) -> Prepared:
     """Validate, derive features, split, fit on train and transform all three parts.
 
-    Failed validation does not stop the run; the report says what was found.
+    Validation runs first and its report is stored; failed checks do not stop the run.
     The split rows are written once to the shared folder because fitting and
     three transformations read them; derived features are a map over them. ``parity=True`` takes the
     interaction maxima from the whole table and imputation values and levels
     from each part, instead of from the training rows.
     """
-    report = validation_report(df, spec) if validate else None
+    report = materialize(validation_report(df, spec), "validation") if validate else None
     parts = materialize(stratified_split(df, spec.target, spec.id_col, seed=seed), "split-rows", ("split",))
     maxima = None
     if engineer:

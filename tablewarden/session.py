@@ -29,10 +29,12 @@ def local_session(cpus: int = 8, app: str = "tablewarden", **conf: str) -> Spark
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named in ``spark.checkpoint.dir``; a temporary one only where unset."""
+    """The folder named in ``spark.checkpoint.dir``; where unset, a temporary one, in local sessions only."""
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None)
     if context.getCheckpointDir() is None:
+        if not named and not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir names no shared folder for this cluster")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="tablewarden-"))
     return named or context.getCheckpointDir()
 

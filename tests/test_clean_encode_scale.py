@@ -68,10 +68,30 @@ def test_target_means(spark, rows):
     assert [r["c"] for r in got] == [0.5, 0.0, None, 1.0, 0.0, 0.5]
 
 
-def test_too_many_levels_is_an_error(rows, monkeypatch):
-    monkeypatch.setattr(encode, "MAX_ONEHOT_LEVELS", 2)
-    with pytest.raises(ValueError, match="levels"):
-        encode.fit_levels(rows, ["c"])
+def test_many_levels(spark):
+    df = spark.range(6000).select(F.col("id").cast("string").alias("c"))
+    levels = encode.fit_levels(df, ["c"])
+    assert len(levels["c"]) == 6000
+    got = encode.encode_onehot(df.where("c = '5999'"), levels)
+    assert len(got.columns) == 6000
+    assert [c for c, v in got.first().asDict().items() if v] == ["c_5999"]
+
+
+@pytest.mark.parametrize("limit", [2000, 1])
+def test_codes_keep_their_type(spark, monkeypatch, limit):
+    monkeypatch.setattr(encode, "MAX_LITERAL_CODES", limit)
+    df = spark.createDataFrame([("x", None), ("y", None)], "c string, nothing string")
+    got = encode.apply_codes(df, encode.fit_label_codes(df, ["c", "nothing"]), ["c", "nothing"])
+    assert got.dtypes == [("c", "bigint"), ("nothing", "bigint")]
+    assert sorted(r["c"] for r in got.collect()) == [0, 1]
+
+
+def test_nan_is_missing(spark):
+    df = spark.createDataFrame([(30.0,), (float("nan"),), (50.0,), (None,)], "a double")
+    assert clean.numeric_means(df, ["a"]) == {"a": 40.0}
+    assert clean.numeric_medians(df, ["a"]) == {"a": 40.0}
+    assert sorted(r["a"] for r in clean.fill_missing(df, {"a": 40.0}).collect()) == [30.0, 40.0, 40.0, 50.0]
+    assert validate.validate_missing(df).first()["n"] == 2
 
 
 def test_duplicates_and_report(spark, rows):

@@ -6,6 +6,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from tablewarden.operators import split
 from tablewarden.operators.ranks import cumulate, exact_quantiles, value_counts
 from tablewarden.operators.split import cv_folds, fold_sizes, split_sizes, stratified_split
 
@@ -60,3 +61,29 @@ def test_hot_value_and_skewed_distribution(spark):
     for v in (7.0, values[0], values[-1], values[20000]):
         assert got[v] == np.searchsorted(values, v, side="left")
     df.unpersist()
+
+
+@pytest.mark.parametrize("strata", [600, 5000])
+def test_many_strata(spark, strata):
+    df = spark.range(strata * 4).select("id", F.when(F.col("id") % strata == 7, None).otherwise(F.col("id") % strata).alias("y"))
+    got = stratified_split(df, "y", "id")
+    parts = {r["split"]: r["n"] for r in got.groupBy("split").agg(F.count("*").alias("n")).collect()}
+    assert sum(parts.values()) == strata * 4 and parts["test"] == math.ceil(0.2 * strata * 4)
+
+
+@pytest.mark.parametrize("limit", [64, 1])
+def test_joined_cuts_are_the_same(spark, monkeypatch, limit):
+    df = spark.range(997).select("id", (F.col("id") % 3).alias("y"))
+    expected = stratified_split(df, "y", "id")
+    monkeypatch.setattr(split, "LITERAL_STRATA", limit)
+    monkeypatch.setattr(split, "RANGE_ROWS", 20)
+    assert expected.exceptAll(stratified_split(df, "y", "id")).isEmpty()
+
+
+def test_repeated_and_null_ids(spark):
+    df = spark.range(1000).select((F.col("id") % 5).alias("id"), F.lit(1).alias("y"))
+    with pytest.raises(Exception, match="repeated values in id"):
+        stratified_split(df, "y", "id")
+    rows = spark.createDataFrame([(None, 1)] + [(i, 1) for i in range(9)], "id long, y int")
+    got = stratified_split(rows, "y", "id").groupBy("split").count().collect()
+    assert {r["split"]: r["count"] for r in got} == {"test": 2, "val": 1, "train": 7}
