@@ -241,7 +241,9 @@ def _long_sketches(texts: DataFrame, weights: np.ndarray) -> DataFrame:
                     names=["node", "long"],
                 )
 
-    return texts.select("node", "text").mapInArrow(run, "node string, long array<long>")
+    # Few rows of much work: spread by number of tasks, not by bytes.
+    tasks = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return texts.select("node", "text").repartition(tasks, "node").mapInArrow(run, "node string, long array<long>")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, sampler: Sampler, threshold: float) -> DataFrame:
@@ -320,17 +322,18 @@ def groups(df: DataFrame, key: str = "doc_id", text: str = "text", threshold: fl
     labels = components(linked)
 
     # Bands that are still open: best partners first, which joins most, then all that is left.
-    open_ = _open(_with_labels(placed.drop("met", "bits"), labels))
+    open_ = materialize(_open(_with_labels(placed.drop("met", "bits"), labels)), "open")
     sketched = materialize(_long_sketches(texts.join(open_.select("node").distinct(), "node"), weights), "sketches")
-    rest = materialize(
-        open_.drop("label", "size").join(sketched, "node").join(nodes.select("node", "bands"), "node"), "open")
+    rest = materialize(open_.join(sketched, "node").join(nodes.select("node", "bands"), "node"), "open")
     for turn in range(TURNS + 1):
-        pairs = _candidates(materialize(_open(_with_labels(rest, labels)), "open"), every=turn == TURNS)
+        if turn:
+            rest = materialize(_open(_with_labels(rest.drop("label", "size"), labels)), "open")
+        pairs = _candidates(rest, every=turn == TURNS)
         pairs = materialize(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
-        tried = materialize(tried.unionByName(pairs), "tried")
+        tried = tried.unionByName(pairs)
         found = materialize(_verified(pairs, texts, sampler, threshold), "links")
         if not found.isEmpty():
-            linked = materialize(linked.unionByName(found), "links")
+            linked = linked.unionByName(found)
             labels = components(linked)
 
     grown = _with_labels(nodes.select("node", "copies", "least"), labels)
