@@ -10,7 +10,10 @@ the predictive probability
     P(w | u) = (c_uw - d t_uw) / (theta + c_u) + (theta + d t_u) / (theta + c_u) P(w),
 
 which sums to one over the vocabulary and the unknown word. Contexts are seated given the parent's
-probabilities from word counts, then the parent is seated given all their tables.
+probabilities from the counts of all words, then the parent is seated given all their tables.
+
+In a turn the dishes of a restaurant are seated at the same time, given its tables after the turn before;
+a context that is dealt over several owners takes its own tables times their number for all of them.
 
 Texts are lower-cased (A-Z), cut into words, and closed by one end token. Null and empty texts are one end
 token. Rows whose key is null are training rows. Without training rows every token is unknown. Repeated
@@ -18,7 +21,8 @@ rows count as often as they occur. Other columns do not matter, whatever their n
 
 Nothing is broadcast but the words with at least a millionth of all tokens (a million at most). Texts
 become chunks of word numbers with their own small vocabularies. A chunk asks the owner of each of its
-words and pairs once, however often they occur in it, and gets back what it needs for its texts. Owners
+words and pairs once, however often they occur in it, and gets back what it needs for its texts. The
+counts of words that are not broadcast travel with their pairs. Owners
 are chosen by hash; contexts with many words are dealt over several owners. Steps are tables in the
 shared folder, so lost executors cost a repetition of the step. In pairs, words are known by 40 bits of
 their hash; counts for the base score use all 64.
@@ -48,13 +52,15 @@ COMMON = 1e-6
 DISCOUNT, STRENGTH = 0.8, 1.0
 ROOT_DISCOUNT, ROOT_STRENGTH = 0.6, 1.0
 BURN_IN, KEPT = 2, 4
-_STEP = 64  # customers seated one by one; later ones in leaps of a sixteenth
+_FEW = 64  # so many dishes are seated one by one, since array calls would cost more
+_STEP = 64  # customers seated step by step; later ones from one that may open a table to the next
 
 _END, _START = np.uint64(1), np.uint64(2)
 _LOW = np.uint64((1 << 40) - 1)
 
 _CHUNK = "chunk string, doc_id array<long>, held array<boolean>, size array<int>, ids binary, vocabulary binary, counts binary"
 _MAIL = "kind int, target int, chunk string, a binary, b binary, total double"
+_COUNTED = "kind int, word long, n long, chunk string, target int, counts binary"
 _WORDS = "chunk string, target int, counts binary, root binary, back binary"
 _SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
 
@@ -196,7 +202,7 @@ def _owner_of(u: np.ndarray, w: np.ndarray, owners: int, hot: np.ndarray, parts:
 
 
 def _deal(row: dict, owners: int, hot: np.ndarray, parts: np.ndarray):
-    """A chunk's pairs in the order in which they are sent: context, word, count, owner; and each token's place."""
+    """A chunk's pairs in the order in which they are sent: context, word, count, owner, number of the word; each token's place."""
     v = np.frombuffer(row["vocabulary"], "<u8")
     ids, size, held = _numbers(row), np.array(row["size"]), np.array(row["held"], dtype=bool)
     start = int(np.searchsorted(v, _START))
@@ -206,29 +212,63 @@ def _deal(row: dict, owners: int, hot: np.ndarray, parts: np.ndarray):
     order = np.lexsort((w, u, owner))
     place = np.empty(len(order), dtype=np.int64)
     place[order] = np.arange(len(order))
-    return u[order], w[order], counts[order], owner[order], place[inverse]
+    return u[order], w[order], counts[order], owner[order], (distinct % len(v))[order], place[inverse]
 
 
-def _pair_mail(table: DataFrame, owners: int, common) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hot, parts = common.value[2:]
-        for batch in batches:
-            for row in batch.to_pylist():
-                u, w, counts, owner, _ = _deal(row, owners, hot, parts)
-                cuts = np.searchsorted(owner, np.arange(owners + 1))
-                for k in np.flatnonzero(np.diff(cuts)):
-                    own = slice(cuts[k], cuts[k + 1])
-                    new = np.flatnonzero(np.concatenate([[True], u[own][1:] != u[own][:-1]]))
-                    runs = np.diff(np.append(new, cuts[k + 1] - cuts[k]))
-                    a = len(new).to_bytes(8, "little") + _pack40(u[own][new]) + runs.astype("<u4").tobytes()
-                    b = _pack40(w[own]) + counts[own].astype("<u4").tobytes()
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([0], pa.int32()), pa.array([k], pa.int32()), pa.array([row["chunk"]]), pa.array([a], pa.binary()),
-                         pa.array([b], pa.binary()), pa.array([0.0])],
-                        names=["kind", "target", "chunk", "a", "b", "total"],
-                    )
-
-    return table.drop("doc_id", "counts").mapInArrow(run, _MAIL)
+def _told(v: np.ndarray, owners: int, told: pd.Series, kind: str) -> np.ndarray:
+    """What the owners of a chunk's words ``v`` say, in the order of the vocabulary; ``told`` is in the order of owners."""
+    out = np.empty(len(v), dtype=kind)
+    out[np.argsort(_home(v & _LOW, owners), kind="stable")] = np.concatenate([np.frombuffer(x, kind) for x in told])
+    return out
+
+
+def _pair_mail(table: DataFrame, counted: DataFrame, owners: int, common) -> DataFrame:
+    """Each chunk's pairs by owner, with the training counts of their words where these are not broadcast (else 0)."""
+
+    def run(key: tuple, own: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
+        known, _, hot, parts, _ = common.value
+        row, out = own.iloc[0].to_dict(), []
+        v = np.frombuffer(row["vocabulary"], "<u8")
+        of_words = _told(v, owners, told.sort_values("target")["counts"], "<u4")
+        of_words[np.isin(v & _LOW, known)] = 0
+        u, w, counts, owner, word, _ = _deal(row, owners, hot, parts)
+        cuts = np.searchsorted(owner, np.arange(owners + 1))
+        for k in np.flatnonzero(np.diff(cuts)):
+            own = slice(cuts[k], cuts[k + 1])
+            new = np.flatnonzero(np.concatenate([[True], u[own][1:] != u[own][:-1]]))
+            runs = np.diff(np.append(new, cuts[k + 1] - cuts[k]))
+            a = len(new).to_bytes(8, "little") + _pack40(u[own][new]) + runs.astype("<u4").tobytes()
+            b = _pack40(w[own]) + counts[own].astype("<u4").tobytes()
+            b += pa.compress(of_words[word[own]].tobytes(), codec="zstd", asbytes=True)
+            out.append((0, int(k), row["chunk"], a, b, 0.0))
+        return pd.DataFrame(out, columns=["kind", "target", "chunk", "a", "b", "total"])
+
+    return table.drop("doc_id", "counts").groupBy("chunk").cogroup(counted.groupBy("chunk")).applyInPandas(run, _MAIL)
+
+
+def _log_gamma(x: np.ndarray) -> np.ndarray:
+    """Up to a constant, for x of 12 or more."""
+    return (x - 0.5) * np.log(x) - x + 1 / (12 * x) - 1 / (360 * x**3) + 1 / (1260 * x**5)
+
+
+def _seat_one(c: float, n: float, t: float, others: float, base: float, d: float, theta: float, rng) -> tuple[float, float]:
+    """The same for one dish, which has ``n`` customers at ``t`` tables: its tables, and what its log weight grows by."""
+    weight, u, k = 0.0, [], 0
+    while n < c:
+        if k >= len(u):
+            u, k = (1 - rng.random(4096)).tolist(), 0
+        opening = (theta + d * (others + t)) * base
+        rest = opening - d * t
+        total = rest + n
+        at = min(n + math.log(u[k]) // math.log1p(-max(opening / total, 1e-300)), c)
+        stops = at < c
+        weight -= math.lgamma(total)
+        n = at + stops
+        weight += math.lgamma(rest + n)
+        if stops and u[k + 1] * (rest + at) < total:
+            t += 1
+        k += 2
+    return t, weight
 
 
 def seat(c: np.ndarray, others: np.ndarray, base: np.ndarray, d: float, theta: float, rng) -> tuple[np.ndarray, np.ndarray]:
@@ -238,17 +278,33 @@ def seat(c: np.ndarray, others: np.ndarray, base: np.ndarray, d: float, theta: f
     """
     tables, weight = np.ones(len(c)), np.zeros(len(c))
     active, n = np.flatnonzero(c > 1), 1
-    while len(active):
-        leap = 1 if n < _STEP else n // 16
+    while len(active) and n < _STEP:
         t = tables[active]
         opening = (theta + d * (others[active] + t)) * base[active]
         total = opening + n - d * t
-        moves = np.minimum(leap, c[active] - n)
-        p = opening / total
-        tables[active] += rng.random(len(active)) < p if leap == 1 else rng.binomial(moves, p)
-        weight[active] += moves * np.log(total)
-        n += leap
+        tables[active] += rng.random(len(active)) < opening / total
+        weight[active] += np.log(total)
+        n += 1
         active = active[c[active] > n]
+    # While no table opens, the chance of one only falls: go to the next customer that would open one at the
+    # present chance, and let it do so at the ratio of its own chance to that. This is the same law.
+    seated = np.full(len(active), float(n))
+    while len(active) > _FEW:
+        t = tables[active]
+        opening = (theta + d * (others[active] + t)) * base[active]
+        rest = opening - d * t
+        total = rest + seated
+        skipped = np.floor(np.log(1 - rng.random(len(active))) / np.log1p(-np.maximum(opening / total, 1e-300)))
+        at = np.minimum(seated + skipped, c[active])
+        stops = at < c[active]
+        tables[active] += stops & (rng.random(len(active)) * (rest + at) < total)
+        seated = at + stops
+        weight[active] += _log_gamma(rest + seated) - _log_gamma(total)
+        left = seated < c[active]
+        active, seated = active[left], seated[left]
+    for k, n in zip(active.tolist(), seated.tolist(), strict=True):
+        tables[k], more = _seat_one(float(c[k]), n, float(tables[k]), float(others[k]), float(base[k]), d, theta, rng)
+        weight[k] += more
     return tables, weight
 
 
@@ -279,15 +335,16 @@ def _owner_step(owners: int, common):
     """One owner's pairs of all chunks: seats them, answers the chunks, and reports tables of words and contexts."""
 
     def run(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        known, share, hot, parts = common.value
-        us, ws, cs, from_ = [], [], [], []
+        known, share, hot, parts, train = common.value
+        us, ws, cs, rare, from_ = [], [], [], [], []
         for i, (a, b) in enumerate(zip(group["a"], group["b"], strict=True)):
             n = int.from_bytes(a[:8], "little")
             runs = np.frombuffer(a[8 + 5 * n :], "<u4")
             us.append(np.repeat(_unpack40(a[8 : 8 + 5 * n]), runs))
             m = len(us[-1])
             ws.append(_unpack40(b[: 5 * m]))
-            cs.append(np.frombuffer(b[5 * m :], "<u4"))
+            cs.append(np.frombuffer(b[5 * m : 9 * m], "<u4"))
+            rare.append(np.frombuffer(pa.decompress(b[9 * m :], decompressed_size=4 * m, codec="zstd", asbytes=True), "<u4"))
             from_.append(m)
         u, w, own = np.concatenate(us), np.concatenate(ws), np.concatenate(cs).astype(np.int64)
         order = np.lexsort((w, u))
@@ -306,8 +363,10 @@ def _owner_step(owners: int, common):
             k = np.minimum(np.searchsorted(keys, x), len(keys) - 1)
             return np.where(keys[k] == x, values[k], default)
 
+        sent = np.concatenate(rare)[at]
+        base = np.where(sent > 0, sent / max(1, train), looked_up(known, share, pw, 0.0))
         tables = gibbs(
-            c, restaurant, looked_up(known, share, pw, COMMON), DISCOUNT, STRENGTH,
+            c, restaurant, base, DISCOUNT, STRENGTH,
             np.random.default_rng((17, int(key[0]))), looked_up(hot, parts.astype(float), pu, 1.0))
         value = (c - DISCOUNT * tables).astype("<f4")
         out = []
@@ -342,17 +401,29 @@ def _sums(group: pd.DataFrame, kind: int, ids: np.ndarray) -> np.ndarray:
     return out
 
 
-def _root_seats(customers: np.ndarray, target: int, vocabulary: int) -> np.ndarray:
-    """Tables of the parent for words with so many customers; the parent has at least as many tables as words."""
+def _root_seats(customers: np.ndarray, target: int, vocabulary: int, totals: list[float]) -> tuple[np.ndarray, np.ndarray]:
+    """Tables of the parent for words with so many customers, after as many turns as there are ``totals``: at present, and on average.
+
+    ``totals`` are the parent's tables, of all words, before each turn.
+    """
     c = np.rint(customers).astype(np.int64)
     c[(customers > 0) & (c == 0)] = 1
     several = np.flatnonzero(c > 1)
     tables = np.minimum(c, 1).astype(float)
+    average = tables.copy()
     rng = np.random.default_rng((19, target))
-    base, others = np.full(len(several), 1.0 / (vocabulary + 1)), np.full(len(several), float(vocabulary))
-    for _ in range(KEPT):
-        tables[several] += (seat(c[several], others, base, ROOT_DISCOUNT, ROOT_STRENGTH, rng)[0] - 1) / KEPT
-    return tables
+    base = np.full(len(several), 1.0 / (vocabulary + 1))
+    weight, mean = np.full(len(several), -np.inf), np.zeros(len(several))
+    for turn, total in enumerate(totals):
+        others = np.maximum(total - tables[several], 0)
+        new, new_weight = seat(c[several], others, base, ROOT_DISCOUNT, ROOT_STRENGTH, rng)
+        accept = np.log(rng.random(len(several))) < new_weight - weight
+        tables[several] = np.where(accept, new, tables[several])
+        weight = np.where(accept, new_weight, weight)
+        if turn >= BURN_IN:
+            mean += tables[several] / KEPT
+    average[several] = mean
+    return tables, average
 
 
 def score(df: DataFrame, key: str = "doc_id", text: str = "text", folds: int = 10) -> DataFrame:
@@ -365,15 +436,22 @@ def score(df: DataFrame, key: str = "doc_id", text: str = "text", folds: int = 1
     owners = max(4, math.ceil((size["tokens"] or 0) / OWNER_PAIRS))
 
     def count(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        _, _, v, c = _tally(group)
+        _, inverse, v, c = _tally(group)
         token = v != _START
         n = int(c[token].sum())
         common = c >= max(2, COMMON * n)  # more than enough: n is this owner's share only
         rows = [(-1, n), (-2, int((c[token] > 0).sum())), (-3, int(c[~token].sum()))]
         rows += [(int(a), int(b)) for a, b in zip((v[common] & _LOW).tolist(), c[common].tolist(), strict=True)]
-        return pd.DataFrame(rows, columns=["word", "n"])
-
-    counted, of_words = _stored(_requests(table, owners).groupBy("target").applyInPandas(count, "word long, n long"), "lm-words")
+        out = [(0, a, b, "", 0, b"") for a, b in rows]
+        # What pairs know of their words: one count for all words that share 40 bits.
+        _, to = np.unique(v & _LOW, return_inverse=True)
+        of_pairs = np.bincount(to, c)[to].astype("<u4")[inverse]
+        ends = np.cumsum([len(x) // 8 for x in group["a"]])
+        out += [(1, 0, 0, chunk, int(key[0]), x.tobytes()) for chunk, x in zip(group["chunk"], np.split(of_pairs, ends[:-1]), strict=True)]
+        return pd.DataFrame(out, columns=["kind", "word", "n", "chunk", "target", "counts"])
+
+    told, of_words = _stored(_requests(table, owners).groupBy("target").applyInPandas(count, _COUNTED), "lm-words", "kind")
+    counted = told.where("kind = 0")
     totals = {r["word"]: r["n"] for r in counted.where("word < 0").groupBy("word").agg(F.sum("n").alias("n")).collect()}
     train, vocabulary, texts = (totals.get(k, 0) for k in (-1, -2, -3))
     frequent = counted.where((F.col("word") >= 0) & (F.col("n") >= max(2.0, COMMON * train))).orderBy("word").toArrow()
@@ -382,21 +460,37 @@ def score(df: DataFrame, key: str = "doc_id", text: str = "text", folds: int = 1
     start = known == _START & _LOW
     crowded = counts >= max(1, train) / (4 * owners)
     hot, parts = known[crowded], np.minimum(owners, np.ceil(4 * owners * counts[crowded] / max(1, train)))
-    share = np.where(start, COMMON, counts / max(1, train))
-    common = spark.sparkContext.broadcast((known, share, hot, parts))
+    share = np.where(start, 0.0, counts / max(1, train))
+    common = spark.sparkContext.broadcast((known, share, hot, parts, train))
 
+    counts_of_words = told.where("kind = 1").select("chunk", "target", "counts")
     mail, of_mail = _stored(
-        _pair_mail(table, owners, common).groupBy("target").applyInPandas(_owner_step(owners, common), _MAIL), "lm-mail", "kind")
+        _pair_mail(table, counts_of_words, owners, common).groupBy("target").applyInPandas(_owner_step(owners, common), _MAIL), "lm-mail", "kind")
     mail = mail.select("kind", "target", "chunk", "a", "b", "total")
     _removed(spark, of_words)
 
     def root(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         ids = np.unique(np.concatenate([_unpack40(x) for x in group["a"]]))
-        return pd.DataFrame({"tables": [float(_root_seats(_sums(group, 1, ids), int(key[0]), vocabulary).sum())]})
+        return pd.DataFrame([(int(key[0]), _sums(group, 1, ids).tobytes())], columns=["target", "customers"])
 
     about_words = mail.where("kind = 1")
     customers = about_words.agg(F.sum("total")).first()[0] or 0.0
-    root_tables = about_words.groupBy("target").applyInPandas(root, "tables double").agg(F.sum("tables")).first()[0] or 0.0
+    parent, of_parent = _stored(about_words.groupBy("target").applyInPandas(root, "target int, customers binary"), "lm-parent")
+
+    def parent_tables(totals: list[float], average: bool) -> float:
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                yield pd.DataFrame({"tables": [
+                    float(_root_seats(np.frombuffer(x), target, vocabulary, totals)[average].sum())
+                    for target, x in zip(batch["target"].tolist(), batch["customers"], strict=True)]})
+
+        return parent.mapInPandas(run, "tables double").agg(F.sum("tables")).first()[0] or 0.0
+
+    turns: list[float] = []
+    for _ in range(BURN_IN + KEPT):
+        turns.append(parent_tables(turns, False))
+    root_tables = parent_tables(turns, True)
+    _removed(spark, of_parent)
     rest = (ROOT_STRENGTH + ROOT_DISCOUNT * root_tables) / (ROOT_STRENGTH + customers)
     unknown = rest / (vocabulary + 1)
 
@@ -407,7 +501,7 @@ def score(df: DataFrame, key: str = "doc_id", text: str = "text", folds: int = 1
         v, inverse, distinct, c = _tally(asked)
         ids, to = np.unique(distinct & _LOW, return_inverse=True)
         n = _sums(group, 1, ids)
-        tables = _root_seats(n, int(key[0]), vocabulary)
+        tables = _root_seats(n, int(key[0]), vocabulary, turns)[1]
         p = (n - ROOT_DISCOUNT * tables) / (ROOT_STRENGTH + customers) + unknown
         used = np.where(distinct == _END, 0, c)
         back = (STRENGTH + DISCOUNT * _sums(group, 2, ids)[to]) / (STRENGTH + used)
@@ -425,13 +519,11 @@ def score(df: DataFrame, key: str = "doc_id", text: str = "text", folds: int = 1
     def scores(key: tuple, own: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
         row = own[own["vocabulary"].notna()].iloc[0].to_dict()
         v = np.frombuffer(row["vocabulary"], "<u8")
-        home = _home(v & _LOW, owners)
-        order = np.argsort(home, kind="stable")
         told = told.sort_values("target")
-        c, p, back = np.empty(len(v), np.int64), np.empty(len(v)), np.empty(len(v))
-        for to, column, kind in ((c, "counts", "<u4"), (p, "root", "<f4"), (back, "back", "<f4")):
-            to[order] = np.concatenate([np.frombuffer(x, kind) for x in told[column]])
-        u, w, counts, owner, place = _deal(row, owners, hot, parts)
+        c, p, back = (
+            _told(v, owners, told[column], kind).astype(to)
+            for column, kind, to in (("counts", "<u4", np.int64), ("root", "<f4", float), ("back", "<f4", float)))
+        _, _, counts, owner, _, place = _deal(row, owners, hot, parts)
         value = np.where(counts == 1, 1 - DISCOUNT, 0.0)
         cuts = np.searchsorted(owner, np.arange(owners + 1))
         for target, a, b in own.loc[own["kind"] == 0, ["target", "a", "b"]].itertuples(index=False):

@@ -130,3 +130,33 @@ def test_seats():
     assert tables[0] == 1 and tables[4] == 0 and (tables <= c).all() and (tables[:4] >= 1).all()
     packed = np.array([0, 5, (1 << 40) - 1], dtype=np.uint64)
     assert pitman_yor._unpack40(pitman_yor._pack40(packed)).tolist() == packed.tolist()
+
+
+def test_seats_follow_the_law_one_by_one():
+    """Large dishes have the tables of customers that come one after the other."""
+    def plain(c, rng):
+        opens = rng.random((c, 1500))
+        t, log_total = np.ones(1500), np.zeros(1500)
+        for n in range(1, c):
+            opening = (1.0 + 0.8 * (30 + t)) * 0.02
+            total = opening + n - 0.8 * t
+            t += opens[n] < opening / total
+            log_total += np.log(total)
+        return t, log_total
+
+    t, log_total = plain(4000, np.random.default_rng(2))
+    many = np.full(60_000, 4000)
+    got, weight = pitman_yor.seat(many, np.full(len(many), 30.0), np.full(len(many), 0.02), 0.8, 1.0, np.random.default_rng(3))
+    for own, law in ((got, t), (weight, log_total)):
+        assert abs(own.mean() - law.mean()) < 4 * law.std() / len(law) ** 0.5
+    few, _ = zip(*(pitman_yor._seat_one(4000, 1, 1.0, 30.0, 0.02, 0.8, 1.0, np.random.default_rng(k)) for k in range(1500)), strict=True)
+    assert abs(np.mean(few) - t.mean()) < 6 * t.std() / 1500**0.5
+    one, alone = pitman_yor.seat(np.array([700]), np.zeros(1), np.zeros(1), 0.8, 1.0, np.random.default_rng(4))
+    assert one[0] == 1 and np.isclose(alone[0], np.log(np.arange(1, 700) - 0.8).sum())
+
+
+def test_the_parent_is_seated_among_its_own_tables():
+    customers = np.full(200, 400.0)
+    few = pitman_yor._root_seats(customers, 0, 10**6, [200.0] * 6)[1].mean()
+    many = pitman_yor._root_seats(customers, 0, 10**6, [10.0**6] * 6)[1].mean()
+    assert few < 1.1 and many > 1.5

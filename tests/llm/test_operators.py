@@ -157,6 +157,14 @@ def test_language_model_counts_and_gain(spark, sf_dir):
     assert held.score.sum() > held.base_score.sum()
 
 
+def test_words_that_are_not_broadcast_have_their_counts_too(spark, sf_dir, monkeypatch):
+    df = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    before = pitman_yor.score(df).toPandas().set_index("doc_id").score
+    monkeypatch.setattr(pitman_yor, "COMMON", 1.0)  # the driver broadcasts no word
+    after = pitman_yor.score(df).toPandas().set_index("doc_id").score
+    assert abs(after.sum() / before.sum() - 1) < 0.002
+
+
 def test_pipeline_stages(spark, sf_dir):
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
     docs = documents
