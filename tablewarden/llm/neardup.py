@@ -3,7 +3,9 @@
 A document is its bag of five-word shingles. A shingle weighs its count times an inverse document
 frequency, which is counted over all documents in hashed cells (the usual hashing trick) and clipped to
 [1/2, 1] of log(1/RARE): shingles in less than one fiftieth of the documents have full weight, those that
-very many documents share have half of it. Weighted samples are drawn consistently (Ioffe 2010): two
+very many documents share have half of it. A large group of copies or near copies counts about as one
+document in this: a first round bands plain min-hashes, and a document in a band with a thousandth of all
+rows or more counts for one over the size of its largest band. Weighted samples are drawn consistently (Ioffe 2010): two
 documents draw the same sample with a probability equal to their weighted Jaccard similarity. Samples are
 banded; documents that share a band are candidates, and a pair is a link if its weighted Jaccard
 similarity, computed from the whole texts, is 0.8 or more. Groups are the connected components.
@@ -45,6 +47,7 @@ LONG, LEAST_LONG = 1024, 825
 TURNS, BLOCK = 1, 512
 CELLS = 1 << 18
 RARE, FLOOR = 0.02, 0.5
+HOT = 0.001  # of all rows; smaller groups cannot make a shingle frequent
 _HALF = 0x5555555555555555
 
 
@@ -52,26 +55,77 @@ def _cell(values: np.ndarray) -> np.ndarray:
     return (values >> np.uint64(46)).astype(np.int64)
 
 
+def plain_bands(values: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Band keys (text x band) of min-hashes over distinct shingles, all of one weight; texts without shingles have zeros."""
+    out = np.zeros((len(first) - 1, BANDS), dtype=np.uint64)
+    full = np.flatnonzero(np.diff(first))
+    if len(full):
+        keys = np.random.default_rng(8).integers(0, 1 << 63, SAMPLES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+        for k, key in enumerate(keys):
+            h = (values ^ key) * np.uint64(0x9FB21C651E98DF25)
+            h ^= h >> np.uint64(32)
+            least = np.minimum.reduceat(h * key, first[full])
+            out[full, k // ROWS] = words.mix(out[full, k // ROWS] * np.uint64(0x9E3779B97F4A7C15) + least + np.uint64(k))
+    return out
+
+
+def hot_bands(df: DataFrame, text: str = "text") -> list[tuple[np.ndarray, np.ndarray]]:
+    """Of each band the buckets with at least ``HOT`` of all rows, at most 1,000, and their numbers of rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, _, data, offsets in words.blocks(batch.column(0)):
+                values, _, first = words.distinct(*words.text_shingles(data, offsets))
+                found = plain_bands(values, first).view(np.int64)
+                for k in range(BANDS):
+                    buckets, n = np.unique(found[:, k], return_counts=True)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(buckets), k, np.int32)), pa.array(buckets), pa.array(n.astype(np.int64))],
+                        names=["band", "bucket", "n"])
+
+    least = max(2, int(HOT * df.count()))
+    rows = (
+        df.select(col(text)).mapInArrow(run, "band int, bucket long, n long").groupBy("band", "bucket").agg(F.sum("n").alias("n"))
+        .where(F.col("n") >= least).orderBy("band", "bucket").toArrow())
+    band, bucket, n = (rows[c].to_numpy() for c in ("band", "bucket", "n"))
+    return [(bucket[band == k], n[band == k].astype(np.float64)) for k in range(BANDS)]
+
+
+def _parts(found: np.ndarray, hot: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """For how much of a document each text counts."""
+    size = np.ones(len(found))
+    for k, (buckets, n) in enumerate(hot):
+        if len(buckets):
+            own = np.ascontiguousarray(found[:, k]).view(np.int64)
+            at = np.minimum(np.searchsorted(buckets, own), len(buckets) - 1)
+            size = np.maximum(size, np.where(buckets[at] == own, n[at], 1.0))
+    return 1.0 / size
+
+
 def cell_weights(df: DataFrame, text: str = "text") -> np.ndarray:
     """The clipped inverse document frequency of every cell, from all documents. Its size is fixed."""
+    shared = df.sparkSession.sparkContext.broadcast(hot_bands(df, text))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, n = np.zeros(CELLS, dtype=np.int64), 0
+        counts, n = np.zeros(CELLS), 0.0
         for batch in batches:
-            n += batch.num_rows
             for _, _, data, offsets in words.blocks(batch.column(0)):
-                values, _, _ = words.distinct(*words.text_shingles(data, offsets))
-                counts += np.bincount(_cell(values), minlength=CELLS)
+                values, _, first = words.distinct(*words.text_shingles(data, offsets))
+                part = _parts(plain_bands(values, first), shared.value)
+                n += part.sum()
+                counts += np.bincount(_cell(values), np.repeat(part, np.diff(first)), CELLS)
         cells = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.append(cells, -1)), pa.array(np.append(counts[cells], n))], names=["cell", "n"])
 
-    summed = df.select(col(text)).mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    summed = df.select(col(text)).mapInArrow(run, "cell long, n double").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
     cells, counts = np.array(summed["cell"], dtype=np.int64), np.array(summed["n"], dtype=np.float64)
     total = counts[cells == -1].sum()
     out = np.ones(CELLS, dtype=np.float64)
     seen = cells >= 0
-    out[cells[seen]] = np.clip(np.log(np.maximum(total / counts[seen], 1.0)) / np.log(1 / RARE), FLOOR, 1.0)
+    # A shingle is in one document at least. Sums of parts depend on their order; rounding takes that away.
+    often = np.round(np.maximum(total, 1.0) / np.maximum(counts[seen], 1.0), 6)
+    out[cells[seen]] = np.round(np.clip(np.log(np.maximum(often, 1.0)) / np.log(1 / RARE), FLOOR, 1.0), 6)
     return out
 
 

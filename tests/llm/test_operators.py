@@ -6,11 +6,12 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from tablewarden.llm import bpe, html, mixture, neardup, pitman_yor, queries, shards, sketch, toxicity, urls, vectors
+from tablewarden.llm import bpe, html, mixture, neardup, pitman_yor, queries, shards, sketch, toxicity, urls, vectors, words
 from tests.oracle import connect, differences
 
 DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long, size int, node string"
@@ -113,6 +114,29 @@ def test_near_documents_equal_brute_force(spark, sf_dir):
     assert sum(i == c for i, c in got.items()) == neardup.deduplicated(df).count() == len(set(got.values()))
 
 
+def test_copies_in_a_hot_group_are_linked(spark):
+    """A third of all rows copies one text at a plain similarity of 0.80 to 0.88, by edits of their own."""
+    rng = np.random.default_rng(9)
+    word = lambda n: [f"w{k}" for k in rng.integers(0, 10**6, n)]
+    base, rows = word(300), []
+    for k in range(200):
+        copy = list(base)
+        for at in np.arange(4 + k % 3) * 45 + rng.integers(5, 30) if k else ():  # an edit changes 5 of 296 shingles
+            copy[at] = word(1)[0]
+        rows.append((k, " ".join(copy)))
+    rows += [(k, " ".join(word(300))) for k in range(200, 600)]
+    bag = lambda t: {tuple(w[k : k + 5]) for w in [t.split()] for k in range(len(w) - 4)}
+    first = bag(rows[0][1])
+    plain = {k: len(first & bag(t)) / len(first | bag(t)) for k, t in rows[1:200]}
+    assert all(0.8 <= j <= 0.88 for j in plain.values())
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    weights = neardup.cell_weights(df)
+    sampler = neardup.Sampler(weights)
+    values, own, at = sampler.bag(*words.flat(pa.array([t for _, t in rows[:200]])))
+    bags = [(values[a:b], own[a:b]) for a, b in zip(at[:-1], at[1:], strict=True)]
+    assert all(neardup.similarity(bags[0], bags[k]) >= neardup.THRESHOLD for k in plain)
+
+
 def test_vectors_equal_brute_force(spark):
     rng = np.random.default_rng(6)
     base = rng.normal(size=(40, 16))
