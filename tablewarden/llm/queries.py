@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewarden.llm import bpe, exact, html, mixture, neardup, pitman_yor, shards, sketch, toxicity, urls, vectors
+from tablewarden.llm import bpe, exact, html, mixture, neardup, pitman_yor, shards, sketch, toxicity, urls, variants, vectors
 from tablewarden.llm.registry import query, table
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -92,6 +92,11 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.interleave(table(spark, sf_dir, "documents"))
 
 
+@query("op11_spelling_variants")
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.spelling_variants(table(spark, sf_dir, "documents"))
+
+
 EXACT_SQL = """select doc_id, max(doc_id) over w keep_id, count(*) over w group_size,
  row_number() over (partition by coalesce(text, '') order by doc_id desc nulls last) = 1 kept,
  strlen(coalesce(text, ''))::bigint n_bytes, sha256(coalesce(text, '')) text_sha256
