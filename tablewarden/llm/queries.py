@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewarden.llm import bpe, exact, html, mixture, neardup, pitman_yor, shards, sketch, toxicity, urls, variants, vectors
+from tablewarden.llm import bpe, exact, html, mixture, neardup, pitman_yor, shards, sketch, toxicity, urls, variants, vectors, whitening
 from tablewarden.llm.registry import query, table
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -106,3 +106,8 @@ EXACT_SQL = """select doc_id, max(doc_id) over w keep_id, count(*) over w group_
 @query("op12_exact_duplicates", EXACT_SQL)
 def op12_exact_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(table(spark, sf_dir, "documents"), every_digest=True)
+
+
+@query("op13_whitening")
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
