@@ -6,13 +6,17 @@ of minutes and the rate limits are scaled with them.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import functions as F
 
 from tablewarden.catalog.registry import query, r6, stamp
 from tablewarden.catalog.traffic import _ROUTED, TIER_SQL, routed
 from tablewarden.operators import alerts
 from tablewarden.spec import Thresholds
-from tablewarden.streaming.hold import ROCKSDB, hold_for
+from tablewarden.streaming.hold import hold_for
+from tablewarden.streaming.keyed import ROCKSDB
+from tablewarden.streaming.liveness import silent_intervals
 from tablewarden.streaming.runner import run_available
 
 WIDTH, SLIDE = "1 hour", "30 minutes"
@@ -40,8 +44,8 @@ _ERRORS = f"""errors as (select ws, destination, count(*)::bigint n, count(*) fi
  count(*) filter (status='error')/3600.0::double rate from spread group by ws, destination)"""
 
 
-def error_windows(df):
-    return alerts.error_rate(df, "ts", F.col("status") == "error", ["destination"], WIDTH, SLIDE, LIMITS)
+def error_windows(df, **more):
+    return alerts.error_rate(df, "ts", F.col("status") == "error", ["destination"], WIDTH, SLIDE, LIMITS, **more)
 
 
 @query("alert_error_rate", f"{SLIDING}, {_ERRORS} select {_BOUNDS}, destination, n, errors, round(rate,6) rate, rate > 3/3600.0::double breached from errors")
@@ -147,16 +151,59 @@ def stream_error_rate(spark, sf_dir):
     return _stamped(windows)
 
 
-@query("stream_sustained", f"""{SLIDING}, {_runs_sql(_CLOSED)},
-moves as (select destination, a t, 'pending' state, a from spans
- union all select destination, a + interval 1 hour, 'firing', a from spans where fires
- union all select destination, b + interval 30 minutes, case when fires then 'resolved' else 'inactive' end, a from spans
-  where b < (select max(t) from marks m where m.destination = spans.destination))
-select destination, strftime(t,{_FMT}) "at", state, strftime(a,{_FMT}) pending_since from moves""")
-def stream_sustained(spark, sf_dir):
-    """Pending, firing and resolved transitions from the stateful rule."""
+def _moves_sql(series: str, most: int) -> str:
+    """Transitions of the runs of ``series``: closed windows, and runs ended by false or absent evaluations alike."""
+    return f"""rates as (select ws, {series}, count(*) filter (status='error') > {most} hot from spread group by all),
+steps as (select {series}, ws + interval 1 hour t, epoch(ws)::bigint//1800 - row_number() over (partition by {series} order by ws) run
+ from rates where hot and {_CLOSED}),
+spans as (select {series}, min(t) a, max(t) b from steps group by {series}, run),
+moves as (select {series}, a t, 'pending' state, a from spans
+ union all select {series}, a + interval 1 hour, 'firing', a from spans where b - a >= interval 1 hour
+ union all select {series}, b + interval 30 minutes, case when b - a >= interval 1 hour then 'resolved' else 'inactive' end, a
+  from spans where b + interval 30 minutes <= (select max(ts) from request) - interval 10 minutes)
+select {series}, strftime(t,{_FMT}) "at", state, strftime(a,{_FMT}) pending_since from moves"""
+
+
+@contextmanager
+def rocksdb(spark):
+    """The state store that timers need, for the queries started inside."""
+    before = {key: spark.conf.get(key, None) for key in ROCKSDB}
     for key, value in ROCKSDB.items():
         spark.conf.set(key, value)
-    windows = error_windows(routed_stream(spark, sf_dir))
-    events, _ = run_available(hold_for(windows, "window_end", "breached", ["destination"], SLIDE, "1 hour"), "hold")
-    return _stamped(events)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+@query("stream_sustained", f"{SLIDING}, {_moves_sql('destination', 3)}")
+def stream_sustained(spark, sf_dir):
+    """Pending, firing and resolved transitions from the stateful rule."""
+    with rocksdb(spark):
+        windows = error_windows(routed_stream(spark, sf_dir), event_time="event_time")
+        moves, _ = run_available(hold_for(windows, "window_end", "breached", ["destination"], SLIDE, "1 hour", "event_time"), "hold")
+    return _stamped(moves)
+
+
+@query("stream_sustained_by_user", f"{SLIDING}, {_moves_sql('user_id', 0)}")
+def stream_sustained_by_user(spark, sf_dir):
+    """The same per user: series of few events, which fall silent in the middle of a run."""
+    limits = Thresholds(error_rate=0.5 / 3600)
+    with rocksdb(spark):
+        windows = alerts.error_rate(
+            routed_stream(spark, sf_dir), "ts", F.col("status") == "error", ["user_id"], WIDTH, SLIDE, limits, "event_time")
+        moves, _ = run_available(hold_for(windows, "window_end", "breached", ["user_id"], SLIDE, "1 hour", "event_time"), "hold")
+    return _stamped(moves)
+
+
+@query("stream_silent", f"""{_ROUTED}, seen as (select distinct date_trunc('hour', ts) ws, path from routed
+ where date_trunc('hour', ts) + interval 1 hour <= (select max(ts) from routed) - interval 10 minutes),
+calendar as (select path, unnest(generate_series(min(ws), date_trunc('hour', (select max(ts) from routed) - interval 10 minutes) - interval 1 hour, interval 1 hour)) ws
+ from seen group by path)
+select strftime(ws,{_FMT}) window_start, path from calendar c where not exists (select 1 from seen s where s.ws=c.ws and s.path=c.path)""")
+def stream_silent(spark, sf_dir):
+    """Closed hours without a request of a known path."""
+    with rocksdb(spark):
+        silent, _ = run_available(silent_intervals(routed_stream(spark, sf_dir), "ts", ["path"], "1 hour"), "silent")
+    return _stamped(silent)

@@ -36,9 +36,13 @@ def seconds(duration: str) -> int:
 
 
 def sliding(
-    df: DataFrame, ts: str, width: str, slide: str, keys: Sequence[str], sums: Mapping[str, Column]
+    df: DataFrame, ts: str, width: str, slide: str, keys: Sequence[str], sums: Mapping[str, Column],
+    event_time: str | None = None,
 ) -> DataFrame:
-    """(window_start, window_end, keys, sums): additive measures per sliding window."""
+    """(window_start, window_end, keys, sums): additive measures per sliding window.
+
+    ``event_time`` names one more column, the windows' event time, which stateful rules on the same stream need.
+    """
     if seconds(width) % seconds(slide):
         raise ValueError("the window must be a whole number of slides")
     panes = df.groupBy(F.window(ts, slide).alias("__pane"), *keys).agg(
@@ -50,8 +54,9 @@ def sliding(
         spread = panes.groupBy(F.window(F.window_time("__pane"), width, slide).alias("__window"), *keys).agg(
             *[F.sum(name).alias(name) for name in sums]
         )
+    times = [F.window_time("__window").alias(event_time)] if event_time else []
     return spread.select(
-        F.col("__window.start").alias("window_start"), F.col("__window.end").alias("window_end"), *keys, *sums
+        F.col("__window.start").alias("window_start"), F.col("__window.end").alias("window_end"), *keys, *sums, *times
     )
 
 
@@ -63,10 +68,10 @@ def request_rate(df: DataFrame, ts: str, keys: Sequence[str], width: str, slide:
 
 def error_rate(
     df: DataFrame, ts: str, failed: Column, keys: Sequence[str], width: str, slide: str,
-    limits: Thresholds = Thresholds(),
+    limits: Thresholds = Thresholds(), event_time: str | None = None,
 ) -> DataFrame:
     """Errors per second of each series and window, and whether they breach the limit."""
-    out = sliding(df, ts, width, slide, keys, {"n": F.count("*"), "errors": F.count_if(failed)})
+    out = sliding(df, ts, width, slide, keys, {"n": F.count("*"), "errors": F.count_if(failed)}, event_time)
     out = out.withColumn("rate", F.col("errors") / float(seconds(width)))
     return out.withColumn("breached", F.col("rate") > limits.error_rate)
 

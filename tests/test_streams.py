@@ -6,6 +6,7 @@ from tablewarden.operators import alerts, traffic
 from tablewarden.session import scratch_path
 from tablewarden.spec import SUBJECT, Thresholds
 from tablewarden.streaming.hold import hold_for
+from tablewarden.streaming.liveness import silent_intervals
 from tablewarden.streaming.runner import late_rows, run_available
 from tablewarden.streaming.scoring import dead_letters
 
@@ -64,18 +65,40 @@ def test_sustained_states(spark):
     assert got[1]["firing_since"] == got[1]["last_true"] and got[2]["resolved_at"] is None
 
 
-def test_hold_on_a_stream_equals_the_table(spark):
+def moves_of(runs):
+    """The transitions that the runs of a table stand for."""
+    rows = runs.collect()
+    return sorted(
+        [(r.series, r.pending_since, "pending", r.pending_since) for r in rows]
+        + [(r.series, r.firing_since, "firing", r.pending_since) for r in rows if r.firing_since]
+        + [(r.series, r.resolved_at, r.state, r.pending_since) for r in rows if r.resolved_at])
+
+
+@pytest.mark.parametrize("cut", ["2024-01-01 02:10:00", "2024-01-01 00:40:00", "2024-01-01 04:10:00"])
+def test_hold_on_a_stream_equals_the_table(spark, cut):
     t, f = True, False
-    flags = [t, t, None, t, t, t, f, t, f, f]
-    df = evaluated(spark, flags).unionAll(evaluated(spark, [f, t, t, t, t, None, None, t, t, f], "other"))
-    halves = [df.where("at < '2024-01-01 02:10:00'"), df.where("at >= '2024-01-01 02:10:00'")]
-    events, _ = run_available(hold_for(stream_of(spark, halves), "at", "hot", ["series"], "30 minutes", "1 hour"), "hold")
-    runs = alerts.sustained(df, "at", "hot", ["series"], "30 minutes", "1 hour")
-    firing = events.where("state = 'firing'").select("series", "at")
-    assert firing.exceptAll(runs.where("firing_since is not null").select("series", "firing_since")).isEmpty()
-    assert firing.count() == runs.where("firing_since is not null").count() == 2
-    ended = events.where("state in ('resolved', 'inactive')").select("series", "at", "state")
-    assert ended.exceptAll(runs.select("series", "resolved_at", "state")).isEmpty() and ended.count() == 5
+    df = evaluated(spark, [t, t, None, t, t, t, f, t, f, f, f, f])
+    df = df.unionAll(evaluated(spark, [f, t, t, t, t, None, None, t, t, f], "returns"))
+    df = df.unionAll(evaluated(spark, [f, t, t, t], "silent in a firing run")).unionAll(evaluated(spark, [t], "silent at once"))
+    df = df.unionAll(evaluated(spark, [f] * 9 + [t, t, t], "open"))
+    halves = [df.where(f"at < '{cut}'"), df.where(f"at >= '{cut}'")]
+    stream = stream_of(spark, halves).withWatermark("at", "0 seconds")
+    events, _ = run_available(hold_for(stream, "at", "hot", ["series"], "30 minutes", "1 hour"), "hold")
+    got = sorted((r.series, r.at, r.state, r.pending_since) for r in events.collect())
+    assert got == moves_of(alerts.sustained(df, "at", "hot", ["series"], "30 minutes", "1 hour"))
+    assert {m[2] for m in got if m[0] == "silent in a firing run"} == {"pending", "firing", "resolved"}
+
+
+def test_silent_intervals_on_a_stream(spark):
+    hour = lambda *h: [(x * 3600 + 60,) for x in h]
+    first = [("a", *x) for x in hour(0, 1, 4)] + [("b", *x) for x in hour(2)]
+    second = [("a", *x) for x in hour(5, 9)] + [("c", *x) for x in hour(6, 7, 12)]
+    parts = [spark.createDataFrame(p, "series string, s long").select("series", F.timestamp_seconds("s").alias("ts")) for p in (first, second)]
+    stream = stream_of(spark, parts).withWatermark("ts", "0 seconds")
+    silent, _ = run_available(silent_intervals(stream, "ts", ["series"], "1 hour"), "silent")
+    got = sorted((r.series, r.at) for r in silent.select("series", (F.unix_timestamp("window_start") / 3600).cast("int").alias("at")).collect())
+    want = [("a", x) for x in (2, 3, 6, 7, 8, 10, 11)] + [("b", x) for x in range(3, 12)] + [("c", x) for x in (8, 9, 10, 11)]
+    assert got == want
 
 
 def test_histogram_edges(spark):
