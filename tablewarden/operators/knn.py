@@ -1,19 +1,22 @@
-"""Exact k nearest neighbours as a distributed block join.
-
-Training rows are put into cells around a few pivots, and cells are cut into
-blocks of bounded size. A query visits only cells that can hold a neighbour:
-the distance to the k-th nearest row of a small sample of the training rows is
-an upper bound, and pivot distance minus cell radius a lower one. Queries of a
-busy cell are cut into groups of bounded size too, so no task sees more than
-one block of each side, and only k candidates per query and block travel on.
-Nothing is dropped: cells are skipped only when the bounds prove them empty
-of neighbours.
+"""Exact k nearest neighbours as a distributed block join in two rounds.
+
+Training rows are put into the leaves of a tree of cells. A cell with more than ``cell_rows`` rows is split around
+centres fitted to a bounded sample of its own rows, so the number of leaves grows with the rows, and every
+cell knows the distance from its centre to its farthest row. In the first round a query meets the leaf it would
+belong to (and, where that has too few rows, its neighbours below the same cell); the k-th distance found there is
+a tight upper bound. In the second round it meets only the leaves that the bound reaches: those whose centre is
+nearer than bound and radius together, found by walking down the tree. Cells are skipped only when the bounds prove
+them empty of neighbours, so nothing is dropped.
+
+Leaves that cannot be split further (equal vectors) are cut into blocks of ``block_rows`` rows, and so are the
+queries of a busy leaf, so no task sees more than one block of each side, and only k candidates per query and block
+travel on. The tree is the one thing that every task gets. ``TREE_BYTES`` bounds it: beyond that, leaves stay larger.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -22,9 +25,11 @@ from pyspark.sql import functions as F
 
 from tablewarden.session import materialize
 
-SAMPLE_ROWS = 256
-MAX_CELLS = 128
+CELL_ROWS = 4_000
 BLOCK_ROWS = 20_000
+FAN = 32
+SAMPLE_ROWS = 512  # expected rows of a cell's sample
+TREE_BYTES = 128 << 20
 _CHUNK = 4_000_000
 _SLACK = 1e-9
 
@@ -42,6 +47,114 @@ def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
+def _centres(rows: np.ndarray, fan: int) -> np.ndarray:
+    """At most ``fan`` distinct centres of a sample: a few turns of k-means from spread rows."""
+    rows = rows[np.lexsort(rows.T[::-1])]
+    rows = rows[np.concatenate([[True], (rows[1:] != rows[:-1]).any(axis=1)])]
+    if len(rows) <= fan:
+        return rows
+    chosen, nearest = [0], _distances(rows, rows[:1])[:, 0]
+    while len(chosen) < fan:  # farthest rows first, so that separate clusters get centres of their own
+        chosen.append(int(nearest.argmax()))
+        nearest = np.minimum(nearest, _distances(rows, rows[chosen[-1:]])[:, 0])
+    centres = rows[chosen]
+    for _ in range(5):
+        own = _distances(rows, centres).argmin(axis=1)
+        used = np.unique(own)
+        centres = np.stack([rows[own == c].mean(axis=0) for c in used])
+    return np.unique(centres, axis=0)
+
+
+@dataclass
+class CellTree:
+    """Cells in the order of their making; the root is 0 and has no centre. Leaves have no children."""
+
+    parent: np.ndarray
+    first: np.ndarray  # first child
+    children: np.ndarray  # number of children, which follow each other
+    centre: np.ndarray
+    radius: np.ndarray
+    size: np.ndarray
+
+    @classmethod
+    def root(cls, total: int, d: int) -> CellTree:
+        one = np.zeros(1, dtype=np.int64)
+        return cls(one - 1, one.copy(), one.copy(), np.zeros((1, d)), np.full(1, np.inf), one + total)
+
+    @property
+    def leaves(self) -> np.ndarray:
+        return np.flatnonzero(self.children == 0)
+
+    def split(self, node: int, centres: np.ndarray) -> None:
+        k = len(centres)
+        self.first[node], self.children[node] = len(self.parent), k
+        self.parent = np.append(self.parent, np.full(k, node))
+        self.first, self.children = np.append(self.first, np.zeros(k, int)), np.append(self.children, np.zeros(k, int))
+        self.centre = np.concatenate([self.centre, centres])
+        self.radius, self.size = np.append(self.radius, np.zeros(k)), np.append(self.size, np.zeros(k, int))
+
+    def _below(self, node: int) -> slice:
+        return slice(self.first[node], self.first[node] + self.children[node])
+
+    def path(self, q: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """Per level the cell of each row and its distance from that cell's centre; leaves repeat."""
+        at, nodes, away = np.zeros(len(q), dtype=np.int64), [], []
+        far = np.zeros(len(q))
+        while (self.children[at] > 0).any():
+            at = at.copy()
+            far = far.copy()
+            for node in np.unique(at[self.children[at] > 0]):
+                rows = np.flatnonzero(at == node)
+                d = _distances(q[rows], self.centre[self._below(node)])
+                best = d.argmin(axis=1)
+                at[rows], far[rows] = self.first[node] + best, d[np.arange(len(rows)), best]
+            nodes.append(at)
+            away.append(far)
+        return nodes, away
+
+    def leaf(self, q: np.ndarray) -> np.ndarray:
+        nodes, _ = self.path(q)
+        return nodes[-1] if nodes else np.zeros(len(q), dtype=np.int64)
+
+    def under(self, node: int) -> np.ndarray:
+        """The leaves below a cell that hold rows."""
+        if not self.children[node]:
+            return np.array([node])[self.size[[node]] > 0]
+        return np.concatenate([self.under(c) for c in range(*self._below(node).indices(len(self.parent)))])
+
+    def first_leaves(self, q: np.ndarray, reach: int) -> list[np.ndarray]:
+        """The leaf of each row, or the leaves of the lowest cell above it with ``reach`` rows."""
+        found: dict[int, np.ndarray] = {}
+        out = []
+        for leaf in self.leaf(q).tolist():
+            if leaf not in found:
+                node = leaf
+                while self.size[node] < reach and self.parent[node] >= 0:
+                    node = self.parent[node]
+                found[leaf] = self.under(node)
+            out.append(found[leaf])
+        return out
+
+    def reached(self, q: np.ndarray, bound: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(row, leaf) of all leaves that can hold a row within ``bound`` of a query."""
+        row, at, rows, leaves = np.arange(len(q)), np.zeros(len(q), dtype=np.int64), [], []
+        limit = bound * (1 + _SLACK) + _SLACK
+        while len(row):
+            done = self.children[at] == 0
+            rows.append(row[done])
+            leaves.append(at[done])
+            next_row, next_at = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
+            for node in np.unique(at[~done]):
+                own = row[at == node]
+                below = self._below(node)
+                gap = _distances(q[own], self.centre[below]) - self.radius[below][None, :]
+                i, j = np.nonzero((gap <= limit[own][:, None]) & (self.size[below] > 0)[None, :])
+                next_row.append(own[i])
+                next_at.append(self.first[node] + j)
+            row, at = np.concatenate(next_row), np.concatenate(next_at)
+        return np.concatenate(rows), np.concatenate(leaves)
+
+
 def _nearest_in_block(k: int):
     """Top-k rows of one block for each query of one group, ordered by (distance, id)."""
 
@@ -81,8 +194,143 @@ def _nearest_in_block(k: int):
     return search
 
 
+class KnnIndex:
+    """Training rows (id, vec, label) in the leaves of a tree of cells."""
+
+    def __init__(self, train: DataFrame, cell_rows: int = CELL_ROWS, block_rows: int = BLOCK_ROWS, fan: int = FAN):
+        self.block_rows, self.spark = block_rows, train.sparkSession
+        train = train.select("id", F.col("vec").cast("array<double>").alias("vec"), F.col("label").cast("double").alias("label"))
+        self.id_type = dict(train.dtypes)["id"]
+        self.tree = self._grown(train, cell_rows, fan)
+        shared = self._shared()
+
+        @F.pandas_udf("path array<long>, away array<double>")
+        def place(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+            for vec in batches:
+                nodes, away = shared.value.path(_matrix(vec))
+                yield pd.DataFrame({
+                    "path": list(np.stack(nodes, axis=1)) if nodes else [np.zeros(1, dtype=np.int64)] * len(vec),
+                    "away": list(np.stack(away, axis=1)) if nodes else [np.zeros(1)] * len(vec)})
+
+        placed = train.withColumn("__p", place("vec")).select(
+            "id", "vec", "label", F.element_at("__p.path", -1).alias("cell"), "__p.path", "__p.away")
+        placed = materialize(placed, "knn-train")
+        self.rows = placed.select("id", "vec", "label", "cell")
+        self.tree.size[:] = 0
+        met = placed.select(F.explode(F.array_distinct(F.arrays_zip("path", "away"))).alias("z"))
+        for r in met.groupBy("z.path").agg(F.max("z.away").alias("radius"), F.count("*").alias("n")).collect():
+            self.tree.radius[r["path"]], self.tree.size[r["path"]] = r["radius"], r["n"]
+        if len(self.tree.parent) > 1:
+            self.tree.size[0] = self.tree.size[self.tree._below(0)].sum()
+
+    def _shared(self, tree: CellTree | None = None):
+        return self.spark.sparkContext.broadcast(tree or self.tree)
+
+    def _leaf(self, tree: CellTree):
+        shared = self._shared(tree)
+
+        @F.pandas_udf("long")
+        def leaf(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            for vec in batches:
+                yield pd.Series(shared.value.leaf(_matrix(vec)))
+
+        return leaf
+
+    def _grown(self, train: DataFrame, cell_rows: int, fan: int) -> CellTree:
+        """Split every cell above ``cell_rows`` rows until none is left, or the tree has its full size.
+
+        Per level one pass counts rows by cell and one draws a sample of the cells to be split. What is collected
+        has the size of the tree.
+        """
+        total = train.count()
+        first = train.select("vec").first()
+        d = len(first["vec"]) if first else 1
+        most = max(fan, TREE_BYTES // (8 * d + 64))
+        tree = CellTree.root(total, d)
+        open_cells = [0] if total > cell_rows else []
+        while open_cells:
+            open_cells = open_cells[: max(0, (most - len(tree.parent)) // fan)]
+            rates = self.spark.createDataFrame([(int(c), int(tree.size[c])) for c in open_cells], "cell long, n long")
+            drawn = (
+                train.select("vec", self._leaf(tree)("vec").alias("cell"), F.xxhash64(F.lit(len(tree.parent)), "id").alias("h"))
+                .join(F.broadcast(rates), "cell").where(F.pmod("h", "n") < SAMPLE_ROWS)
+            )
+
+            def centres(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+                found = _centres(_matrix(rows["vec"]), fan)
+                return pd.DataFrame({"cell": [key[0]] * len(found), "vec": list(found)})
+
+            made: dict[int, list] = {}
+            for r in drawn.groupBy("cell").applyInPandas(centres, "cell long, vec array<double>").collect():
+                made.setdefault(r["cell"], []).append(r["vec"])
+            new = []
+            for cell, found in sorted(made.items()):
+                if len(found) > 1:
+                    tree.split(cell, np.array(found, dtype=np.float64))
+                    new += range(*tree._below(cell).indices(len(tree.parent)))
+            if not new:
+                break
+            for r in train.select(self._leaf(tree)("vec").alias("cell")).groupBy("cell").count().collect():
+                tree.size[r["cell"]] = r["count"]
+            open_cells = [c for c in new if cell_rows < tree.size[c] < tree.size[tree.parent[c]]]
+        return tree
+
+    def _met(self, asked: DataFrame, reach: int) -> DataFrame:
+        """(qid, dist, id, label): the nearest rows in each asked (qid, vec, cell), per block."""
+        load = {r["cell"]: r["count"] for r in asked.groupBy("cell").count().collect()}
+        parts = [(int(c), -(-int(self.tree.size[c]) // self.block_rows) or 1, -(-load[c] // self.block_rows)) for c in load]
+        table = F.broadcast(self.spark.createDataFrame(parts, "cell long, blocks long, groups long"))
+
+        def salted(df: DataFrame, ident: str, own: str, own_parts: str, other: str, other_parts: str) -> DataFrame:
+            # Each row has its own block; it meets every block of the other side of its cell.
+            return df.join(table, "cell").withColumn(own, F.pmod(F.xxhash64(F.lit(own), ident), own_parts)).withColumn(
+                other, F.explode(F.sequence(F.lit(0).cast("long"), F.col(other_parts) - 1))).drop("blocks", "groups")
+
+        left = salted(asked, "qid", "g", "groups", "b", "blocks")
+        right = salted(self.rows, "id", "b", "blocks", "g", "groups")
+        keys, qid_type = ["cell", "b", "g"], dict(asked.dtypes)["qid"]
+        return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(
+            _nearest_in_block(reach), f"qid {qid_type}, dist double, id {self.id_type}, label double")
+
+    def search(self, queries: DataFrame, k: int, exclude_self: bool = False) -> tuple[DataFrame, DataFrame]:
+        """((qid, dist, id, label) of the k nearest rows, (qid, cell) of the leaves that were searched)."""
+        reach = k + 1 if exclude_self else k
+        queries = queries.select("qid", F.col("vec").cast("array<double>").alias("vec"))
+        shared = self._shared()
+
+        @F.pandas_udf("array<long>")
+        def nearest(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            for vec in batches:
+                yield pd.Series(shared.value.first_leaves(_matrix(vec), reach))
+
+        @F.pandas_udf("array<long>")
+        def others(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+            for vec, bound, seen in batches:
+                row, leaf = shared.value.reached(_matrix(vec), bound.to_numpy())
+                order = np.lexsort((leaf, row))
+                cuts = np.searchsorted(row[order], np.arange(1, len(vec)))
+                yield pd.Series([np.setdiff1d(x, y) for x, y in zip(np.split(leaf[order], cuts), seen, strict=True)])
+
+        first = materialize(queries.withColumn("cells", nearest("vec")), "knn-first")
+        near = materialize(self._met(first.select("qid", "vec", F.explode("cells").alias("cell")), reach), "knn-near")
+        best = F.slice(F.array_sort(F.collect_list("dist")), 1, reach)
+        bounds = near.groupBy("qid").agg(best.alias("d")).select(
+            "qid", F.when(F.size("d") == reach, F.element_at("d", -1)).otherwise(float("inf")).alias("bound"))
+        bounded = first.join(bounds, "qid").withColumn("more", others("vec", "bound", "cells"))
+        more = materialize(bounded.select("qid", "vec", F.explode("more").alias("cell")), "knn-more")
+        # At most k candidates per block of a searched leaf.
+        partial = near.unionByName(self._met(more, reach))
+        if exclude_self:
+            partial = partial.where(F.col("qid") != F.col("id"))
+        found = partial.groupBy("qid").agg(
+            F.slice(F.array_sort(F.collect_list(F.struct("dist", "id", "label"))), 1, k).alias("near"))
+        visits = first.select("qid", F.explode("cells").alias("cell")).unionByName(more.select("qid", "cell"))
+        return found.select("qid", F.inline("near")), visits
+
+
 def knn_join(
-    train: DataFrame, queries: DataFrame, k: int, exclude_self: bool = False, block_rows: int = BLOCK_ROWS
+    train: DataFrame, queries: DataFrame, k: int, exclude_self: bool = False, block_rows: int = BLOCK_ROWS,
+    cell_rows: int = CELL_ROWS,
 ) -> DataFrame:
     """(qid, dist, id, label): the k nearest training rows of every query.
 
@@ -90,72 +338,7 @@ def knn_join(
     are arrays of numbers. Ties in distance go to the smaller id. With
     ``exclude_self`` a training row does not count as its own neighbour.
     """
-    reach = k + 1 if exclude_self else k
-    train = train.select("id", F.col("vec").cast("array<double>").alias("vec"), F.col("label").cast("double").alias("label"))
-    queries = queries.select("qid", F.col("vec").cast("array<double>").alias("vec"))
-
-    total = train.count()
-    # A bounded sample, the rows with the smallest hashes; found by a distributed top-k.
-    picked = train.select("vec").orderBy(F.xxhash64("id"), "id").limit(max(SAMPLE_ROWS, reach)).collect()
-    sample = np.array([r["vec"] for r in picked], dtype=np.float64)
-    pivots = sample[: min(MAX_CELLS, max(1, math.ceil(total / block_rows)), len(sample))]
-
-    @F.pandas_udf("cell int, away double")
-    def assign(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for vec in batches:
-            d = _distances(_matrix(vec), pivots)
-            cell = d.argmin(axis=1)
-            yield pd.DataFrame({"cell": cell.astype(np.int32), "away": d[np.arange(len(d)), cell]})
-
-    placed = train.withColumn("__a", assign("vec")).select("id", "vec", "label", "__a.cell", "__a.away")
-    placed = materialize(placed, "knn-train")
-    cells = {r["cell"]: (r["n"], r["radius"]) for r in placed.groupBy("cell").agg(
-        F.count("*").alias("n"), F.max("away").alias("radius")).collect()}
-    cell_ids = np.array(sorted(cells), dtype=np.int32)
-    centers = pivots[cell_ids]
-    radii = np.array([cells[c][1] for c in cell_ids])
-
-    @F.pandas_udf("array<int>")
-    def visits(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for vec in batches:
-            q = _matrix(vec)
-            if len(sample) >= reach:
-                bound = np.partition(_distances(q, sample), reach - 1, axis=1)[:, reach - 1]
-            else:
-                bound = np.full(len(q), np.inf)
-            nearest = _distances(q, centers) - radii[None, :]
-            keep = nearest <= (bound * (1 + _SLACK) + _SLACK)[:, None]
-            yield pd.Series([cell_ids[row] for row in keep])
-
-    asked = materialize(queries.withColumn("cell", F.explode(visits("vec"))), "knn-queries")
-    load = {r["cell"]: r["n"] for r in asked.groupBy("cell").agg(F.count("*").alias("n")).collect()}
-    blocks = {c: max(1, math.ceil(n / block_rows)) for c, (n, _) in cells.items()}
-    groups = {c: max(1, math.ceil(load.get(c, 0) / block_rows)) for c in cells}
-
-    def by_cell(counts: dict[int, int]):
-        return F.element_at(F.create_map(*[F.lit(x) for c, v in counts.items() for x in (c, v)]), F.col("cell"))
-
-    def salted(df: DataFrame, ident: str, own: str, other: str, own_parts, other_parts) -> DataFrame:
-        # Each row has its own block; it meets every block of the other side of its cell.
-        return df.withColumn(own, F.pmod(F.xxhash64(F.lit(own), ident), own_parts)).withColumn(
-            other, F.explode(F.sequence(F.lit(0).cast("long"), (other_parts - 1).cast("long")))
-        )
-
-    left = salted(asked, "qid", "g", "b", by_cell(groups), by_cell(blocks))
-    right = salted(placed.drop("away"), "id", "b", "g", by_cell(blocks), by_cell(groups))
-    keys = ["cell", "b", "g"]
-    id_type, qid_type = dict(train.dtypes)["id"], dict(queries.dtypes)["qid"]
-    partial = (
-        left.groupBy(*keys).cogroup(right.groupBy(*keys))
-        .applyInPandas(_nearest_in_block(reach), f"qid {qid_type}, dist double, id {id_type}, label double")
-    )
-    if exclude_self:
-        partial = partial.where(F.col("qid") != F.col("id"))
-    # At most k candidates per visited block.
-    best = partial.groupBy("qid").agg(
-        F.slice(F.array_sort(F.collect_list(F.struct("dist", "id", "label"))), 1, k).alias("near")
-    )
-    return best.select("qid", F.inline("near"))
+    return KnnIndex(train, cell_rows, block_rows).search(queries, k, exclude_self)[0]
 
 
 def knn_predict(

@@ -18,9 +18,9 @@ def brute(train, queries, k):
     return out
 
 
-@pytest.mark.parametrize("block_rows", [17, 20000])
+@pytest.mark.parametrize(("block_rows", "cell_rows"), [(17, 20000), (20000, 4), (7, 12), (20000, 20000)])
 @pytest.mark.parametrize("kind", ["normal", "copies", "grid"])
-def test_knn_equals_brute_force(spark, kind, block_rows):
+def test_knn_equals_brute_force(spark, kind, block_rows, cell_rows):
     rng = np.random.default_rng(5)
     points = rng.normal(size=(150, 3))
     if kind == "copies":
@@ -31,13 +31,43 @@ def test_knn_equals_brute_force(spark, kind, block_rows):
     queries = [(1000 + i, v) for i, (_, v, _) in enumerate(train[::3])] + [(2000, [9.0, 9.0, 9.0])]
     got = knn.knn_join(
         spark.createDataFrame(train, "id long, vec array<double>, label double"),
-        spark.createDataFrame(queries, "qid long, vec array<double>"), 5, block_rows=block_rows)
+        spark.createDataFrame(queries, "qid long, vec array<double>"), 5, block_rows=block_rows, cell_rows=cell_rows)
     found = {}
     for r in got.orderBy("qid", "dist", "id").collect():
         found.setdefault(r["qid"], []).append(r["id"])
     assert found == brute(train, queries, 5)
 
 
+def test_knn_searches_few_cells_of_clusters(spark, monkeypatch):
+    """Forty clusters in 16 dimensions, cells of 40 rows: a query searches its own cluster's cells."""
+    monkeypatch.setattr(knn, "SAMPLE_ROWS", 300)
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(40, 16)) * 10
+    x = centres[rng.integers(0, 40, 4000)] + rng.normal(size=(4000, 16))
+    df = spark.createDataFrame([(i, v.tolist(), 0.0) for i, v in enumerate(x)], "id long, vec array<double>, label double")
+    index = knn.KnnIndex(df, cell_rows=40, fan=16)
+    asked = df.where("id % 10 = 0").select(F.col("id").alias("qid"), "vec")
+    found, visits = index.search(asked, 3, exclude_self=True)
+    held = int((index.tree.size[index.tree.leaves] > 0).sum())
+    assert held > 100 and visits.count() < 0.1 * 400 * held  # every query and every cell: 400 * held
+    got = {}
+    for r in found.orderBy("qid", "dist", "id").collect():
+        got.setdefault(r["qid"], []).append(r["id"])
+    apart = np.linalg.norm(x[::10][:, None] - x[None], axis=2)
+    apart[np.arange(400), np.arange(400) * 10] = np.inf
+    assert all(got[10 * i] == np.lexsort((np.arange(4000), apart[i]))[:3].tolist() for i in range(400))
+
+
+def test_knn_tree_within_its_bound(spark, monkeypatch):
+    monkeypatch.setattr(knn, "TREE_BYTES", 4000)
+    rng = np.random.default_rng(8)
+    df = spark.createDataFrame([(i, rng.normal(size=4).tolist(), 0.0) for i in range(1000)], "id long, vec array<double>, label double")
+    index = knn.KnnIndex(df, cell_rows=5, fan=8)
+    assert len(index.tree.parent) <= 4000 // (8 * 4 + 64) + 1
+    found, _ = index.search(df.select(F.col("id").alias("qid"), "vec"), 1)
+    assert found.where("qid = id and dist = 0").count() == 1000
+
+
 def test_knn_with_fewer_rows_than_k(spark):
     train = spark.createDataFrame([(1, [0.0], 1.0), (2, [1.0], 0.0)], "id long, vec array<double>, label double")
     got = knn.knn_predict(train, spark.createDataFrame([(7, [0.2])], "qid long, vec array<double>"), 5).first()
@@ -60,7 +90,7 @@ def auc(model, df):
 
 
 def test_kernel_svm_beats_a_line(rings):
-    assert auc(models.fit_svm(rings, width=64), rings) > 0.99
+    assert auc(models.fit_svm(rings, width=64, max_iter=20, folds=3), rings) > 0.99
     assert auc(models.fit_logistic(rings, max_iter=20), rings) < 0.7
 
 
