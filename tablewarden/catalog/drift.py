@@ -62,7 +62,28 @@ _NUMERIC_REQUEST = {"latency_s": "latency_s", "p": "p", "user_id": "user_id"}
 select feature, round(d,6) statistic, round(p,6) p_value, p < 0.05 drift_detected, round(ref_mean,6) ref_mean, round(curr_mean,6) curr_mean,
  round((curr_mean-ref_mean)/nullif(ref_mean,0)*100,6) mean_change_pct, n::bigint n_ref, m::bigint n_cur from ks""")
 def ks_drift(spark, sf_dir):
-    return r6(drift.ks_drift(sided(request(spark, sf_dir)), list(_NUMERIC_REQUEST), "is_ref"))
+    """With the limiting p-value at every size."""
+    return r6(drift.ks_drift(sided(request(spark, sf_dir)), list(_NUMERIC_REQUEST), "is_ref", exact_rows=0))
+
+
+PATHS = ("click", "error", "purchase", "signup", "view")
+_BY_PATH = {f"latency_{p}": f"case when path = '{p}' then latency_s end" for p in PATHS}
+
+
+@query("ks_exact", f"""with recursive {REQUEST_CTE.removeprefix("with ")}{ks_cte(_BY_PATH, "request")},
+small as (select feature, least(n, m)::bigint n, greatest(n, m)::bigint m, round(d*n*m)::bigint h from ks where greatest(n, m) <= 10000),
+walk as (select feature, n, m, h, 0::bigint s, list_transform(range(n+1), lambda x: (x = 0 and h <= 0)::int::double) b from small
+ union all select feature, n, m, h, s+1, list_transform(list_zip(range(n+1), list_prepend(0.0::double, b), b), lambda z:
+   case when z[1] > s+1 or s+1-z[1] > m then 0.0::double when abs(z[1]*m-(s+1-z[1])*n) >= h then 1.0::double
+    else (case when z[1] > 0 then z[2]*z[1] else 0 end + case when z[1] < s+1 then z[3]*(s+1-z[1]) else 0 end)/(s+1) end) b
+  from walk where s < n+m)
+select ks.feature, round(d,6) statistic, round(coalesce(b[walk.n+1], p),6) p_value, ks.n::bigint n_ref, ks.m::bigint n_cur
+ from ks left join walk on walk.feature=ks.feature and walk.s = walk.n+walk.m""")
+def ks_exact(spark, sf_dir):
+    """Latency of each path: exact p-values where the samples are small."""
+    rows = sided(request(spark, sf_dir))
+    rows = rows.select("is_ref", *[F.when(F.col("path") == p, F.col("latency_s")).alias(f"latency_{p}") for p in PATHS])
+    return r6(drift.ks_drift(rows, list(_BY_PATH), "is_ref").select("feature", "statistic", "p_value", "n_ref", "n_cur"))
 
 
 _CATEGORICAL_REQUEST = {"path": "path", "status": "status", "destination": "destination"}
@@ -99,7 +120,7 @@ report as (select feature, 'numerical' "type", d stat, p from ks union all selec
 
 def _report(spark, sf_dir):
     rows = engineer_features(sided_subject(stored_subject(spark, sf_dir)), SUBJECT)
-    return drift.feature_drift_report(rows, "is_ref", skip=["subject_id", "outcome"])
+    return drift.feature_drift_report(rows, "is_ref", skip=["subject_id", "outcome"], exact_rows=0)
 
 
 @query("feature_drift_report", f'{_REPORT} select feature, "type", round(stat,6) statistic, round(p,6) p_value, p < 0.05 drift_detected from report')

@@ -1,10 +1,11 @@
+import itertools
 import math
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tablewarden.functions.pvalues import chi2_sf, kolmogorov_sf
+from tablewarden.functions.pvalues import chi2_sf, kolmogorov_sf, touching_share
 from tablewarden.operators import drift
 from tablewarden.operators.evaluate import binary_metrics, compare_gate, gate_decision, roc_auc, select_best
 
@@ -46,11 +47,37 @@ def test_kolmogorov_against_exact(spark):
     grid = [0.02, 0.03, 0.04, 0.05]
     # Sizes whose effective size is n.
     rows = spark.createDataFrame([(d, 2 * n, 2 * n) for d in grid], "d double, n long, m long")
-    got = [r[0] for r in rows.select(kolmogorov_sf(F.col("d"), F.col("n"), F.col("m"))).collect()]
+    got = [r[0] for r in rows.select(kolmogorov_sf(F.col("d"), F.col("n"), F.col("m"), 0)).collect()]
     for p, d in zip(got, grid, strict=True):
         assert p == pytest.approx(1 - exact_ks_cdf(n, d), abs=3e-5)
 
 
+def paths_touching(n, m, gap):
+    """Count of all lattice paths that reach the gap, one path after the other."""
+    return sum(
+        any(abs(x * m - y * n) >= gap for x, y in zip(xs, ys, strict=True))
+        for right in itertools.combinations(range(n + m), n)
+        for xs in [np.cumsum([0] + [k in right for k in range(n + m)])] for ys in [np.arange(n + m + 1) - xs])
+
+
+@pytest.mark.parametrize(("n", "m"), [(1, 1), (4, 4), (3, 7), (6, 5), (8, 2)])
+def test_exact_kolmogorov_counts_paths(n, m):
+    for gap in range(1, n * m + 1):
+        assert touching_share(n, m, gap) == pytest.approx(paths_touching(n, m, gap) / math.comb(n + m, n), rel=1e-12)
+
+
+def test_exact_kolmogorov_and_its_limit(spark):
+    # Equal sizes have a closed form: 2 sum (-1)^(i+1) C(2n, n - i k) / C(2n, n).
+    n, k = 500, 60
+    closed = 2 * sum((-1) ** (i + 1) * math.comb(2 * n, n - i * k) / math.comb(2 * n, n) for i in range(1, n // k + 1))
+    rows = spark.createDataFrame([(k / n, n, n), (1.0, 4000, 4000), (0.02, 10_001, 9_000), (None, 5, 5)], "d double, n long, m long")
+    got = [r[0] for r in rows.select(kolmogorov_sf(F.col("d"), F.col("n"), F.col("m"))).collect()]
+    series = [r[0] for r in rows.select(kolmogorov_sf(F.col("d"), F.col("n"), F.col("m"), 0)).collect()]
+    assert got[0] == pytest.approx(closed, rel=1e-10) and got[0] == pytest.approx(series[0], rel=0.1)
+    assert got[2] == series[2] and got[3] is None  # beyond the switch; no distance
+    assert 0 <= got[1] < 1e-300
+
+
 def test_chi2_critical_values(spark):
     known = [(3.841458820694124, 1), (5.991464547107979, 2), (7.814727903251179, 3), (9.487729036781154, 4), (18.307038053275146, 10), (124.34211340400407, 100)]
     rows = spark.createDataFrame(known, "x double, dof int")
