@@ -5,13 +5,15 @@ Learned models have no SQL to compare with; nearest neighbours do.
 
 from __future__ import annotations
 
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from tablewarden.catalog.data import worded
 from tablewarden.catalog.drift import _report
 from tablewarden.catalog.registry import query, r6
-from tablewarden.catalog.views import labelled, request, subject, table
+from tablewarden.catalog.views import SUBJECT_CTE, labelled, request, subject, table
 from tablewarden.operators import models
+from tablewarden.operators.boosting import BoostParams, fit_trees
 from tablewarden.operators.evaluate import evaluate
 from tablewarden.operators.knn import knn_join, knn_predict
 from tablewarden.operators.models import QUICK_SUITE, Candidate
@@ -53,15 +55,52 @@ def _trained(name: str, fit, **params):
 
 
 _trained("train_lr", models.fit_logistic, max_iter=1000)
-# Depths and rates of the full suite, fewer trees; ``models.FULL_SUITE`` has the full sizes.
-_trained("train_rf", models.fit_forest, trees=50, depth=20, min_split=10)
-_trained("train_gbt", models.fit_boosting, rounds=20, rate=0.1, depth=5)
-_trained("train_gbt_deep", models.fit_boosting_deep, rounds=20, rate=0.1, depth=7)
-_trained("train_gbt_hist", models.fit_boosting_hist, rounds=20, rate=0.1, depth=7)
+_trained("train_rf", models.fit_forest, trees=200, depth=20, min_split=10)
+_trained("train_gbt", models.fit_boosting, rounds=200, rate=0.1, depth=5)
+_trained("train_gbt_deep", models.fit_boosting_deep, rounds=200, rate=0.1, depth=7)
+_trained("train_gbt_hist", models.fit_boosting_hist, rounds=200, rate=0.1, depth=7)
 _trained("train_svm_rff", models.fit_svm)
 _trained("train_knn", models.fit_neighbours, k=7)
 
 
+_FIRST_TREE = {
+    "age": "age", "size_mm": "size_mm", "rate_a": "rate_a", "rate_b": "rate_b", **{
+        c: f"(case when {c} = 'Yes' then 1 else 0 end)" for c in ("family_history", "smoking", "genetic", "early_detection")},
+    "screening": "(case screening when 'Never' then 0 when 'Irregular' then 1 when 'Sometimes' then 2 else 3 end)",
+}
+
+
+def _first_tree_sql(depth: int) -> str:
+    """The first tree of second-order boosting: all labels start at one half, ridge 1, rate 0.1."""
+    cells = " union all ".join(
+        f"select subject_id id, {f} f, coalesce({e}, -1)::double v from subject" for f, e in enumerate(_FIRST_TREE.values()))
+    sql = f"{SUBJECT_CTE}, cells as ({cells}), at0 as (select subject_id id, '' path, (outcome = 'Yes')::int y from subject)"
+    for k in range(depth):
+        sql += f""",
+hist{k} as (select path, f, v, sum(0.5::double - y) g, sum(0.25::double) h, count(*) n from at{k} join cells using (id) group by all),
+run{k} as (select path, f, v, sum(g) over w g, sum(h) over w h, sum(g) over a sg, sum(h) over a sh, sum(n) over a n from hist{k}
+ window w as (partition by path, f order by v), a as (partition by path, f)),
+gain{k} as (select *, (g*g/(h+1) + (sg-g)*(sg-g)/(sh-h+1) - sg*sg/(sh+1))/2 gain from run{k} where h >= 1 and sh - h >= 1),
+best{k} as (select * from gain{k} where gain > 1e-9 qualify row_number() over (partition by path order by gain desc, f, v) = 1),
+at{k + 1} as (select id, path || case when cells.v <= best{k}.v then 'L' else 'R' end path, y from at{k} join best{k} using (path) join cells using (id, f))"""
+    nodes = " union all ".join(
+        f"""select a.path, b.f feature, b.v threshold, b.gain, a.g, a.h, a.n from
+ (select path, sum(0.5::double - y) g, sum(0.25::double) h, count(*)::bigint n from at{k} group by path) a left join {f'best{k}' if k < depth else '(select * from best0 where false)'} b using (path)"""
+        for k in range(depth + 1))
+    return f"""{sql}, nodes as ({nodes})
+select path, coalesce(feature, -1) feature, coalesce(threshold, 0) threshold, round(coalesce(gain, 0), 6) gain, round(-0.1::double*g/(h+1), 6) "value", n "rows" from nodes"""
+
+
+@query("boost_first_tree", _first_tree_sql(4))
+def boost_first_tree(spark, sf_dir):
+    """Gains, thresholds and leaves of the first tree, four levels, on all subjects."""
+    rows = subject(spark, sf_dir).select(
+        "subject_id", F.array(*[F.coalesce(F.expr(e), F.lit(-1)).cast("double") for e in _FIRST_TREE.values()]).alias("x"),
+        (F.col("outcome") == "Yes").cast("double").alias("label"))
+    model = fit_trees(rows.select(array_to_vector("x").alias("features"), "label"), "first_tree", BoostParams(rounds=1, depth=4))
+    return r6(model.table(spark).select("path", "feature", "threshold", "gain", "value", "rows"), "gain", "value")
+
+
 @query("train_quick")
 def train_quick(spark, sf_dir):
     """The quick suite without cross-validation."""

@@ -6,6 +6,7 @@ tables have an id, a feature vector and a 0/1 label.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
@@ -18,9 +19,11 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablewarden.operators.boosting import BoostedTrees, BoostParams, fit_trees
 from tablewarden.operators.kernels import RandomFourierFeatures, scale_gamma
 from tablewarden.operators.knn import knn_predict
-from tablewarden.session import shared_dir
+from tablewarden.operators.split import cv_folds
+from tablewarden.session import in_pools, materialize, shared_dir
 
 ID, FEATURES, LABEL = "id", "features", "label"
 
@@ -111,34 +114,58 @@ def fit_forest(
 
 
 def fit_boosting(
-    train: DataFrame, name: str = "gradient_boosting", rounds: int = 200, rate: float = 0.1, depth: int = 5,
-    bins: int = 32, sample: float = 1.0, columns: str = "all",
+    train: DataFrame, name: str = "gradient_boosting", rounds: int = 200, rate: float = 0.1, depth: int = 5, bins: int = 32,
 ) -> SparkModel:
+    """First-order boosting: trees fitted to gradients."""
     return _pipeline(name, train, GBTClassifier(
-        maxIter=rounds, stepSize=rate, maxDepth=depth, maxBins=bins, subsamplingRate=sample,
-        featureSubsetStrategy=columns, lossType="logistic", checkpointInterval=10, seed=42))
+        maxIter=rounds, stepSize=rate, maxDepth=depth, maxBins=bins, lossType="logistic", checkpointInterval=10, seed=42))
 
 
-def fit_boosting_deep(train: DataFrame, name: str = "xgboost", rounds: int = 200, rate: float = 0.1, depth: int = 7) -> SparkModel:
-    """Second boosting profile: deeper trees on subsampled rows."""
-    return fit_boosting(train, name, rounds, rate, depth, sample=0.8)
+def fit_boosting_deep(train: DataFrame, name: str = "xgboost", rounds: int = 200, rate: float = 0.1, depth: int = 7) -> BoostedTrees:
+    """Second-order boosting, trees grown by levels."""
+    return fit_trees(train, name, BoostParams(rounds, rate, depth), FEATURES, LABEL)
 
 
-def fit_boosting_hist(train: DataFrame, name: str = "lightgbm", rounds: int = 200, rate: float = 0.1, depth: int = 7) -> SparkModel:
-    """Third boosting profile: fine histograms and a share of the columns per split."""
-    return fit_boosting(train, name, rounds, rate, depth, bins=255, columns="0.8")
+def fit_boosting_hist(
+    train: DataFrame, name: str = "lightgbm", rounds: int = 200, rate: float = 0.1, depth: int = 7, leaves: int = 31
+) -> BoostedTrees:
+    """Second-order boosting, trees grown leaf by leaf."""
+    return fit_trees(train, name, BoostParams(
+        rounds, rate, depth, leaves, bins=255, ridge=0.0, min_hessian=1e-3, min_rows=20, prior=True), FEATURES, LABEL)
 
 
-def fit_svm(train: DataFrame, name: str = "svm", width: int = 256, max_iter: int = 100) -> SparkModel:
-    """RBF-kernel SVM on random Fourier features, margins calibrated by a logistic fit."""
+def cross_margins(lifted: DataFrame, svc: LinearSVC, folds: int) -> DataFrame:
+    """(id, label, fold, margin): the margin of every row from a machine that was fitted on the other folds."""
+    marked = materialize(cv_folds(lifted, LABEL, ID, folds), "svm-folds", partition_by=("fold",))
+
+    def held_out(fold: int) -> DataFrame:
+        machine = svc.fit(marked.where(F.col("fold") != fold))
+        return machine.transform(marked.where(F.col("fold") == fold)).select(ID, LABEL, "fold", "margin")
+
+    parts = in_pools(lifted.sparkSession, held_out, range(folds))
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+def fit_svm(
+    train: DataFrame, name: str = "svm", width: int = 256, max_iter: int = 100, folds: int = 5
+) -> SparkModel:
+    """RBF-kernel SVM on random Fourier features.
+
+    Probabilities come from a logistic curve over margins of rows that the machine behind them was not fitted on
+    (Platt scaling, cross-fitted); margins of new rows come from a machine fitted on all of them. With fewer rows of a
+    class than folds, the curve is fitted on the margins of the rows themselves.
+    """
     lift = RandomFourierFeatures(inputCol=FEATURES, outputCol="lifted", gamma=scale_gamma(train, FEATURES), width=width)
-    n = train.count()
+    lifted = materialize(lift.transform(train), "lifted")
+    sizes = [r["count"] for r in lifted.groupBy(LABEL).count().collect()]
     svc = LinearSVC(
-        featuresCol="lifted", maxIter=max_iter, regParam=1.0 / max(n, 1), standardization=False,
+        featuresCol="lifted", maxIter=max_iter, regParam=1.0 / max(sum(sizes), 1), standardization=False,
         predictionCol="svc_prediction", rawPredictionCol="margin",
     )
-    platt = LogisticRegression(featuresCol="margin", maxIter=100, rawPredictionCol="platt_margin")
-    return _pipeline(name, train, lift, svc, platt)
+    machine = svc.fit(lifted)
+    held_out = cross_margins(lifted, svc, folds) if len(sizes) == 2 and min(sizes) >= folds else machine.transform(lifted)
+    curve = LogisticRegression(featuresCol="margin", maxIter=100, rawPredictionCol="platt_margin").fit(held_out)
+    return SparkModel(name, PipelineModel(stages=[lift, machine, curve]))
 
 
 def fit_neighbours(train: DataFrame, name: str = "knn", k: int = 7) -> NeighbourModel:

@@ -16,7 +16,7 @@ from tablewarden.operators.models import FULL_SUITE, ID, LABEL, QUICK_SUITE, Can
 from tablewarden.operators.scoring import respond
 from tablewarden.operators.split import cv_folds
 from tablewarden.plans.prepare import PrepState, transform
-from tablewarden.session import materialize
+from tablewarden.session import in_pools, materialize
 from tablewarden.sources.runlog import RunLog
 from tablewarden.spec import METRICS, TableSpec
 
@@ -61,16 +61,20 @@ def metrics_of(model, df: DataFrame) -> dict[str, float]:
 
 
 def cross_validate(candidate: Candidate, train: DataFrame, folds: int = 5) -> DataFrame:
-    """(model, fold, auc): fit on the other folds, AUC on the held-out one."""
-    marked = cv_folds(train, LABEL, ID, folds)
-    out = None
-    for f in range(folds):
-        model = candidate.train(marked.where(F.col("fold") != f).drop("fold"))
-        held = model.score(marked.where(F.col("fold") == f).drop("fold"))
-        row = roc_auc(held, LABEL, "probability").select(
-            F.lit(candidate.name).alias("model"), F.lit(f).alias("fold"), "auc")
-        out = row if out is None else out.unionAll(row)
-    return out
+    """(model, fold, auc): fit on the other folds, AUC on the held-out one.
+
+    The folds are stored once, a folder each, and fitted side by side in scheduler pools.
+    """
+    marked = materialize(cv_folds(train, LABEL, ID, folds), "folds", partition_by=("fold",))
+
+    def held_out(fold: int) -> float | None:
+        model = candidate.train(marked.where(F.col("fold") != fold).drop("fold"))
+        held = model.score(marked.where(F.col("fold") == fold).drop("fold"))
+        return roc_auc(held, LABEL, "probability").first()["auc"]
+
+    found = in_pools(train.sparkSession, held_out, range(folds))
+    rows = [(candidate.name, fold, auc) for fold, auc in enumerate(found)]
+    return train.sparkSession.createDataFrame(rows, "model string, fold int, auc double")
 
 
 def cv_summary(scores: DataFrame) -> DataFrame:

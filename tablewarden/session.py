@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -17,6 +20,7 @@ def local_session(cpus: int = 8, app: str = "tablewarden", **conf: str) -> Spark
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "12g")
+        .config("spark.scheduler.mode", "FAIR")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
@@ -61,3 +65,18 @@ def materialize(
         out = df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), spread_by)
     out.write.partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)
+
+
+def in_pools(spark: SparkSession, run: Callable, items: Iterable, threads: int = 5) -> list:
+    """``run(item)`` for every item, their Spark jobs side by side, each item in a scheduler pool of its own.
+
+    For independent sequences of short jobs, such as the fits of several folds. The pools share the cluster evenly
+    where ``spark.scheduler.mode`` is FAIR; else earlier jobs go first. The first error is raised.
+    """
+    def pooled(job: tuple[int, object]):
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"pool-{job[0]}")
+        return run(job[1])
+
+    jobs = list(enumerate(items))
+    with ThreadPool(min(threads, len(jobs) or 1)) as pool:
+        return pool.map(inheritable_thread_target(pooled), jobs, chunksize=1)
