@@ -13,7 +13,8 @@ together, so a tree takes about as many jobs as it has levels.
 
 The driver holds histograms of the open nodes, of a size set by features, bins and leaves and checked against
 ``HISTOGRAM_BYTES``. Margins are kept with the blocks and brought up to date every ``KEEP_EVERY`` trees; a lost
-block is read again and gets its margin from the trees. (Here, jobs of a few milliseconds over blocks of arrays, hundreds
+block is read again and gets its margin from the trees. A table that fills one partition only (``PART_ROWS``
+rows) has no sums to exchange, so there the task that holds it grows ``KEEP_EVERY`` trees in turn, by the same steps. (Here, jobs of a few milliseconds over blocks of arrays, hundreds
 to thousands of them, are RDD jobs: planning a query for each would take longer than running it.)
 
 Null features are not allowed, NaN counts as larger than all numbers. Gains that differ by less than a
@@ -24,7 +25,7 @@ from __future__ import annotations
 
 import heapq
 import pickle
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -39,7 +40,7 @@ from tablewarden.session import materialize
 
 HISTOGRAM_BYTES = 1 << 30
 KEEP_EVERY = 10
-PART_ROWS = 8192  # at least, per task and step
+PART_ROWS = 1 << 16  # rows of a task, at least
 _FEW_PARTS = 16
 _SAME = 1e-9
 
@@ -153,19 +154,37 @@ def _sigmoid(margin: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-margin))
 
 
+def _sums(blocks: Iterable[tuple], recent: Sequence[Tree], tree: Tree, wanted: Sequence[int], width: int) -> np.ndarray:
+    """([gradient, Hessian, rows], wanted node, bin) of some blocks; ``recent`` trees are not in their margins yet."""
+    slot = np.full(len(tree.feature), -1)
+    slot[list(wanted)] = np.arange(len(wanted))
+    size = len(wanted) * width
+    total = np.zeros((3, size))
+    for block in blocks:
+        codes, y, _ = block
+        own = slot[tree.leaf_of_codes(codes)]
+        held = own >= 0
+        p = _sigmoid(_margin(block, recent)[held])
+        at = (codes[held] + (own[held] * width)[:, None]).ravel()
+        for k, w in enumerate((p - y[held], p * (1 - p))):
+            total[k] += np.bincount(at, np.repeat(w, codes.shape[1]), size)
+        total[2] += np.bincount(at, minlength=size)
+    return total.reshape(3, len(wanted), width)
+
+
 class _Rows:
     """The blocks with their margins, and the sums over them."""
 
     def __init__(self, binned: Binned, start: float):
-        self.binned = binned
-        self.start = start
+        self.width = int(binned.offsets[-1])
         parsed = binned.blocks.rdd.map(lambda r: pickle.loads(r["block"]))
         self.kept = parsed.map(lambda b: (*b, np.full(len(b[1]), start))).persist(StorageLevel.MEMORY_AND_DISK)
+        self.parts = self.kept.getNumPartitions()
         self.recent: list[Tree] = []
 
-    def add(self, tree: Tree) -> None:
-        self.recent.append(tree)
-        if len(self.recent) == KEEP_EVERY:
+    def add(self, trees: Sequence[Tree]) -> None:
+        self.recent = [*self.recent, *trees]
+        if len(self.recent) >= KEEP_EVERY:
             recent, before = self.recent, self.kept
             self.kept = before.map(lambda b: (b[0], b[1], _margin(b, recent))).persist(StorageLevel.MEMORY_AND_DISK)
             self.kept.count()
@@ -174,33 +193,38 @@ class _Rows:
 
     def histograms(self, tree: Tree, wanted: Sequence[int]) -> np.ndarray:
         """(node, bin, [gradient, Hessian, rows]) of the wanted nodes; one Spark job."""
-        recent, width = self.recent, int(self.binned.offsets[-1])
-        slot = np.full(len(tree.feature), -1)
-        slot[list(wanted)] = np.arange(len(wanted))
-        size = len(wanted) * width
-
-        def add(blocks: Iterator[tuple]) -> Iterator[np.ndarray]:
-            total = np.zeros((3, size))
-            for block in blocks:
-                codes, y, _ = block
-                own = slot[tree.leaf_of_codes(codes)]
-                held = own >= 0
-                p = _sigmoid(_margin(block, recent)[held])
-                at = (codes[held] + (own[held] * width)[:, None]).ravel()
-                for k, w in enumerate((p - y[held], p * (1 - p))):
-                    total[k] += np.bincount(at, np.repeat(w, codes.shape[1]), size)
-                total[2] += np.bincount(at, minlength=size)
-            yield total
-
+        recent, width = self.recent, self.width
         # A few partitions are added up by the driver, more of them by tasks first.
-        depth = 1 if self.kept.getNumPartitions() <= _FEW_PARTS else 2
-        total = self.kept.mapPartitions(add).treeReduce(np.add, depth)
-        return total.reshape(3, len(wanted), width).transpose(1, 2, 0)
+        depth = 1 if self.parts <= _FEW_PARTS else 2
+        total = self.kept.mapPartitions(lambda blocks: [_sums(blocks, recent, tree, wanted, width)]).treeReduce(np.add, depth)
+        return total.transpose(1, 2, 0)
+
+    def grown_in_place(self, grower: Grower, rounds: int) -> list[Tree]:
+        """The next trees, where all blocks are in one partition: no sums have to leave it between them."""
+        recent, width = self.recent, self.width
+        return self.kept.mapPartitions(lambda blocks: [_Here(list(blocks), recent, width).grown(grower, rounds)]).collect()[0]
 
     def done(self) -> None:
         self.kept.unpersist()
 
 
+class _Here:
+    """The blocks of a task, for trees that need no others."""
+
+    def __init__(self, blocks: list[tuple], recent: Sequence[Tree], width: int):
+        self.blocks, self.width = [(b[0], b[1], _margin(b, recent)) for b in blocks], width
+
+    def histograms(self, tree: Tree, wanted: Sequence[int]) -> np.ndarray:
+        return _sums(self.blocks, [], tree, wanted, self.width).transpose(1, 2, 0)
+
+    def grown(self, grower: Grower, rounds: int) -> list[Tree]:
+        trees = []
+        for _ in range(rounds):
+            trees.append(grower.grow(self))
+            self.blocks = [(b[0], b[1], _margin(b, trees[-1:])) for b in self.blocks]
+        return trees
+
+
 def _margin(block: tuple, trees: Sequence[Tree]) -> np.ndarray:
     codes, _, margin = block
     for tree in trees:
@@ -224,16 +248,16 @@ class _Leaf:
 class Grower:
     """Trees on binned rows."""
 
-    def __init__(self, binned: Binned, params: BoostParams):
-        self.binned, self.params = binned, params
+    def __init__(self, edges: list[np.ndarray], offsets: np.ndarray, params: BoostParams):
+        self.edges, self.offsets, self.params = edges, offsets, params
         nodes = params.leaves or 2**params.depth
-        needed = 2 * nodes * int(binned.offsets[-1]) * 24
+        needed = 2 * nodes * int(offsets[-1]) * 24
         if needed > HISTOGRAM_BYTES:
             raise ValueError(f"histograms of {nodes} nodes need {needed} bytes: use fewer bins, features, levels or leaves")
 
     def best_split(self, hist: np.ndarray, sums: np.ndarray) -> tuple | None:
         """(feature, code, gain, sums of the left child), or None if no split is allowed to gain."""
-        p, offsets = self.params, self.binned.offsets
+        p, offsets = self.params, self.offsets
         running = np.cumsum(hist, axis=0)
         before = np.concatenate([np.zeros((1, 3)), running])[offsets[:-1]]
         left = running - np.repeat(before, np.diff(offsets), axis=0)
@@ -259,14 +283,14 @@ class Grower:
 
     def _apply(self, tree: Tree, leaf: _Leaf, node: int) -> tuple[int, int]:
         feature, code, gain, _ = leaf.split
-        threshold = float(self.binned.edges[feature][code - self.binned.offsets[feature]])
+        threshold = float(self.edges[feature][code - self.offsets[feature]])
         return tree.split(node, feature, code, threshold, gain)
 
     def _value(self, tree: Tree, node: int, sums: np.ndarray) -> None:
         tree.value[node] = float(-self.params.rate * sums[0] / (sums[1] + self.params.ridge)) if sums[2] else 0.0
         tree.rows[node] = round(sums[2])
 
-    def _sum_below(self, rows: _Rows, tree: Tree, leaves: Sequence[_Leaf]) -> None:
+    def _sum_below(self, rows: _Rows | _Here, tree: Tree, leaves: Sequence[_Leaf]) -> None:
         """The children's histograms of several leaves in one job, as if all of them were split."""
         trial, wanted = pickle.loads(pickle.dumps(tree)), []
         for leaf in leaves:
@@ -276,11 +300,11 @@ class Grower:
             other = leaf.hist - hist
             leaf.below = (hist, other) if node == trial.left[leaf.node] else (other, hist)
 
-    def grow(self, rows: _Rows) -> Tree:
+    def grow(self, rows: _Rows | _Here) -> Tree:
         """One tree for the margins of ``rows``."""
         p, tree = self.params, Tree()
         hist = rows.histograms(tree, [0])[0]
-        sums = hist[: self.binned.offsets[1]].sum(axis=0) if len(self.binned.edges) else np.zeros(3)
+        sums = hist[: self.offsets[1]].sum(axis=0)
         self._value(tree, 0, sums)
         root = self._leaf(0, 0, sums, hist)
         queue, leaves = [root] if root else [], 1
@@ -365,7 +389,7 @@ def fit_trees(
 ) -> BoostedTrees:
     """Fit ``params.rounds`` trees; ``binned`` is a stored matrix to use instead of ``train``."""
     binned = binned or Binned.of(train, features, label, params.bins)
-    grower, start = Grower(binned, params), 0.0
+    grower, start = Grower(binned.edges, binned.offsets, params), 0.0
     if params.prior:
         n, positive = binned.blocks.rdd.map(lambda r: pickle.loads(r["block"])[1]).map(
             lambda y: np.array([len(y), y.sum()])).treeReduce(np.add, 2) if binned.edges else (0, 0)
@@ -373,8 +397,10 @@ def fit_trees(
     trees: list[Tree] = []
     if binned.edges:
         rows = _Rows(binned, start)
-        for _ in range(params.rounds):
-            trees.append(grower.grow(rows))
-            rows.add(trees[-1])
+        while len(trees) < params.rounds:
+            left = min(KEEP_EVERY, params.rounds - len(trees))
+            new = rows.grown_in_place(grower, left) if rows.parts == 1 else [grower.grow(rows)]
+            rows.add(new)
+            trees += new
         rows.done()
     return BoostedTrees(name, trees, start, features)

@@ -71,11 +71,13 @@ def frame(spark, x, y):
 
 
 @pytest.mark.parametrize("params", [
-    BoostParams(rounds=12, rate=0.3, depth=3),
-    BoostParams(rounds=12, rate=0.3, depth=5, leaves=6, ridge=0.0, min_hessian=1e-3, min_rows=8, prior=True),
+    BoostParams(rounds=11, rate=0.3, depth=3),
+    BoostParams(rounds=3, rate=0.3, depth=5, leaves=6, ridge=0.0, min_hessian=1e-3, min_rows=8, prior=True),
     BoostParams(rounds=2, rate=0.5, depth=4, leaves=31, min_rows=1, min_hessian=0.0),
 ], ids=["levels", "leaves", "all leaves"])
-def test_trees_equal_plain_version(spark, params):
+@pytest.mark.parametrize("part_rows", [40, 1 << 16])
+def test_trees_equal_plain_version(spark, monkeypatch, params, part_rows):
+    monkeypatch.setattr(boosting, "PART_ROWS", part_rows)
     x, y = sample()
     model = fit_trees(frame(spark, x, y), "m", params)
     start = np.log(y.sum() / (len(y) - y.sum())) if params.prior else 0.0
@@ -112,4 +114,4 @@ def test_odd_tables(spark, tmp_path):
     pairs = model.score(frame(spark, x, y)).select("id", F.col("probability").alias("p")).join(again.score(frame(spark, x, y)), "id")
     assert pairs.where("p = probability").count() == 30
     with pytest.raises(ValueError, match="fewer"):
-        boosting.Grower(boosting.Binned(None, [np.zeros(10**6)], np.array([0, 10**6])), BoostParams(depth=12))
+        boosting.Grower([np.zeros(10**6)], np.array([0, 10**6]), BoostParams(depth=12))
