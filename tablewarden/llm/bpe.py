@@ -131,6 +131,20 @@ def ragged(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.repeat(start - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)
 
 
+def same_bytes(
+    a: np.ndarray, a_start: np.ndarray, a_end: np.ndarray, b: np.ndarray, b_start: np.ndarray, b_end: np.ndarray,
+) -> np.ndarray:
+    """Whether a[a_start[i]:a_end[i]] equals b[b_start[i]:b_end[i]], for all i."""
+    size = a_end - a_start
+    same = size == b_end - b_start
+    some = np.flatnonzero(same & (size > 0))
+    if len(some):
+        size = size[some]
+        equal = a[ragged(a_start[some], size)] == b[ragged(b_start[some], size)]
+        same[some] = np.logical_and.reduceat(equal, np.cumsum(size) - size)
+    return same
+
+
 def _scan(f: np.ndarray) -> np.ndarray:
     """Inclusive prefix compositions of function ids, by rows of ``_ROW`` and then over the row totals."""
     n = len(f)
@@ -259,9 +273,14 @@ class Vocabulary:
         count = np.zeros(n, dtype=np.int64)
         parts: list[tuple[np.ndarray, np.ndarray]] = []
         at = np.minimum(np.searchsorted(self.word_keys, keys), len(self.word_keys) - 1)
-        whole = self.word_keys[at] == keys
+        hit = np.flatnonzero(self.word_keys[at] == keys)
+        ids = self.word_ids[at[hit]]
+        begin = self.offset[ids]
+        equal = same_bytes(data, start[hit], end[hit], self.bytes, begin, begin + self.size[ids])
+        whole = np.zeros(n, dtype=bool)
+        whole[hit[equal]] = True
         count[whole] = 1
-        parts.append((np.flatnonzero(whole), self.word_ids[at[whole]]))
+        parts.append((hit[equal], ids[equal]))
         size = end - start
         for i in np.flatnonzero(~whole & (size > _LONG)):
             ids = self.merge_one(data[start[i] : end[i]])
@@ -317,6 +336,10 @@ class Vocabulary:
         end = np.append(start[1:], len(data)).astype(np.int64)
         keys = words.hashes(data, start, end)
         _, sample, inverse = np.unique(keys, return_index=True, return_inverse=True)
+        # Slices share ids only where their bytes are equal; those that share a hash alone stand for themselves.
+        odd = np.flatnonzero(~same_bytes(data, start, end, data, start[sample[inverse]], end[sample[inverse]]))
+        inverse[odd] = len(sample) + np.arange(len(odd))
+        sample = np.concatenate([sample, odd])
         ids, offset, count = self.merge(data, start[sample], end[sample], keys[sample])
         each = count[inverse]
         out = ids[ragged(offset[inverse], each)]

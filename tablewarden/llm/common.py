@@ -55,3 +55,16 @@ def numbered(df: DataFrame, by: str, name: str) -> DataFrame:
         ranged.withColumn("__part", part).join(F.broadcast(table), "__part").withColumn(name, index)
         .drop("__part", "__start", "__id")
     )
+
+
+def join_groups(rows: DataFrame, groups: DataFrame, by: list[str], size: str, total: int, how: str = "left") -> DataFrame:
+    """``rows`` joined to one row per group, where a group may hold any share of the rows.
+
+    Groups of more than a thousandth of ``total`` rows, by their column ``size``, are less than a thousand: these are
+    broadcast to their rows, so that no task of the other join gets more than a thousandth by one key. Both tables
+    are read twice and should be stored. With ``how="left"`` rows without a group are kept.
+    """
+    limit = max(1, total // 1000)
+    hot, cold = groups.where(F.col(size) > limit), groups.where(F.col(size) <= limit)
+    parts = rows.join(F.broadcast(hot), by), rows.join(F.broadcast(hot.select(*by)), by, "left_anti").join(cold, by, how)
+    return parts[0].unionByName(parts[1])

@@ -89,6 +89,45 @@ def _numbers(row: dict) -> np.ndarray:
     return np.frombuffer(pa.decompress(row["ids"], decompressed_size=4 * int(np.sum(row["size"])), codec="zstd", asbytes=True), "<i4")
 
 
+def _z(x: np.ndarray, kind: str) -> bytes:
+    """Numbers of a kind, compressed: mail and chunks are written, shuffled and read several times."""
+    plain = np.ascontiguousarray(x.astype(kind)).tobytes()
+    return len(plain).to_bytes(8, "little") + pa.compress(plain, codec="zstd", asbytes=True)
+
+
+def _unz(b: bytes, kind: str) -> np.ndarray:
+    size = int.from_bytes(b[:8], "little")
+    return np.frombuffer(pa.decompress(b[8:], decompressed_size=size, codec="zstd", asbytes=True), kind)
+
+
+def _z_rising(x: np.ndarray) -> bytes:
+    """Rising unsigned numbers as their differences."""
+    return _z(np.diff(x.astype("<u8"), prepend=np.uint64(0)), "<u8")
+
+
+def _unz_rising(b: bytes) -> np.ndarray:
+    return np.cumsum(_unz(b, "<u8"), dtype=np.uint64)
+
+
+def _joined(*parts: bytes) -> bytes:
+    return b"".join(len(x).to_bytes(8, "little") + x for x in parts)
+
+
+def _parted(b: bytes) -> list[bytes]:
+    out, at = [], 0
+    while at < len(b):
+        end = at + 8 + int.from_bytes(b[at : at + 8], "little")
+        out.append(b[at + 8 : end])
+        at = end
+    return out
+
+
+def _runs(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values of a rising array, and where each one begins (with the end)."""
+    values, first = np.unique(x, return_index=True)
+    return values, np.append(first, len(x))
+
+
 def _pack40(x: np.ndarray) -> bytes:
     return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]).tobytes()
 
@@ -127,7 +166,7 @@ def chunks(df: DataFrame, key: str, text: str, folds: int) -> DataFrame:
         return pa.RecordBatch.from_arrays(
             [one(name, pa.string()), one([i for x in ids for i in x], pa.list_(pa.int64())), one(held.tolist(), pa.list_(pa.bool_())),
              one(size.tolist(), pa.list_(pa.int32())), one(pa.compress(local.astype("<i4").tobytes(), codec="zstd", asbytes=True), pa.binary()),
-             one(vocabulary.astype("<u8").tobytes(), pa.binary()), one(counts.astype("<u4").tobytes(), pa.binary())],
+             one(_z_rising(vocabulary), pa.binary()), one(_z(counts, "<u8"), pa.binary())],
             names=["chunk", "doc_id", "held", "size", "ids", "vocabulary", "counts"],
         )
 
@@ -156,16 +195,15 @@ def _requests(table: DataFrame, owners: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk, v, c in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
-                v, c = np.frombuffer(v, "<u8"), np.frombuffer(c, "<u4")
+                v, c = _unz_rising(v), _unz(c, "<u8")
                 home = _home(v & _LOW, owners)
                 order = np.argsort(home, kind="stable")
-                cuts = np.searchsorted(home[order], np.arange(owners + 1))
-                which = [k for k in range(owners) if cuts[k] < cuts[k + 1]]
-                parts = [order[cuts[k] : cuts[k + 1]] for k in which]
+                which, cuts = _runs(home[order])
+                parts = [order[i:j] for i, j in zip(cuts[:-1], cuts[1:], strict=True)]
                 n = len(which)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([3] * n, pa.int32()), pa.array(which, pa.int32()), pa.array([chunk] * n, pa.string()),
-                     pa.array([v[p].tobytes() for p in parts], pa.binary()), pa.array([c[p].tobytes() for p in parts], pa.binary()),
+                     pa.array([_z_rising(v[p]) for p in parts], pa.binary()), pa.array([_z(c[p], "<u8") for p in parts], pa.binary()),
                      pa.array([0.0] * n)],
                     names=["kind", "target", "chunk", "a", "b", "total"],
                 )
@@ -173,12 +211,16 @@ def _requests(table: DataFrame, owners: int) -> DataFrame:
     return table.select("chunk", "vocabulary", "counts").mapInArrow(run, _MAIL)
 
 
-def _tally(group: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Requests of one owner: all words asked for, where each is among the distinct ones, these and their counts."""
-    v = np.concatenate([np.frombuffer(x, "<u8") for x in group["a"]])
-    c = np.concatenate([np.frombuffer(x, "<u4") for x in group["b"]])
-    distinct, inverse = np.unique(v, return_inverse=True)
-    return v, inverse, distinct, np.bincount(inverse, c, len(distinct)).astype(np.int64)
+def _tally(group: pd.DataFrame) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Requests of one owner: per request where its words are among the distinct ones; these, and their counts."""
+    asked = [_unz_rising(x) for x in group["a"]]
+    counts = [_unz(x, "<u8") for x in group["b"]]
+    distinct = np.unique(np.concatenate(asked))
+    places = [np.searchsorted(distinct, x) for x in asked]
+    total = np.zeros(len(distinct), dtype=np.int64)
+    for at, c in zip(places, counts, strict=True):
+        total[at] += c.astype(np.int64)  # the words of a request are distinct
+    return places, distinct, total
 
 
 def _pairs(ids: np.ndarray, size: np.ndarray, held: np.ndarray, start: int, n: int):
@@ -203,7 +245,7 @@ def _owner_of(u: np.ndarray, w: np.ndarray, owners: int, hot: np.ndarray, parts:
 
 def _deal(row: dict, owners: int, hot: np.ndarray, parts: np.ndarray):
     """A chunk's pairs in the order in which they are sent: context, word, count, owner, number of the word; each token's place."""
-    v = np.frombuffer(row["vocabulary"], "<u8")
+    v = _unz_rising(row["vocabulary"])
     ids, size, held = _numbers(row), np.array(row["size"]), np.array(row["held"], dtype=bool)
     start = int(np.searchsorted(v, _START))
     distinct, counts, inverse = _pairs(ids, size, held, start, len(v))
@@ -218,7 +260,7 @@ def _deal(row: dict, owners: int, hot: np.ndarray, parts: np.ndarray):
 def _told(v: np.ndarray, owners: int, told: pd.Series, kind: str) -> np.ndarray:
     """What the owners of a chunk's words ``v`` say, in the order of the vocabulary; ``told`` is in the order of owners."""
     out = np.empty(len(v), dtype=kind)
-    out[np.argsort(_home(v & _LOW, owners), kind="stable")] = np.concatenate([np.frombuffer(x, kind) for x in told])
+    out[np.argsort(_home(v & _LOW, owners), kind="stable")] = np.concatenate([_unz(x, kind) for x in told])
     return out
 
 
@@ -228,19 +270,17 @@ def _pair_mail(table: DataFrame, counted: DataFrame, owners: int, common) -> Dat
     def run(key: tuple, own: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
         known, _, hot, parts, _ = common.value
         row, out = own.iloc[0].to_dict(), []
-        v = np.frombuffer(row["vocabulary"], "<u8")
-        of_words = _told(v, owners, told.sort_values("target")["counts"], "<u4")
+        v = _unz_rising(row["vocabulary"])
+        of_words = _told(v, owners, told.sort_values("target")["counts"], "<u8")
         of_words[np.isin(v & _LOW, known)] = 0
         u, w, counts, owner, word, _ = _deal(row, owners, hot, parts)
-        cuts = np.searchsorted(owner, np.arange(owners + 1))
-        for k in np.flatnonzero(np.diff(cuts)):
-            own = slice(cuts[k], cuts[k + 1])
-            new = np.flatnonzero(np.concatenate([[True], u[own][1:] != u[own][:-1]]))
-            runs = np.diff(np.append(new, cuts[k + 1] - cuts[k]))
-            a = len(new).to_bytes(8, "little") + _pack40(u[own][new]) + runs.astype("<u4").tobytes()
-            b = _pack40(w[own]) + counts[own].astype("<u4").tobytes()
-            b += pa.compress(of_words[word[own]].tobytes(), codec="zstd", asbytes=True)
-            out.append((0, int(k), row["chunk"], a, b, 0.0))
+        which, cuts = _runs(owner)
+        for k, first, last in zip(which.tolist(), cuts[:-1], cuts[1:], strict=True):
+            own = slice(first, last)
+            contexts, at = _runs(u[own])
+            a = _joined(_z_rising(contexts), _z(np.diff(at), "<u4"))
+            b = _joined(_pack40(w[own]), _z(counts[own], "<u8"), _z(of_words[word[own]], "<u8"))
+            out.append((0, k, row["chunk"], a, b, 0.0))
         return pd.DataFrame(out, columns=["kind", "target", "chunk", "a", "b", "total"])
 
     return table.drop("doc_id", "counts").groupBy("chunk").cogroup(counted.groupBy("chunk")).applyInPandas(run, _MAIL)
@@ -337,14 +377,14 @@ def _owner_step(owners: int, common):
     def run(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         known, share, hot, parts, train = common.value
         us, ws, cs, rare, from_ = [], [], [], [], []
-        for i, (a, b) in enumerate(zip(group["a"], group["b"], strict=True)):
-            n = int.from_bytes(a[:8], "little")
-            runs = np.frombuffer(a[8 + 5 * n :], "<u4")
-            us.append(np.repeat(_unpack40(a[8 : 8 + 5 * n]), runs))
+        for a, b in zip(group["a"], group["b"], strict=True):
+            contexts, runs = _parted(a)
+            of_pairs, counts, of_words = _parted(b)
+            us.append(np.repeat(_unz_rising(contexts), _unz(runs, "<u4")))
             m = len(us[-1])
-            ws.append(_unpack40(b[: 5 * m]))
-            cs.append(np.frombuffer(b[5 * m : 9 * m], "<u4"))
-            rare.append(np.frombuffer(pa.decompress(b[9 * m :], decompressed_size=4 * m, codec="zstd", asbytes=True), "<u4"))
+            ws.append(_unpack40(of_pairs))
+            cs.append(_unz(counts, "<u8"))
+            rare.append(_unz(of_words, "<u8"))
             from_.append(m)
         u, w, own = np.concatenate(us), np.concatenate(ws), np.concatenate(cs).astype(np.int64)
         order = np.lexsort((w, u))
@@ -374,17 +414,17 @@ def _owner_step(owners: int, common):
         for i, chunk in enumerate(group["chunk"]):
             mine = slice(ends[i] - from_[i], ends[i])
             told = np.flatnonzero((c[pair[mine]] != own[mine]) | (c[pair[mine]] > 1))
-            out.append((0, int(key[0]), chunk, told.astype("<u4").tobytes(), value[pair[mine][told]].tobytes(), 0.0))
+            out.append((0, int(key[0]), chunk, _z_rising(told), _z(value[pair[mine][told]], "<f4"), 0.0))
         for kind, names in ((1, pw), (2, pu)):
             some = c > 0
             distinct, inverse = np.unique(names[some], return_inverse=True)
             sums = np.bincount(inverse, tables[some], len(distinct))
             home = _home(distinct, owners)
             order = np.argsort(home, kind="stable")
-            cuts = np.searchsorted(home[order], np.arange(owners + 1))
-            for k in np.flatnonzero(np.diff(cuts)):
-                part = order[cuts[k] : cuts[k + 1]]
-                out.append((kind, int(k), "", _pack40(distinct[part]), sums[part].astype("<f4").tobytes(), float(sums[part].sum())))
+            which, cuts = _runs(home[order])
+            for k, first, last in zip(which.tolist(), cuts[:-1], cuts[1:], strict=True):
+                part = order[first:last]
+                out.append((kind, k, "", _z_rising(distinct[part]), _z(sums[part], "<f4"), float(sums[part].sum())))
         return pd.DataFrame(out, columns=["kind", "target", "chunk", "a", "b", "total"])
 
     return run
@@ -394,10 +434,10 @@ def _sums(group: pd.DataFrame, kind: int, ids: np.ndarray) -> np.ndarray:
     """What mail of a kind says about the words ``ids`` (40 bits, rising; several may be equal)."""
     out = np.zeros(len(ids))
     for a, b in group.loc[group["kind"] == kind, ["a", "b"]].itertuples(index=False):
-        x = _unpack40(a)
+        x = _unz_rising(a)
         at = np.minimum(np.searchsorted(ids, x), len(ids) - 1)
         hit = ids[at] == x
-        np.add.at(out, at[hit], np.frombuffer(b, "<f4")[hit])
+        np.add.at(out, at[hit], _unz(b, "<f4")[hit])
     return out
 
 
@@ -431,12 +471,11 @@ def score(df: DataFrame, key: str = "doc_id", text: str = "text", folds: int = 1
     spark: SparkSession = df.sparkSession
     table, _ = _stored(chunks(df, key, text, folds), "lm-chunks")
     size = table.agg(
-        F.sum(F.aggregate("size", F.lit(0).cast("long"), lambda a, b: a + b)).alias("tokens"),
-        F.sum(F.octet_length("vocabulary") / 8).alias("words")).first()
+        F.sum(F.aggregate("size", F.lit(0).cast("long"), lambda a, b: a + b)).alias("tokens")).first()
     owners = max(4, math.ceil((size["tokens"] or 0) / OWNER_PAIRS))
 
     def count(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        _, inverse, v, c = _tally(group)
+        places, v, c = _tally(group)
         token = v != _START
         n = int(c[token].sum())
         common = c >= max(2, COMMON * n)  # more than enough: n is this owner's share only
@@ -445,9 +484,10 @@ def score(df: DataFrame, key: str = "doc_id", text: str = "text", folds: int = 1
         out = [(0, a, b, "", 0, b"") for a, b in rows]
         # What pairs know of their words: one count for all words that share 40 bits.
         _, to = np.unique(v & _LOW, return_inverse=True)
-        of_pairs = np.bincount(to, c)[to].astype("<u4")[inverse]
-        ends = np.cumsum([len(x) // 8 for x in group["a"]])
-        out += [(1, 0, 0, chunk, int(key[0]), x.tobytes()) for chunk, x in zip(group["chunk"], np.split(of_pairs, ends[:-1]), strict=True)]
+        shared = np.zeros(int(to.max()) + 1, dtype=np.int64)
+        np.add.at(shared, to, c)
+        of_pairs = shared[to]
+        out += [(1, 0, 0, chunk, int(key[0]), _z(of_pairs[at], "<u8")) for chunk, at in zip(group["chunk"], places, strict=True)]
         return pd.DataFrame(out, columns=["kind", "word", "n", "chunk", "target", "counts"])
 
     told, of_words = _stored(_requests(table, owners).groupBy("target").applyInPandas(count, _COUNTED), "lm-words", "kind")
@@ -470,7 +510,7 @@ def score(df: DataFrame, key: str = "doc_id", text: str = "text", folds: int = 1
     _removed(spark, of_words)
 
     def root(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        ids = np.unique(np.concatenate([_unpack40(x) for x in group["a"]]))
+        ids = np.unique(np.concatenate([_unz_rising(x) for x in group["a"]]))
         return pd.DataFrame([(int(key[0]), _sums(group, 1, ids).tobytes())], columns=["target", "customers"])
 
     about_words = mail.where("kind = 1")
@@ -498,17 +538,16 @@ def score(df: DataFrame, key: str = "doc_id", text: str = "text", folds: int = 1
         asked = group[group["kind"] == 3]
         if not len(asked):
             return pd.DataFrame({c: [] for c in ("chunk", "target", "counts", "root", "back")})
-        v, inverse, distinct, c = _tally(asked)
+        places, distinct, c = _tally(asked)
         ids, to = np.unique(distinct & _LOW, return_inverse=True)
         n = _sums(group, 1, ids)
         tables = _root_seats(n, int(key[0]), vocabulary, turns)[1]
         p = (n - ROOT_DISCOUNT * tables) / (ROOT_STRENGTH + customers) + unknown
         used = np.where(distinct == _END, 0, c)
         back = (STRENGTH + DISCOUNT * _sums(group, 2, ids)[to]) / (STRENGTH + used)
-        ends = np.cumsum([len(x) // 8 for x in asked["a"]])
         out = [
-            (chunk, int(key[0]), c[i].astype("<u4").tobytes(), p[to][i].astype("<f4").tobytes(), back[i].astype("<f4").tobytes())
-            for chunk, i in zip(asked["chunk"], np.split(inverse, ends[:-1]), strict=True)]
+            (chunk, int(key[0]), _z(c[i], "<u8"), _z(p[to][i], "<f4"), _z(back[i], "<f4"))
+            for chunk, i in zip(asked["chunk"], places, strict=True)]
         return pd.DataFrame(out, columns=["chunk", "target", "counts", "root", "back"])
 
     asked = _requests(table, owners).unionByName(mail.where("kind in (1, 2)"))
@@ -518,16 +557,15 @@ def score(df: DataFrame, key: str = "doc_id", text: str = "text", folds: int = 1
 
     def scores(key: tuple, own: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
         row = own[own["vocabulary"].notna()].iloc[0].to_dict()
-        v = np.frombuffer(row["vocabulary"], "<u8")
+        v = _unz_rising(row["vocabulary"])
         told = told.sort_values("target")
         c, p, back = (
             _told(v, owners, told[column], kind).astype(to)
-            for column, kind, to in (("counts", "<u4", np.int64), ("root", "<f4", float), ("back", "<f4", float)))
+            for column, kind, to in (("counts", "<u8", np.int64), ("root", "<f4", float), ("back", "<f4", float)))
         _, _, counts, owner, _, place = _deal(row, owners, hot, parts)
         value = np.where(counts == 1, 1 - DISCOUNT, 0.0)
-        cuts = np.searchsorted(owner, np.arange(owners + 1))
         for target, a, b in own.loc[own["kind"] == 0, ["target", "a", "b"]].itertuples(index=False):
-            value[cuts[int(target)] + np.frombuffer(a, "<u4").astype(np.int64)] = np.frombuffer(b, "<f4")
+            value[np.searchsorted(owner, int(target)) + _unz_rising(a).astype(np.int64)] = _unz(b, "<f4")
         ids, sizes = _numbers(row), np.array(row["size"], dtype=np.int64)
         before = np.empty_like(ids)
         before[1:] = ids[:-1]

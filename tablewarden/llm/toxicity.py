@@ -2,12 +2,15 @@
 
 Tokens are runs of letters, A-Z lower-cased. A token's score is the log-odds that a text with it is toxic
 rather than clean, with a Dirichlet prior whose mean is the log-odds of all tokens that start alike; the
-priors form a chain from starts of three, five and seven code points to the whole token. A token speaks
-once in a text: where it comes again it says nothing new. A small drift is taken off every token, so that
-ordinary text scores below zero. A linear scan finds all maximal segments of positive score. How high the best segment of a clean text of n tokens comes follows an extreme-value law: with the
-positive root of sum q exp(lambda s) = 1 and K from clean texts, lambda S - ln(K n) measures every
-segment by its chance. A text's statistic is the sum over its significant segments, or the best segment
-if none is significant, and a logistic curve makes it the probability of label 1.
+priors form a chain from starts of three, five and seven code points to the whole token. A small drift is
+taken off every token, so that ordinary text scores below zero. A linear scan over all tokens finds all maximal
+segments of positive score. How high the best segment of a clean text of n tokens comes follows an extreme-value
+law: with the positive root of sum q exp(lambda s) = 1 and K from the median clean text, lambda S - ln(K n) measures
+every segment by its chance, and the significant ones are the toxic passages, repeated ones as often as they occur.
+
+For the score of the whole text repeats say nothing new: there a segment counts the scores of the tokens that come for the
+first time in the text. A text's statistic is the sum over the segments that are significant by that count, or the
+best such count if none is, and a logistic curve makes it the probability of label 1.
 
 Null texts and texts without letters have no segments and get the score of an empty text, a low one. Rows
 whose key is null are scored like others. Repeated rows are scored alike. Without labels of both kinds
@@ -88,10 +91,10 @@ class ToxicModel:
     slope: float = 0.0
     intercept: float = -np.inf
 
-    def token_scores(self, levels: list[np.ndarray], new: np.ndarray) -> np.ndarray:
-        """The score of the longest known start of every token that is new in its text, else the drift."""
-        out = np.full(len(new), -DRIFT)
-        rest = np.flatnonzero(new)
+    def token_scores(self, levels: list[np.ndarray]) -> np.ndarray:
+        """The score of the longest known start of every token, else the drift."""
+        out = np.full(len(levels[0]), -DRIFT)
+        rest = np.arange(len(out))
         for h in reversed(levels) if len(self.keys) else ():
             of = h[rest]
             at = np.minimum(np.searchsorted(self.keys, of), len(self.keys) - 1)
@@ -104,11 +107,15 @@ class ToxicModel:
         """How far a segment is above what chance gives in n clean tokens."""
         return self.rate * score - self.log_k - np.log(max(n, 1))
 
-    def statistic(self, found: list[tuple[int, int, float]], n: int) -> float:
-        if not found:
-            return self.excess(0.0, n)
-        each = [self.excess(s, n) for *_, s in found]
-        return sum(x for x in each if x > 0) or max(each)
+    def assess(self, data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, list, float]]:
+        """Per text of a block: number of tokens, segments, statistic."""
+        levels, new, first = tokens(data, offsets)
+        scores = self.token_scores(levels)
+        fresh = np.concatenate([[0.0], np.cumsum(np.where(new, scores, 0.0))])
+        for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
+            found = segments(scores[a:b])
+            each = [self.excess(fresh[a + y] - fresh[a + x], b - a) for x, y, _ in found] or [self.excess(0.0, b - a)]
+            yield b - a, found, sum(x for x in each if x > 0) or max(each)
 
     def probability(self, statistic: np.ndarray) -> np.ndarray:
         if not len(self.keys):
@@ -153,25 +160,22 @@ def _count(rows: DataFrame) -> tuple[np.ndarray, ...]:
     return tuple(counted.column(c).combine_chunks().to_numpy(zero_copy_only=False) for c in ("level", "key", "up", "toxic", "clean"))
 
 
-def _summaries(rows: DataFrame, model: ToxicModel) -> tuple[np.ndarray, list[list[float]], np.ndarray]:
-    """Per labelled row: number of tokens, segment scores, label. At most the sample's rows."""
+def _summaries(rows: DataFrame, model: ToxicModel) -> tuple[np.ndarray, ...]:
+    """Per labelled row: number of tokens, best segment, statistic, label. At most the sample's rows."""
     shared = rows.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, j, data, offsets in words.blocks(batch.column(0)):
-                levels, new, first = tokens(data, offsets)
-                scores = shared.value.token_scores(levels, new)
-                found = [[s for *_, s in segments(scores[a:b])] for a, b in zip(first[:-1], first[1:], strict=True)]
-                # The highest hundred say all there is to calibrate by.
-                found = [sorted(x, reverse=True)[:100] for x in found]
+                of = [(n, max((s for *_, s in found), default=0.0), statistic) for n, found, statistic in shared.value.assess(data, offsets)]
+                n, best, statistic = zip(*of, strict=True)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.diff(first)), pa.array(found, pa.list_(pa.float64())), batch.column(1).slice(i, j - i)],
-                    names=["n", "found", "toxic"],
+                    [pa.array(n, pa.int64()), pa.array(best, pa.float64()), pa.array(statistic, pa.float64()), batch.column(1).slice(i, j - i)],
+                    names=["n", "best", "statistic", "toxic"],
                 )
 
-    out = rows.select("text", "toxic").mapInArrow(run, "n long, found array<double>, toxic int").toArrow()
-    return np.array(out["n"]), out["found"].to_pylist(), np.array(out["toxic"])
+    out = rows.select("text", "toxic").mapInArrow(run, "n long, best double, statistic double, toxic int").toArrow()
+    return tuple(out[c].to_numpy() for c in ("n", "best", "statistic", "toxic"))
 
 
 def _root(scores: np.ndarray, weight: np.ndarray) -> float:
@@ -237,11 +241,11 @@ def fit(
     # How clean tokens score: each by its longest listed start, the rest by the drift.
     weight = np.append(np.maximum(weight, 0), max(0.0, n_clean - clean[level == 0].sum()))
     model.rate = _root(np.append(model.scores, -DRIFT), weight / weight.sum())
-    n, found, y = _summaries(rows, model)
-    best = np.array([x[0] if x else 0.0 for x in found])
+    n, best, _, y = _summaries(rows, model)
     plain = (y == 0) & (n > 0)
-    model.log_k = float(np.mean(model.rate * best[plain] - np.log(n[plain]))) - _EULER if plain.any() else 0.0
-    statistic = np.array([model.statistic([(0, 0, s) for s in x], int(k)) for x, k in zip(found, n, strict=True)])
+    if plain.any():  # the median of the law is ln(K n) - ln(ln 2); a few odd texts don't move it
+        model.log_k = float(np.median(model.rate * best[plain] - np.log(n[plain])) + np.log(np.log(2)))
+    _, _, statistic, y = _summaries(rows, model)
     model.slope, model.intercept = _logistic(statistic, y.astype(float))
     return model
 
@@ -262,14 +266,11 @@ def score(df: DataFrame, model: ToxicModel, key: str = "doc_id", text: str = "te
         m = shared.value
         for batch in batches:
             for i, j, data, offsets in words.blocks(batch.column(2)):
-                levels, new, first = tokens(data, offsets)
-                scores = m.token_scores(levels, new)
                 statistic, passages = [], []
-                for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
-                    found = segments(scores[a:b])
-                    statistic.append(m.statistic(found, b - a))
+                for n, found, own in m.assess(data, offsets):
+                    statistic.append(own)
                     passages.append([
-                        {"first": x, "last": y - 1, "excess": e} for x, y, s in found if (e := float(m.excess(s, b - a))) > 0])
+                        {"first": x, "last": y - 1, "excess": e} for x, y, s in found if (e := float(m.excess(s, n))) > 0])
                 p = m.probability(np.array(statistic))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i), pa.array(p, pa.float64()),
@@ -291,10 +292,7 @@ def reject(df: DataFrame, model: ToxicModel, text: str = "text") -> DataFrame:
         for batch in batches:
             keep = []
             for _, _, data, offsets in words.blocks(batch.column(at)):
-                levels, new, first = tokens(data, offsets)
-                scores = m.token_scores(levels, new)
-                statistic = np.array([
-                    m.statistic(segments(scores[a:b]), b - a) for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)])
+                statistic = np.array([own for *_, own in m.assess(data, offsets)])
                 keep.append(m.probability(statistic) < 0.5)
             yield batch.filter(pa.array(np.concatenate(keep) if keep else np.zeros(0, bool)))
 

@@ -30,6 +30,34 @@ def test_encoding_equals_the_library(vocabulary):
             assert ids[first[k - i] : first[k - i + 1]].tolist() == library.encode_ordinary(texts[k])
 
 
+def test_texts_whose_hashes_are_equal(vocabulary):
+    """Thue-Morse words and their complements collide in every polynomial hash modulo a power of two."""
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.read_ranks(RANKS), special_tokens={})
+    for n in (1024, 4096):
+        one, other = ("".join("ab"[(k.bit_count() + flip) % 2] for k in range(n)) for flip in (0, 1))
+        data, offsets = words.flat(pa.array([one, other, f"{other} {one} {other}"]))
+        start, end, _ = words.spans(data, offsets)
+        assert len(set(words.hashes(data, start, end)[:2].tolist())) == 1
+        ids, first = vocabulary.encode(data, offsets)
+        got = [ids[a:b].tolist() for a, b in zip(first[:-1], first[1:], strict=True)]
+        assert got == [library.encode_ordinary(t) for t in (one, other, f"{other} {one} {other}")]
+
+
+def test_every_toxic_passage_is_found():
+    """A passage that comes three times is three passages; for the text's score it counts once."""
+    bad = "vile awful nasty rotten foul"
+    plain = " ".join(f"word{chr(97 + k % 26)}" for k in range(40))
+    of = lambda *texts: words.flat(pa.array(texts))
+    levels, _, _ = toxicity.tokens(*of(bad))
+    keys = np.sort(levels[-1])
+    model = toxicity.ToxicModel(keys, np.full(len(keys), 1.2), log_k=0.0, slope=1.0, intercept=0.0)
+    (n, found, once), (_, thrice, again) = model.assess(*of(f"{plain} {bad} {plain}", f"{plain} {bad} {plain} {bad} {plain} {bad}"))
+    assert [(b - a, round(s, 9)) for a, b, s in found] == [(5, 6.0)] and n == 85
+    assert [(b - a, round(s, 9)) for a, b, s in thrice] == [(5, 6.0)] * 3
+    assert all(model.excess(s, 135) > 0 for *_, s in thrice)
+    assert once - again == pytest.approx(np.log(135 / 85))  # the same tokens, in a longer text
+
+
 def test_words_and_shingles():
     texts = ["a bb  c\td e f", None, "", "x y", " \n ", "a bb c d e f"]
     data, offsets = words.flat(pa.array(texts))
