@@ -59,6 +59,22 @@ def latency_p95(spark, sf_dir):
     return _stamped(alerts.latency_exact_p95(routed(spark, sf_dir), "ts", "latency_s", ["destination"], WIDTH, SLIDE, LIMITS))
 
 
+_SKETCH = f"""{SLIDING}, placed as (select ws, destination, latency_s, row_number() over w rn, count(*) over (partition by ws, destination) n
+ from spread window w as (partition by ws, destination order by latency_s))
+select {_BOUNDS}, destination, n::bigint n, round(latency_s,6) p95, latency_s > 8 breached from placed where rn = ceil(0.95::double*n)"""
+
+
+def _sketched(rows):
+    panes = alerts.latency_panes(rows, "ts", "latency_s", ["destination"], SLIDE)
+    return alerts.latency_sketch_p95(panes, ["destination"], WIDTH, SLIDE, LIMITS)
+
+
+@query("latency_sketch_p95", _SKETCH)
+def latency_sketch_p95(spark, sf_dir):
+    """From sketches per half hour; windows of fewer requests than a sketch keeps are exact."""
+    return _stamped(_sketched(routed(spark, sf_dir)))
+
+
 def _histogram_sql(source: str, group: str) -> str:
     bounds = [b for b in alerts.LATENCY_BUCKETS if b != float("inf")]
     counts = ", ".join(f"count(*) filter (latency_s <= {b}::double)" for b in bounds)
@@ -177,6 +193,13 @@ def rocksdb(spark):
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
+@query("stream_latency_sketch", f"{_SKETCH} and {_CLOSED}")
+def stream_latency_sketch(spark, sf_dir):
+    """The same on a stream: sketches are the state of its panes and windows."""
+    windows, _ = run_available(_sketched(routed_stream(spark, sf_dir)), "sketches")
+    return _stamped(windows)
+
+
 @query("stream_sustained", f"{SLIDING}, {_moves_sql('destination', 3)}")
 def stream_sustained(spark, sf_dir):
     """Pending, firing and resolved transitions from the stateful rule."""

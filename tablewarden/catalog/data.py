@@ -28,10 +28,10 @@ def csv_roundtrip(spark, sf_dir):
     return tables.read_csv(spark, path, rows.schema)
 
 
-@query("csv_inferred", f"{SUBJECT_CTE} select subject_id, age, size_mm, rate_a, bmi, outcome from subject")
+@query("csv_inferred", f"{SUBJECT_CTE} select * from subject")
 def csv_inferred(spark, sf_dir):
     path = scratch_path(spark, "csv")
-    tables.write_csv(subject(spark, sf_dir).select("subject_id", "age", "size_mm", "rate_a", "bmi", "outcome"), path)
+    tables.write_csv(subject(spark, sf_dir), path)
     return tables.read_csv(spark, path)
 
 
@@ -99,15 +99,43 @@ def baseline_or_current(spark, sf_dir):
 
 
 @query("run_log_pivot", f"""{REQUEST_CTE}, {_METRIC_SQL}
-select model run_name, round(accuracy,6) test_accuracy, round(recall,6) test_recall from metrics""")
+select model run_name, round(accuracy,6) accuracy, round("precision",6) "precision", round(recall,6) recall, round(f1,6) f1 from metrics""")
 def run_log_pivot(spark, sf_dir):
+    """A run per model, logged by the executors."""
     found = binary_metrics(labelled(request(spark, sf_dir)), "label", "prediction", ["model"])
-    path = scratch_path(spark, "runs")
-    for row in found.collect():  # one row per model
-        with runlog.RunLog(spark, path, row["model"]) as log:
-            log.params({"samples": row["n"]})
-            log.metrics({"test_accuracy": row["accuracy"], "test_recall": row["recall"]})
-    return r6(runlog.pivot_metrics(runlog.read_runs(spark, path), ["test_accuracy", "test_recall"]))
+    path, metrics = scratch_path(spark, "runs"), ["accuracy", "precision", "recall", "f1"]
+    runlog.append_runs(found, path, "model", ["n"], metrics)
+    return r6(runlog.pivot_metrics(runlog.read_runs(spark, path), metrics))
+
+
+def _dirty_csv(spark, sf_dir):
+    """The subjects as a CSV file in which some ages and rates are no numbers."""
+    rows = subject(spark, sf_dir)
+    age = F.when(F.col("diet") == "Low", F.concat(F.col("age").cast("string"), F.lit(" years"))).otherwise(F.col("age").cast("string"))
+    rate = F.when(F.col("stage") == "Metastatic", "n.k.").otherwise(F.col("rate_a").cast("string"))
+    path = scratch_path(spark, "dirty")
+    tables.write_csv(rows.withColumns({"age": age, "rate_a": rate}), path)
+    return tables.read_csv_rescued(spark, path, rows.schema, "subject_id")
+
+
+@query("csv_typed", f"""{SUBJECT_CTE} select * replace (case when diet = 'Low' then null else age end as age,
+ case when stage = 'Metastatic' then null else rate_a end as rate_a) from subject""")
+def csv_typed(spark, sf_dir):
+    """What can be read under the schema; the other cells are null here."""
+    return _dirty_csv(spark, sf_dir)[0]
+
+
+@query("csv_rescued", f"""{SUBJECT_CTE} select subject_id::varchar "row", 'age' "column", age || ' years' raw from subject where diet = 'Low'
+ union all select subject_id::varchar, 'rate_a', 'n.k.' from subject where stage = 'Metastatic'""")
+def csv_rescued(spark, sf_dir):
+    """The cells that are not, with their text."""
+    return _dirty_csv(spark, sf_dir)[1]
+
+
+@query("csv_rescued_counts", f"""{SUBJECT_CTE} select 'age' "column", count(*)::bigint cells from subject where diet = 'Low'
+ union all select 'rate_a', count(*)::bigint from subject where stage = 'Metastatic'""")
+def csv_rescued_counts(spark, sf_dir):
+    return tables.rescued_counts(_dirty_csv(spark, sf_dir)[1])
 
 
 @query("drop_columns", f"{SUBJECT_CTE} select * exclude (subject_id) from subject")
@@ -115,9 +143,11 @@ def drop_columns(spark, sf_dir):
     return clean.drop_columns(subject(spark, sf_dir), SUBJECT)
 
 
-@query("separate_target", f"{SUBJECT_CTE} select subject_id, outcome from subject")
+@query("separate_target", f"{SUBJECT_CTE} select * from subject")
 def separate_target(spark, sf_dir):
-    return clean.separate_target(subject(spark, sf_dir), SUBJECT)[1]
+    """Both halves, put together again by the id."""
+    features, target = clean.separate_target(subject(spark, sf_dir), SUBJECT)
+    return features.join(target, "subject_id")
 
 
 @query("target_distribution", f"""{SUBJECT_CTE}

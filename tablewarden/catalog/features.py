@@ -87,9 +87,9 @@ _MODE = "(select {c} from subject where {c} is not null group by 1 order by coun
 
 
 @query("impute_mode", f"{SUBJECT_CTE} select subject_id, " + ", ".join(
-    f"coalesce({c}, {_MODE.format(c=c)}) {c}" for c in ("bmi", "stage", "screening", "country")) + " from subject")
+    f"coalesce({c}, {_MODE.format(c=c)}) {c}" for c in SUBJECT.categorical) + " from subject")
 def impute_mode(spark, sf_dir):
-    rows = subject(spark, sf_dir).select("subject_id", "bmi", "stage", "screening", "country")
+    rows = subject(spark, sf_dir).select("subject_id", *SUBJECT.categorical)
     return clean.handle_missing(rows, SUBJECT)
 
 
@@ -114,24 +114,46 @@ LEVELS = {
 }
 
 
+# Every level of every category, null aside.
+ALL_LEVELS = {
+    **LEVELS, "gender": ["F", "M"], **{c: ["High", "Low", "Moderate"] for c in ("diet", "activity", "access")},
+    "economy": ["Developed", "Developing"], "insurance": ["Insured", "Uninsured"],
+    **{c: ["No", "Yes"] for c in SUBJECT.binary if c != "outcome"},
+}
+
+
 @query("encode_onehot", f"{SUBJECT_CTE} select subject_id, " + ", ".join(
-    f"coalesce({c}='{v}',false) \"{c}_{v}\"" for c, vs in LEVELS.items() for v in vs) + " from subject")
+    f"coalesce({c}='{v}',false) \"{c}_{v}\"" for c, vs in ALL_LEVELS.items() for v in vs) + " from subject")
 def encode_onehot(spark, sf_dir):
-    rows = subject(spark, sf_dir).select("subject_id", *LEVELS)
-    return encode.encode_onehot(rows, encode.fit_levels(rows, list(LEVELS)))
+    rows = subject(spark, sf_dir).select("subject_id", *ALL_LEVELS)
+    return encode.encode_onehot(rows, encode.fit_levels(rows, list(ALL_LEVELS)))
+
 
+_CELLS = " union all ".join(
+    f'select subject_id, {i} pos, \'{c}\' "column", {c} "value" from subject where {c} is not null' for i, c in enumerate(SUBJECT.categorical))
 
-@query("encode_onehot_sparse", f"{SUBJECT_CTE} " + " union all ".join(
-    f'select subject_id, \'{c}\' "column", {c} "value" from subject where {c} is not null' for c in LEVELS))
+
+@query("encode_onehot_sparse", f'{SUBJECT_CTE} select subject_id, "column", "value" from ({_CELLS})')
 def encode_onehot_sparse(spark, sf_dir):
-    return encode.encode_onehot_sparse(subject(spark, sf_dir), "subject_id", list(LEVELS))
+    return encode.encode_onehot_sparse(subject(spark, sf_dir), "subject_id", list(SUBJECT.categorical))
+
+
+@query("encode_onehot_indices", f"""{SUBJECT_CTE}, cells as ({_CELLS}),
+levels as (select pos, "value", row_number() over (order by pos, "value") - 1 i from (select distinct pos, "value" from cells))
+select subject_id, array_to_string(list(i order by i), ',') indices from cells join levels using (pos, "value") group by subject_id""")
+def encode_onehot_indices(spark, sf_dir):
+    """The hot positions of every row, by a stored index of all levels."""
+    rows, columns = subject(spark, sf_dir), list(SUBJECT.categorical)
+    found = encode.encode_onehot_indices(rows, "subject_id", columns, encode.fit_level_index(rows, columns))
+    return found.select("subject_id", F.array_join(F.col("indices").cast("array<string>"), ",").alias("indices"))
 
 
 @query("encode_label", f"{SUBJECT_CTE} select subject_id, " + ", ".join(
-    f"case when {c} is not null then dense_rank() over (order by {c} nulls last)-1 end {c}" for c in LEVELS) + " from subject")
+    f"case when {c} is not null then dense_rank() over (order by {c} nulls last)-1 end {c}" for c in SUBJECT.categorical) + " from subject")
 def encode_label(spark, sf_dir):
-    rows = subject(spark, sf_dir).select("subject_id", *LEVELS)
-    return encode.apply_codes(rows, encode.fit_label_codes(rows, list(LEVELS)), list(LEVELS))
+    columns = list(SUBJECT.categorical)
+    rows = subject(spark, sf_dir).select("subject_id", *columns)
+    return encode.apply_codes(rows, encode.fit_label_codes(rows, columns), columns)
 
 
 @query("encode_label_wide", """select c_custkey, dense_rank() over (order by c_name)-1 c_name,
@@ -144,11 +166,12 @@ def encode_label_wide(spark, sf_dir):
 
 
 @query("encode_target", f"{SUBJECT_CTE} select subject_id, " + ", ".join(
-    f"case when {c} is not null then round(avg((outcome='Yes')::int) over (partition by {c}),6) end {c}" for c in LEVELS) + " from subject")
+    f"case when {c} is not null then round(avg((outcome='Yes')::int) over (partition by {c}),6) end {c}" for c in SUBJECT.categorical) + " from subject")
 def encode_target(spark, sf_dir):
-    rows = subject(spark, sf_dir).select("subject_id", "outcome", *LEVELS)
-    codes = encode.fit_target_means(rows, list(LEVELS), yes_flag(F.col("outcome")))
-    return r6(encode.apply_codes(rows, codes, list(LEVELS), unseen="null").drop("outcome"))
+    columns = list(SUBJECT.categorical)
+    rows = subject(spark, sf_dir).select("subject_id", "outcome", *columns)
+    codes = encode.fit_target_means(rows, columns, yes_flag(F.col("outcome")))
+    return r6(encode.apply_codes(rows, codes, columns, unseen="null").drop("outcome"))
 
 
 # --- scaling ---------------------------------------------------------------------------------

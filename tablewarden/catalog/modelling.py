@@ -5,21 +5,26 @@ Learned models have no SQL to compare with; nearest neighbours do.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.ml.functions import array_to_vector
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablewarden.catalog.data import worded
-from tablewarden.catalog.drift import _report
+from tablewarden.catalog.drift import _DECISION, _report
 from tablewarden.catalog.registry import query, r6
 from tablewarden.catalog.views import SUBJECT_CTE, labelled, request, subject, table
 from tablewarden.operators import models
 from tablewarden.operators.boosting import BoostParams, fit_trees
 from tablewarden.operators.evaluate import evaluate
 from tablewarden.operators.knn import knn_join, knn_predict
-from tablewarden.operators.models import QUICK_SUITE, Candidate
+from tablewarden.operators.models import FULL_SUITE, QUICK_SUITE, Candidate
 from tablewarden.plans import monitoring, prepare
-from tablewarden.plans.training import cross_validate, cv_summary, score_rows, train_suite, vectors
+from tablewarden.plans.training import RESULT_SCHEMA, cross_validate, cv_summary, score_rows, train_suite, vectors
 from tablewarden.session import materialize, scratch_path
+from tablewarden.sources.tables import read_csv
 from tablewarden.spec import SUBJECT
 from tablewarden.streaming.runner import run_available
 from tablewarden.streaming.scoring import score_stream
@@ -110,19 +115,44 @@ def train_quick(spark, sf_dir):
 
 @query("train_suite")
 def suite(spark, sf_dir):
-    """Two models with logs and stored models, and one that fails and is reported."""
+    """All seven models at their full sizes and one that fails: logged, stored, and the leaderboard read from its file."""
     _, _, train, test = prepared(spark, sf_dir)
     broken = Candidate("broken", models.fit_forest, {"depth": 99})
-    found = train_suite(
-        train, test, suite=(QUICK_SUITE[0], broken, QUICK_SUITE[2]), cv=0,
-        log_path=scratch_path(spark, "runs"), model_path=scratch_path(spark, "models"))
-    return found.table(spark).select("model", "test_auc", F.col("error").isNotNull().alias("failed"))
+    board = scratch_path(spark, "leaderboard")
+    train_suite(
+        train, test, suite=(*FULL_SUITE, broken), cv=0, log_path=scratch_path(spark, "runs"),
+        model_path=scratch_path(spark, "models"), board_path=board)
+    return read_csv(spark, board, T.StructType.fromDDL(RESULT_SCHEMA)).select("model", "test_auc", F.col("error").isNotNull().alias("failed"))
 
 
 @query("cv_auc")
 def cv_auc(spark, sf_dir):
+    """Five folds of every model of the quick suite: mean and deviation."""
     _, _, train, _ = prepared(spark, sf_dir)
-    return r6(cv_summary(cross_validate(QUICK_SUITE[0], train)))
+    scores = [cross_validate(candidate, train) for candidate in QUICK_SUITE]
+    return r6(cv_summary(functools.reduce(DataFrame.unionAll, scores)))
+
+
+DEPLOYED = (
+    QUICK_SUITE[0], Candidate("xgboost", models.fit_boosting_deep, {"rounds": 10}), Candidate("knn", models.fit_neighbours, {"k": 5}))
+
+
+@query("deployed_scores", f"""{SUBJECT_CTE}, models as (select unnest([{", ".join(f"'{c.name}'" for c in DEPLOYED)}]) model)
+select model, count(*)::bigint scored, count(*)::bigint agree from subject, models group by model""")
+def deployed_scores(spark, sf_dir):
+    """Models of three kinds stored with their preparation, loaded again, and all subjects scored by both."""
+    rows, state, train, _ = prepared(spark, sf_dir)
+    asked, out = rows.drop("outcome"), []
+    for candidate in DEPLOYED:
+        model, path = candidate.train(train), scratch_path(spark, "deployed")
+        monitoring.deploy(spark, model, state, path)
+        stored, prepared_by = monitoring.deployed(spark, path)
+        before, after = (
+            score_rows(asked, SUBJECT, s, m).select("subject_id", F.round("probability", 9).alias(name))
+            for name, s, m in (("before", state, model), ("after", prepared_by, stored)))
+        same = F.count_if(F.col("before").eqNullSafe(F.col("after"))).alias("agree")
+        out.append(after.join(before, "subject_id").agg(F.lit(stored.name).alias("model"), F.count("*").alias("scored"), same))
+    return functools.reduce(DataFrame.unionAll, out).select("model", "scored", "agree")
 
 
 def _near(spark, sf_dir):
@@ -170,6 +200,16 @@ def stream_score(spark, sf_dir):
     return r6(run_available(answers, "answers")[0])
 
 
+@query("continuous_training_skipped", f"""{_DECISION} select case when drift_pct > 10 then 'success' else 'skipped' end status,
+ case when drift_pct > 10 then printf('Feature drift: %.1f%%', drift_pct) else 'No drift detected' end reason from verdict""")
+def continuous_skipped(spark, sf_dir):
+    """The unforced run: without drift it ends before anything is prepared or trained."""
+    found = monitoring.continuous_training(
+        spark, subject(spark, sf_dir), SUBJECT, _report(spark, sf_dir), labelled(request(spark, sf_dir)),
+        scratch_path(spark, "baseline"), suite=QUICK_SUITE[:1], cv=0)
+    return found.select("status", "reason")
+
+
 @query("continuous_training")
 def continuous(spark, sf_dir):
     """Drift check, preparation, quick training, selection and the new baseline."""

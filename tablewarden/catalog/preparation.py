@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tablewarden.catalog.drift import chi2_cte, ks_cte
 from tablewarden.catalog.features import FEATURE_SQL, FLOAT_FEATURES, LEVELS, NUMERIC, feature_sql
 from tablewarden.catalog.registry import query, r6
 from tablewarden.catalog.views import SUBJECT_CTE, split_cte, stored_subject, subject, table
+from tablewarden.operators.drift import feature_drift_report
 from tablewarden.operators.encode import BINNED_LEVELS
 from tablewarden.operators.features import NUMERIC_FEATURES
 from tablewarden.operators.split import cv_folds, stratified_split
 from tablewarden.plans import prepare
-from tablewarden.session import scratch_path
+from tablewarden.plans.monitoring import with_side
+from tablewarden.session import materialize, scratch_path
 from tablewarden.spec import SUBJECT
 
 
@@ -92,6 +95,21 @@ def _prepared(spark, sf_dir, **options):
     return prepare.run(stored_subject(spark, sf_dir), SUBJECT, validate=False, **options)
 
 
+_DRIFT_NUMERIC = {c: c for c in (*NUMERIC, *(n for n in FEATURE_SQL if n in NUMERIC_FEATURES))}
+_DRIFT_HOT = {f"{c}_{v}": f'"{c}_{v}"' for c, levels in _CATEGORIES.items() for v in levels}
+
+
+@query("prepared_drift", f"""{_PREPARED}, sides as (select *, split = 'train' is_ref from done where split in ('train', 'val'))
+{ks_cte(_DRIFT_NUMERIC, "sides")}{chi2_cte(_DRIFT_HOT, "sides")}
+select feature, 'numerical' "type", round(d,6) statistic, round(p,6) p_value, p < 0.05 drift_detected from ks
+ union all select feature, 'categorical', round(stat,6), round(p,6), p < 0.05 from chi""")
+def prepared_drift(spark, sf_dir):
+    """The prepared training part against the validation part, one-hot columns included."""
+    done = _prepared(spark, sf_dir)
+    rows = materialize(with_side(r6(done.train), r6(done.val)), "sides")
+    return r6(feature_drift_report(rows, "is_ref", skip=["outcome"], exact_rows=0))
+
+
 @query("preprocess_train", f"{_PREPARED} select * exclude (split) from done where split='train'")
 def preprocess_train(spark, sf_dir):
     return r6(_prepared(spark, sf_dir).train)

@@ -4,17 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablewarden.functions.sql import name, text
 from tablewarden.operators.clean import cells, level_counts, long_form
 from tablewarden.operators.features import yes_flag
 from tablewarden.operators.ranks import cumulate, range_bits
+from tablewarden.session import materialize
 from tablewarden.spec import AGE_BINS, SIZE_BINS, TableSpec
 
 # Codes up to this many rows become literals; larger code tables are joined. Both give the same.
 MAX_LITERAL_CODES = 2_000
+# Levels that may become columns of their own, over all columns of a table.
+MAX_WIDE_LEVELS = 20_000
 
 BINNED_LEVELS = {
     "age_group": [label for _, _, label in AGE_BINS],
@@ -41,12 +44,21 @@ def categorical_columns(df: DataFrame, spec: TableSpec) -> list[str]:
 
 # --- one-hot -----------------------------------------------------------------------
 
+def few_levels(counts: DataFrame) -> list:
+    """The rows of a level table that is to become columns; an error beyond ``MAX_WIDE_LEVELS`` of them."""
+    rows = counts.limit(MAX_WIDE_LEVELS + 1).collect()
+    if len(rows) > MAX_WIDE_LEVELS:
+        raise ValueError(
+            f"more than {MAX_WIDE_LEVELS} levels: use encode_onehot_indices, or label or target codes, for such columns")
+    return rows
+
+
 def fit_levels(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
-    """Sorted levels per column, any number. Binned features always have all their labels."""
+    """Sorted levels per column, for columns in their own right. Binned features always have all their labels."""
     seen = [c for c in columns if c not in BINNED_LEVELS]
     found: dict[str, list[str]] = {c: [] for c in columns}
     if seen:
-        for r in level_counts(df, seen).select("column", "value").collect():
+        for r in few_levels(level_counts(df, seen).select("column", "value")):
             found[r["column"]].append(r["value"])
     return {c: BINNED_LEVELS[c] if c in BINNED_LEVELS else sorted(v) for c, v in found.items()}
 
@@ -74,6 +86,43 @@ def encode_onehot_sparse(df: DataFrame, id_col: str, columns: Sequence[str]) ->
     return cells(df, [id_col], columns, "string")
 
 
+def fit_level_index(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Stored (column, value, n, index): every level of every column, numbered column by column in sorted order.
+
+    Any number of levels: they are ranked in ranges, and neither the driver nor the plan sees them.
+    """
+    levels = level_counts(df, columns).withColumn("one", F.lit(1).cast("long"))
+    bits = range_bits(df)
+    bounds = _string_bounds(levels.select("column", "value"), columns, bits)
+    placed = materialize(cumulate(levels, ["column"], "value", ["one"], bounds, bits, few_keys=True), "level-ranks")
+    # One row per column.
+    sizes = placed.groupBy("column").agg(F.max("total_one").alias("size"))
+    position = F.array_position(F.array(*[F.lit(c) for c in columns]), F.col("column"))
+    before = Window.partitionBy().orderBy(position).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("column", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("offset"))
+    return materialize(
+        placed.join(F.broadcast(offsets), "column").select("column", "value", "n", (F.col("offset") + F.col("below_one")).alias("index")),
+        "level-index")
+
+
+def encode_onehot_indices(df: DataFrame, id_col: str, columns: Sequence[str], index: DataFrame) -> DataFrame:
+    """(id, indices): the numbers of a row's levels in rising order, the hot positions of its one-hot vector.
+
+    Null and unseen values have no number. One join with the stored index of any size: levels with more than a
+    thousandth of all fitted cells, less than a thousand of them, are broadcast to their rows, so no level is a hot key.
+    A row gathers one number per column.
+    """
+    found = materialize(cells(df, [id_col], columns, "string"), "level-cells")
+    limit = (index.agg(F.sum("n")).first()[0] or 0) // 1000
+    hot, cold = (index.where(test).drop("n") for test in (F.col("n") > limit, F.col("n") <= limit))
+    by = ["column", "value"]
+    hits = found.join(F.broadcast(hot), by).unionByName(
+        found.join(F.broadcast(hot.select(*by)), by, "left_anti").join(cold, by))
+    vectors = hits.groupBy(id_col).agg(F.sort_array(F.collect_list("index")).alias("indices"))
+    none = F.lit([]).cast("array<long>")
+    return df.select(id_col).join(vectors, id_col, "left").withColumn("indices", F.coalesce("indices", none))
+
+
 # --- label and target --------------------------------------------------------------
 
 def _string_bounds(levels: DataFrame, columns: Sequence[str], bits: int) -> DataFrame:

@@ -11,9 +11,7 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import (
-    GBTClassifier, LinearSVC, LogisticRegression, RandomForestClassifier,
-)
+from pyspark.ml.classification import LinearSVC, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -67,7 +65,7 @@ class SparkModel:
         self.pipeline.write().overwrite().save(path)
 
     @classmethod
-    def load(cls, name: str, path: str) -> SparkModel:
+    def load(cls, spark: SparkSession, name: str, path: str) -> SparkModel:
         return cls(name, PipelineModel.load(path))
 
 
@@ -114,11 +112,11 @@ def fit_forest(
 
 
 def fit_boosting(
-    train: DataFrame, name: str = "gradient_boosting", rounds: int = 200, rate: float = 0.1, depth: int = 5, bins: int = 32,
-) -> SparkModel:
-    """First-order boosting: trees fitted to gradients."""
-    return _pipeline(name, train, GBTClassifier(
-        maxIter=rounds, stepSize=rate, maxDepth=depth, maxBins=bins, lossType="logistic", checkpointInterval=10, seed=42))
+    train: DataFrame, name: str = "gradient_boosting", rounds: int = 200, rate: float = 0.1, depth: int = 5
+) -> BoostedTrees:
+    """First-order boosting: splits fitted to gradients, Newton steps in the leaves."""
+    return fit_trees(train, name, BoostParams(
+        rounds, rate, depth, ridge=0.0, min_hessian=1e-9, prior=True, first_order=True), FEATURES, LABEL)
 
 
 def fit_boosting_deep(train: DataFrame, name: str = "xgboost", rounds: int = 200, rate: float = 0.1, depth: int = 7) -> BoostedTrees:
@@ -172,6 +170,23 @@ def fit_neighbours(train: DataFrame, name: str = "knn", k: int = 7) -> Neighbour
     return NeighbourModel(name, train, k)
 
 
+_KINDS = {"pipeline": SparkModel, "trees": BoostedTrees, "neighbours": NeighbourModel}
+
+
+def save_model(model, path: str, spark: SparkSession | None = None) -> None:
+    """Store a model with its kind and name, so that :func:`load_model` needs nothing but the path."""
+    spark = spark or SparkSession.active()
+    kind = next(k for k, c in _KINDS.items() if isinstance(model, c))
+    model.save(f"{path}/model")
+    spark.createDataFrame([(kind, model.name)], "kind string, name string").coalesce(1).write.mode("overwrite").parquet(f"{path}/kind")
+
+
+def load_model(spark: SparkSession, path: str):
+    """The model stored at ``path``, of the class it was stored from."""
+    stored = spark.read.parquet(f"{path}/kind").first()
+    return _KINDS[stored["kind"]].load(spark, stored["name"], f"{path}/model")
+
+
 @dataclass(frozen=True)
 class Candidate:
     name: str

@@ -16,10 +16,24 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def range_bits(df: DataFrame) -> int:
-    """log2 of the ranges per key: about one per shuffle partition, 16 to 4096."""
+# A level of ranges splits at most 2**LEVEL_BITS ways; more ranges take more levels.
+LEVEL_BITS = 12
+
+
+def range_levels(df: DataFrame) -> list[int]:
+    """log2 of the ranges at each level: together about one range per key and shuffle partition, 16 at least.
+
+    The number of shuffle partitions is what a cluster sizes by its data, so ranges grow with it without a bound.
+    """
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return min(12, max(4, math.ceil(math.log2(max(parts, 2)))))
+    bits = max(4, math.ceil(math.log2(max(parts, 2))))
+    levels = -(-bits // LEVEL_BITS)
+    return [bits // levels + (k < bits % levels) for k in range(levels)]
+
+
+def range_bits(df: DataFrame) -> int:
+    """log2 of the ranges of the first level."""
+    return range_levels(df)[0]
 
 
 def range_of(value: Column, bounds: Column, bits: int) -> Column:
@@ -66,7 +80,8 @@ def cumulate(
     the caller uses the totals, so its shuffle is written once and reused.
     """
     keys = list(keys)
-    bits = bits or range_bits(counts)
+    levels = [bits] if bits else range_levels(counts)
+    bits = levels[0]
     sums = [F.sum(m).alias(f"total_{m}") for m in measures]
     if bounds is None:
         guide = counts.groupBy(*keys).agg(numeric_bounds(value, bits).alias("__bounds"), *sums)
@@ -79,6 +94,9 @@ def cumulate(
         ranged = counts.withColumn("__guide", whole).select(*counts.columns, "__guide.*")
     ranged = ranged.withColumn("__range", range_of(F.col(value), F.col("__bounds"), bits)).drop("__bounds")
 
+    if len(levels) > 1 and bounds is None:
+        return _cumulate_nested(counts, ranged, keys, value, measures, levels, unique)
+
     totals = ranged.groupBy(*keys, "__range", *[f"total_{m}" for m in measures]).agg(
         *[F.sum(m).alias(f"__sum_{m}") for m in measures]
     )
@@ -90,11 +108,17 @@ def cumulate(
         "__range",
         *[(F.col(f"total_{m}") - F.sum(f"__sum_{m}").over(rest)).alias(f"__before_{m}") for m in measures],
     )
-    inside = Window.partitionBy(*keys, "__range").orderBy(value)
+    return _below(counts, ranged.join(offsets, [*keys, "__range"]), [*keys, "__range"], value, measures, unique)
+
+
+def _below(
+    counts: DataFrame, placed: DataFrame, by: Sequence[str], value: str, measures: Sequence[str], unique: bool
+) -> DataFrame:
+    """The running sums inside the ranges ``by``, on top of what lies before each range."""
+    inside = Window.partitionBy(*by).orderBy(value)
     smaller = inside.rowsBetween(Window.unboundedPreceding, -1)
     upto = inside.rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    same = Window.partitionBy(*keys, "__range", value)
-    placed = ranged.join(offsets, [*keys, "__range"])
+    same = Window.partitionBy(*by, value)
 
     def below(m: str) -> Column:
         if unique:
@@ -105,6 +129,33 @@ def cumulate(
     return placed.select(*counts.columns, *found, *[f"total_{m}" for m in measures])
 
 
+def _cumulate_nested(
+    counts: DataFrame, ranged: DataFrame, keys: Sequence[str], value: str, measures: Sequence[str], levels: Sequence[int],
+    unique: bool,
+) -> DataFrame:
+    """The same with ranges inside ranges: each level cuts the ranges of the one before at their own quantiles.
+
+    What lies before a range is summed level by level, so that no window sees more than 2**LEVEL_BITS ranges.
+    """
+    path = ["__r0"]
+    ranged = ranged.withColumnRenamed("__range", "__r0")
+    for k, bits in enumerate(levels[1:], 1):
+        guide = ranged.groupBy(*keys, *path).agg(numeric_bounds(value, bits).alias("__bounds"))
+        joined = ranged.join(guide, [*keys, *path])
+        ranged = joined.withColumn(f"__r{k}", range_of(F.col(value), F.col("__bounds"), bits)).select(*ranged.columns, f"__r{k}")
+        path.append(f"__r{k}")
+    sums = ranged.groupBy(*keys, *path).agg(*[F.sum(m).alias(f"__sum_{m}") for m in measures])
+    offsets = sums.withColumns({f"__before_{m}": F.lit(0) for m in measures})
+    for k in range(len(path)):
+        # Ranges of this level inside their common one.
+        level = sums.groupBy(*keys, *path[: k + 1]).agg(*[F.sum(f"__sum_{m}").alias(f"__own_{m}") for m in measures])
+        ahead = Window.partitionBy(*keys, *path[:k]).orderBy(path[k]).rowsBetween(Window.unboundedPreceding, -1)
+        level = level.select(*keys, *path[: k + 1], *[F.coalesce(F.sum(f"__own_{m}").over(ahead), F.lit(0)).alias(f"__ahead_{m}") for m in measures])
+        offsets = offsets.join(level, [*keys, *path[: k + 1]]).select(
+            *keys, *path, *[(F.col(f"__before_{m}") + F.col(f"__ahead_{m}")).alias(f"__before_{m}") for m in measures])
+    return _below(counts, ranged.join(offsets, [*keys, *path]), [*keys, *path], value, measures, unique)
+
+
 def value_counts(df: DataFrame, keys: Sequence[str], value: str, weight: str | None = None) -> DataFrame:
     """(keys, value, n) for the non-null values; map-side combined."""
     n = F.sum(weight) if weight else F.count("*")

@@ -87,7 +87,7 @@ def _learn_levels(df: DataFrame, spec: TableSpec, strategy: str) -> tuple[dict[s
     """Modes of the configured categories and one-hot levels of all, from one aggregation."""
     columns = encode.categorical_columns(df.drop(spec.target), spec)
     plain = [c for c in columns if c not in encode.BINNED_LEVELS]
-    counts = clean.level_counts(df, plain).collect() if plain else []
+    counts = encode.few_levels(clean.level_counts(df, plain)) if plain else []
     mode: dict[str, str] = {}
     seen: dict[str, list[str]] = {c: [] for c in plain}
     for r in sorted(counts, key=lambda r: (-r["n"], r["value"])):

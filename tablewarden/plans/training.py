@@ -18,6 +18,7 @@ from tablewarden.operators.split import cv_folds
 from tablewarden.plans.prepare import PrepState, transform
 from tablewarden.session import in_pools, materialize
 from tablewarden.sources.runlog import RunLog
+from tablewarden.sources.tables import write_csv
 from tablewarden.spec import METRICS, TableSpec
 
 RESULT_SCHEMA = (
@@ -84,10 +85,12 @@ def cv_summary(scores: DataFrame) -> DataFrame:
 
 def train_suite(
     train: DataFrame, test: DataFrame, val: DataFrame | None = None, suite: Sequence[Candidate] | None = None,
-    quick: bool = False, cv: int = 5, log_path: str | None = None, model_path: str | None = None,
+    quick: bool = False, cv: int = 5, log_path: str | None = None, model_path: str | None = None, board_path: str | None = None,
 ) -> TrainedSuite:
     """Fit, evaluate and log every candidate. A failing one is recorded and skipped.
 
+    ``board_path`` is where the leaderboard is stored as CSV.
+
     The driver only loops over models; each fit and each metric is a Spark job.
     """
     spark = train.sparkSession
@@ -105,7 +108,7 @@ def train_suite(
             val_scores = metrics_of(model, val) if val is not None else {}
             folds = cv_summary(cross_validate(candidate, train, cv)).first() if cv else None
             if model_path:
-                model.save(f"{model_path}/{candidate.name}")
+                models.save_model(model, f"{model_path}/{candidate.name}", spark)
             if log:
                 log.params({"model_type": candidate.name, **sizes, **candidate.params})
                 log.metrics({
@@ -122,6 +125,8 @@ def train_suite(
             ))
         except Exception as exc:  # one bad model must not end the run
             result.rows.append((candidate.name, *[None] * 7, f"{type(exc).__name__}: {exc}"[:500]))
+    if board_path:
+        write_csv(result.table(spark).coalesce(1), board_path)
     return result
 
 

@@ -56,16 +56,52 @@ def read_csv(
     A given ``schema`` saves the inference pass. ``multiline`` allows line
     breaks in quoted cells, at the price of unsplit files.
     """
+    raw = _raw_csv(spark, path, schema and T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields]), multiline)
+    return raw.select(*[_typed(f.name, f.dataType) for f in (schema or _inferred(raw)).fields])
+
+
+def _raw_csv(spark: SparkSession, path: str, schema: T.StructType | None, multiline: bool, **options: str) -> DataFrame:
     try:
-        reader = spark.read.options(**CSV_OPTIONS).option("multiLine", multiline)
-        if schema is not None:
-            reader = reader.schema(T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields]))
-        raw = reader.csv(path)
+        reader = spark.read.options(**CSV_OPTIONS, **options).option("multiLine", multiline)
+        return (reader if schema is None else reader.schema(schema)).csv(path)
     except AnalysisException as exc:
         if exc.getCondition() == "PATH_NOT_FOUND":
             raise FileNotFoundError(path) from exc
         raise
-    return raw.select(*[_typed(f.name, f.dataType) for f in (schema or _inferred(raw)).fields])
+
+
+def read_csv_rescued(
+    spark: SparkSession, path: str, schema: T.StructType, row: str, multiline: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """(the typed table of :func:`read_csv`, its rescued cells): no text of the file is lost.
+
+    A rescued cell is (row, column, raw): the text of column ``row`` in its line, the column whose type its text
+    doesn't have, and that text. Lines with more or fewer cells than the schema come as a whole, with a null
+    column. Both tables are plans over the same file and read it once each.
+    """
+    line = "__line"
+    while line in schema.names:
+        line += "_"
+    texts = [T.StructField(f.name, T.StringType()) for f in schema.fields]
+    raw = _raw_csv(spark, path, T.StructType([*texts, T.StructField(line, T.StringType())]), multiline,
+                   columnNameOfCorruptRecord=line)
+
+    def rescued(f: T.StructField) -> Column:
+        text = F.col(f"`{f.name}`")
+        bad = ~text.isin(*NA_TOKENS) & _typed(f.name, f.dataType).isNull()
+        return F.when(bad, F.struct(F.lit(f.name).alias("column"), text.alias("raw")))
+
+    whole = F.when(F.col(line).isNotNull(), F.struct(F.lit(None).cast("string").alias("column"), F.col(line).alias("raw")))
+    cells = F.array_compact(F.array(whole, *[rescued(f) for f in schema.fields if not isinstance(f.dataType, T.StringType)]))
+    return (
+        raw.select(*[_typed(f.name, f.dataType) for f in schema.fields]),
+        raw.select(F.col(f"`{row}`").alias("row"), F.inline(cells)),
+    )
+
+
+def rescued_counts(rescued: DataFrame) -> DataFrame:
+    """(column, cells): how many cells of each column were rescued."""
+    return rescued.groupBy("column").agg(F.count("*").alias("cells"))
 
 
 def write_csv(df: DataFrame, path: str) -> None:

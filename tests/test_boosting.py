@@ -18,7 +18,7 @@ def plain_trees(x, y, p, start):
         g, h = prob - y, prob * (1 - prob)
 
         def score(rows, g=g, h=h):
-            return g[rows].sum() ** 2 / (h[rows].sum() + p.ridge)
+            return g[rows].sum() ** 2 / (len(rows) if p.first_order else h[rows].sum() + p.ridge)
 
         def best(rows, g=g, h=h):
             found = []
@@ -74,7 +74,8 @@ def frame(spark, x, y):
     BoostParams(rounds=11, rate=0.3, depth=3),
     BoostParams(rounds=3, rate=0.3, depth=5, leaves=6, ridge=0.0, min_hessian=1e-3, min_rows=8, prior=True),
     BoostParams(rounds=2, rate=0.5, depth=4, leaves=31, min_rows=1, min_hessian=0.0),
-], ids=["levels", "leaves", "all leaves"])
+    BoostParams(rounds=2, rate=0.5, depth=3, ridge=0.0, min_hessian=1e-9, prior=True, first_order=True),
+], ids=["levels", "leaves", "all leaves", "first order"])
 @pytest.mark.parametrize("part_rows", [40, 1 << 16])
 def test_trees_equal_plain_version(spark, monkeypatch, params, part_rows):
     monkeypatch.setattr(boosting, "PART_ROWS", part_rows)

@@ -105,3 +105,31 @@ def test_duplicates_and_report(spark, rows):
 def test_clean_table_passes(spark):
     df = spark.createDataFrame([(1, 1.0, 2.0, "x", "Yes", "Yes")], "id int, a double, b double, c string, f string, y string")
     assert all(r["ok"] for r in validate.validation_report(df, SPEC).collect())
+
+
+def test_level_index_of_many_levels(spark):
+    """A hundred thousand levels, a hot one and a null: positions equal the ranks, and no level reaches the plan."""
+    df = spark.range(200_000).select(
+        "id", F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 1000 == 1, None)
+        .otherwise(F.concat(F.lit("v"), (F.col("id") % 100_000).cast("string"))).alias("a"), (F.col("id") % 7).cast("string").alias("b"))
+    index = encode.fit_level_index(df, ["a", "b"])
+    rows = df.select("a", "b").toPandas()
+    a, b = (sorted(rows[c].dropna().unique()) for c in "ab")
+    want = {("a", v): i for i, v in enumerate(a)} | {("b", v): len(a) + i for i, v in enumerate(b)}
+    assert {(r["column"], r["value"]): r["index"] for r in index.collect()} == want and len(want) > 60_000
+    got = encode.encode_onehot_indices(df, "id", ["a", "b"], index)
+    assert "v99" not in got._jdf.queryExecution().optimizedPlan().toString()
+    picked = {r["id"]: list(r["indices"]) for r in got.where("id % 997 = 4 or id = 1001").collect()}
+    for i, found in picked.items():
+        own = [want["a", rows.a[i]]] if rows.a[i] is not None else []
+        assert found == [*own, want["b", rows.b[i]]]
+    assert got.count() == 200_000 and [len(picked[1001])] == [1]
+    unseen = spark.createDataFrame([(1, "new", None)], "id long, a string, b string")
+    assert encode.encode_onehot_indices(unseen, "id", ["a", "b"], index).first()["indices"] == []
+
+
+def test_too_many_levels_for_columns(spark, monkeypatch):
+    monkeypatch.setattr(encode, "MAX_WIDE_LEVELS", 5)
+    df = spark.range(6).select(F.col("id").cast("string").alias("c"))
+    with pytest.raises(ValueError, match="encode_onehot_indices"):
+        encode.fit_levels(df, ["c"])

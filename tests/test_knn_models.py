@@ -102,10 +102,24 @@ def test_suite_reports_failures_and_saves(spark, rings, tmp_path):
     assert [r["model"] for r in rows] == ["knn", "line", "bad"]
     assert rows[2]["error"] and rows[0]["test_auc"] > 0.99
     assert found.best(spark)[0] == "knn"
-    again = models.SparkModel.load("line", str(tmp_path / "m/line"))
+    again = models.load_model(spark, str(tmp_path / "m/line"))
     assert auc(again, rings) == pytest.approx(rows[1]["test_auc"])
-    near = models.NeighbourModel.load(spark, "knn", str(tmp_path / "m/knn"))
-    assert near.k == 5
+    near = models.load_model(spark, str(tmp_path / "m/knn"))
+    assert near.k == 5 and type(again) is models.SparkModel
+
+
+def test_margins_are_held_out(spark, rings):
+    """Every row's margin comes from a machine fitted on the other folds."""
+    lift = models.RandomFourierFeatures(inputCol="features", outputCol="lifted", gamma=1.0, width=16)
+    lifted = materialize(lift.transform(rings), "lifted")
+    svc = models.LinearSVC(featuresCol="lifted", maxIter=5, regParam=0.01, rawPredictionCol="margin")
+    got = {r["id"]: (r["fold"], r["margin"][1]) for r in models.cross_margins(lifted, svc, 3).collect()}
+    folds = {r["id"]: r["fold"] for r in models.cv_folds(lifted, "label", "id", 3).select("id", "fold").collect()}
+    assert {i: f for i, (f, _) in got.items()} == folds and len(got) == 600
+    outside = [i for i, f in folds.items() if f != 1]
+    machine = svc.fit(lifted.where(F.col("id").isin(outside)))
+    for r in machine.transform(lifted.where(~F.col("id").isin(outside))).select("id", "margin").collect():
+        assert got[r["id"]][1] == pytest.approx(r["margin"][1], abs=1e-6)
 
 
 def test_cross_validation(rings):

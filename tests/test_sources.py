@@ -49,6 +49,28 @@ def test_run_log_appends(spark):
     assert [tuple(r) for r in got] == [("a", 0.0, None), ("b", 0.5, None)]
 
 
+def test_rows_without_a_commit_are_not_read(spark):
+    path = scratch_path(spark, "runs")
+    found = spark.createDataFrame([("a", 5, 0.5, None), ("b", 7, 0.25, 1.0)], "model string, n long, auc double, f1 double")
+    runlog.append_runs(found, path, "model", ["n"], ["auc", "f1"])
+    runlog.read_runs(spark, path).write.parquet(f"{path}/rows/batch=died")  # written, never committed
+    log = runlog.read_runs(spark, path)
+    assert log.count() == 6 and log.select("run_id").distinct().count() == 2
+    got = runlog.pivot_metrics(log, ["auc", "f1"]).orderBy("run_name").collect()
+    assert [tuple(r) for r in got] == [("a", 0.5, None), ("b", 0.25, 1.0)]
+    assert {r["value_str"] for r in log.where("kind = 'param'").collect()} == {"5", "7"}
+
+
+def test_rescued_cells(spark, tmp_path):
+    (tmp_path / "d.csv").write_text('id,n,f,s\n1,NA,1.5,x\n2,7.5,null,None\n3,"a, b",nan,y\n4,8\n5,9,1,z,extra\n,x,2,w\n')
+    schema = spark.createDataFrame([], "id long, n int, f double, s string").schema
+    typed, rescued = tables.read_csv_rescued(spark, str(tmp_path / "d.csv"), schema, "id")
+    assert typed.schema == schema and typed.count() == 6
+    got = sorted((str(r["row"]), str(r["column"]), r["raw"]) for r in rescued.collect())
+    assert got == [("2", "n", "7.5"), ("3", "n", "a, b"), ("4", "None", "4,8"), ("5", "None", "5,9,1,z,extra"), ("None", "n", "x")]
+    assert {r["column"]: r["cells"] for r in tables.rescued_counts(rescued).collect()} == {"n": 3, None: 2}
+
+
 def test_settings(tmp_path):
     path = tmp_path / "c.yaml"
     path.write_text("features:\n  target: y\n  numerical: [a]\nmonitoring:\n  drift_threshold: 0.01\n")

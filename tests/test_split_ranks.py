@@ -6,7 +6,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tablewarden.operators import split
+from tablewarden.operators import ranks, split
 from tablewarden.operators.ranks import cumulate, exact_quantiles, value_counts
 from tablewarden.operators.split import cv_folds, fold_sizes, split_sizes, stratified_split
 
@@ -63,6 +63,26 @@ def test_hot_value_and_skewed_distribution(spark):
     df.unpersist()
 
 
+@pytest.mark.parametrize("bits", [2, 3])
+def test_ranges_inside_ranges(spark, monkeypatch, bits):
+    """With few ranges a level, ranks take two or three levels, and no range holds more than a few values."""
+    df = spark.range(20_000).select(
+        F.when(F.col("id") % 4 == 0, "b").otherwise("a").alias("k"), F.floor(F.exp(F.rand(1) * 12) * 8).alias("v"))
+    counts = value_counts(df, ["k"], "v")
+    flat = sorted(map(tuple, cumulate(counts, ["k"], "v", ["n"]).collect()))
+    monkeypatch.setattr(ranks, "LEVEL_BITS", bits)
+    spark.conf.set("spark.sql.shuffle.partitions", "60")
+    try:
+        assert ranks.range_levels(df) == {2: [2, 2, 2], 3: [3, 3]}[bits]
+        deep = cumulate(counts, ["k"], "v", ["n"])
+        assert sorted(map(tuple, deep.collect())) == flat
+        assert "__r1" in deep._jdf.queryExecution().optimizedPlan().toString()
+        whole = [tuple(r) for r in cumulate(value_counts(df, [], "v"), [], "v", ["n"]).collect()]
+        assert max(below + n for _, n, below, total in whole) == 20_000
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
 @pytest.mark.parametrize("strata", [600, 5000])
 def test_many_strata(spark, strata):
     df = spark.range(strata * 4).select("id", F.when(F.col("id") % strata == 7, None).otherwise(F.col("id") % strata).alias("y"))
