@@ -84,7 +84,7 @@ def read_csv_rescued(
         line += "_"
     texts = [T.StructField(f.name, T.StringType()) for f in schema.fields]
     raw = _raw_csv(spark, path, T.StructType([*texts, T.StructField(line, T.StringType())]), multiline,
-                   columnNameOfCorruptRecord=line)
+                   columnNameOfCorruptRecord=line, columnPruning="false")  # a pruned line is not seen to be short
 
     def rescued(f: T.StructField) -> Column:
         text = F.col(f"`{f.name}`")
