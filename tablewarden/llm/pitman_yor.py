@@ -52,6 +52,7 @@ COMMON = 1e-6
 DISCOUNT, STRENGTH = 0.8, 1.0
 ROOT_DISCOUNT, ROOT_STRENGTH = 0.6, 1.0
 BURN_IN, KEPT = 2, 4
+_SLICE = 250_000  # tokens that are scored at once
 _FEW = 64  # so many dishes are seated one by one, since array calls would cost more
 _STEP = 64  # customers seated step by step; later ones from one that may open a table to the next
 
@@ -124,8 +125,8 @@ def _parted(b: bytes) -> list[bytes]:
 
 def _runs(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The distinct values of a rising array, and where each one begins (with the end)."""
-    values, first = np.unique(x, return_index=True)
-    return values, np.append(first, len(x))
+    first = np.flatnonzero(np.concatenate([[True], x[1:] != x[:-1]])) if len(x) else np.zeros(0, dtype=np.int64)
+    return x[first], np.append(first, len(x))
 
 
 def _pack40(x: np.ndarray) -> bytes:
@@ -225,12 +226,22 @@ def _tally(group: pd.DataFrame) -> tuple[list[np.ndarray], np.ndarray, np.ndarra
 
 def _pairs(ids: np.ndarray, size: np.ndarray, held: np.ndarray, start: int, n: int):
     """Distinct (predecessor, word) pairs of a chunk as one number each, their training counts, and each token's pair."""
-    before = np.empty_like(ids)
-    before[1:] = ids[:-1]
-    before[np.cumsum(size) - size] = start
-    distinct, inverse = np.unique(before.astype(np.int64) * n + ids, return_inverse=True)
-    train = np.repeat(~held, size)
-    return distinct, np.bincount(inverse[train], minlength=len(distinct)), inverse
+    key = _before(ids, size, start).astype(np.int64) * n + ids
+    order = np.argsort(key, kind="stable").astype(np.int32)
+    key = key[order]
+    new = np.concatenate([[True], key[1:] != key[:-1]]) if len(key) else np.zeros(0, dtype=bool)
+    distinct, inverse = key[new], np.empty(len(key), dtype=np.int32)
+    inverse[order] = np.cumsum(new, dtype=np.int32) - 1
+    del key, order, new
+    return distinct, np.bincount(inverse[np.repeat(~held, size)], minlength=len(distinct)), inverse
+
+
+def _before(ids: np.ndarray, size: np.ndarray, start: int) -> np.ndarray:
+    """The word before each token; ``start`` at the start of a text."""
+    out = np.empty_like(ids)
+    out[1:] = ids[:-1]
+    out[np.cumsum(size) - size] = start
+    return out
 
 
 def _owner_of(u: np.ndarray, w: np.ndarray, owners: int, hot: np.ndarray, parts: np.ndarray) -> np.ndarray:
@@ -252,7 +263,7 @@ def _deal(row: dict, owners: int, hot: np.ndarray, parts: np.ndarray):
     u, w = v[distinct // len(v)] & _LOW, v[distinct % len(v)] & _LOW
     owner = _owner_of(u, w, owners, hot, parts)
     order = np.lexsort((w, u, owner))
-    place = np.empty(len(order), dtype=np.int64)
+    place = np.empty(len(order), dtype=np.int32)
     place[order] = np.arange(len(order))
     return u[order], w[order], counts[order], owner[order], (distinct % len(v))[order], place[inverse]
 
@@ -279,7 +290,7 @@ def _pair_mail(table: DataFrame, counted: DataFrame, owners: int, common) -> Dat
             own = slice(first, last)
             contexts, at = _runs(u[own])
             a = _joined(_z_rising(contexts), _z(np.diff(at), "<u4"))
-            b = _joined(_pack40(w[own]), _z(counts[own], "<u8"), _z(of_words[word[own]], "<u8"))
+            b = _joined(_pack40(w[own]), _z(counts[own], "<u4"), _z(of_words[word[own]], "<u8"))  # a chunk has fewer tokens than 2^32
             out.append((0, k, row["chunk"], a, b, 0.0))
         return pd.DataFrame(out, columns=["kind", "target", "chunk", "a", "b", "total"])
 
@@ -383,8 +394,8 @@ def _owner_step(owners: int, common):
             us.append(np.repeat(_unz_rising(contexts), _unz(runs, "<u4")))
             m = len(us[-1])
             ws.append(_unpack40(of_pairs))
-            cs.append(_unz(counts, "<u8"))
-            rare.append(_unz(of_words, "<u8"))
+            cs.append(_unz(counts, "<u4"))
+            rare.append(_unz(of_words, "<u8").astype("<f4"))  # a probability's numerator
             from_.append(m)
         u, w, own = np.concatenate(us), np.concatenate(ws), np.concatenate(cs).astype(np.int64)
         order = np.lexsort((w, u))
@@ -567,16 +578,23 @@ def score(df: DataFrame, key: str = "doc_id", text: str = "text", folds: int = 1
         for target, a, b in own.loc[own["kind"] == 0, ["target", "a", "b"]].itertuples(index=False):
             value[np.searchsorted(owner, int(target)) + _unz_rising(a).astype(np.int64)] = _unz(b, "<f4")
         ids, sizes = _numbers(row), np.array(row["size"], dtype=np.int64)
-        before = np.empty_like(ids)
-        before[1:] = ids[:-1]
+        before = _before(ids, sizes, int(np.searchsorted(v, _START)))
         first = np.cumsum(sizes) - sizes
-        before[first] = int(np.searchsorted(v, _START))
-        chance = value[place] / (STRENGTH + c[before]) + back[before] * p[ids]
-        base = (c[ids] + 0.1) / (train + 0.1 * (vocabulary + 1))
+        known, base_score, score_of = (np.empty(len(sizes)) for _ in range(3))
+        at = 0
+        while at < len(sizes):  # some texts at a time, so that few long arrays exist at once
+            last = max(at + 1, int(np.searchsorted(first, first[at] + _SLICE, side="right")) - 1) if at + 1 < len(sizes) else at + 1
+            part = slice(first[at], first[last] if last < len(sizes) else len(ids))
+            word, context, own = ids[part], before[part], first[at:last] - first[at]
+            chance = value[place[part]] / (STRENGTH + c[context]) + back[context] * p[word]
+            known[at:last] = np.add.reduceat((c[word] > 0).astype(np.int64), own)
+            base_score[at:last] = np.add.reduceat(np.log10((c[word] + 0.1) / (train + 0.1 * (vocabulary + 1))), own)
+            score_of[at:last] = np.add.reduceat(np.log10(chance), own)
+            at = last
+        pa.default_memory_pool().release_unused()
         return pd.DataFrame({
             "doc_id": list(row["doc_id"]), "held_out": list(row["held"]), "n_tokens": sizes,
-            "n_known": np.add.reduceat((c[ids] > 0).astype(np.int64), first),
-            "base_score": np.add.reduceat(np.log10(base), first), "score": np.add.reduceat(np.log10(chance), first),
+            "n_known": known.astype(np.int64), "base_score": base_score, "score": score_of,
         }).astype({"doc_id": "Int64"})
 
     texts_and_pairs = table.drop("counts").unionByName(
