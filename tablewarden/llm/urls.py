@@ -3,14 +3,16 @@
 A rule is a host and the start of a path. It fits its host and all subdomains of it, and the longest rule
 that fits decides. URLs that no rule fits are judged by trees that were trained on the URLs that rules
 decide: length, depth, digit ratio, entropy, numbers of parameters and labels, and how often the URL's
-top-level domain and registered domain were blocked among the labelled ones.
+top-level domain, registered domain and first path part were blocked among the labelled ones.
 
 A null URL, or one without ``://``, has an empty host and path, fits no rule and is judged by the trees
 like others. Without labelled URLs every other URL is allowed; with labels of one kind all get that one.
 Repeated rows are judged alike. Other columns do not matter, whatever their names.
 
-The trees are fitted on at most about ``sample_rows`` labelled rows, chosen by a hash; domain statistics
-come from the same rows, which bounds the table that is broadcast. Rules are part of the configuration.
+The domain statistics count all labelled rows; a row that the trees learn from gets its rates from the other ``FOLDS``
+folds, so that its own label is not in them. (To leave out the one label alone would tell it.) The
+trees alone are fitted on at most about ``sample_rows`` labelled rows, chosen by a hash. Statistics of up to
+``BROADCAST_SUFFIXES`` suffixes are broadcast, more are joined with their hot ones apart. Rules are part of the configuration.
 """
 
 from __future__ import annotations
@@ -23,14 +25,16 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablewarden.llm.common import col
+from tablewarden.llm.common import col, join_groups
 from tablewarden.session import materialize
 
 SAMPLE_ROWS = 20_000
+BROADCAST_SUFFIXES = 200_000
+FOLDS = 5
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 FEATURES = (
     "length", "host_length", "path_length", "depth", "digit_ratio", "entropy", "parameters", "query_length", "labels",
-    "hyphens", "top_rate", "domain_rate",
+    "hyphens", "top_rate", "domain_rate", "section_rate",
 )
 
 
@@ -95,42 +99,65 @@ def lexical(df: DataFrame) -> DataFrame:
         "hyphens": F.regexp_count(F.col("host"), F.lit("-")).cast("double"),
         "top": F.element_at(labels, -1),
         "domain": F.concat_ws(".", F.slice(labels, F.greatest(F.size(labels) - 1, F.lit(1)), 2)),
+        "section": F.split_part("path", F.lit("/"), F.lit(2)),
     })
 
 
+def fold() -> Column:
+    """The fold of a labelled URL; equal URLs share one."""
+    return F.pmod(F.xxhash64("url"), F.lit(FOLDS)).cast("int")
+
+
 class UrlModel:
-    """Trees and domain statistics; ``fit`` needs columns ``url host path label`` (1 is block)."""
+    """Trees and suffix statistics; ``fit`` needs columns ``url host path label`` (1 is block).
+
+    The statistics, (suffix, blocked, n) per top-level and registered domain and section, count all labelled rows, also by fold;
+    only the trees are fitted on a sample.
+    """
 
-    def __init__(self, trees, constant: float, rates: dict[str, DataFrame]):
-        self.trees, self.constant, self.rates = trees, constant, rates
+    def __init__(self, trees, prior: float, rates: dict[str, DataFrame], labelled: int):
+        self.trees, self.prior, self.rates, self.labelled = trees, prior, rates, labelled
 
     @classmethod
-    def fit(cls, labelled: DataFrame, rounds: int = 12, depth: int = 4, seed: int = 7) -> UrlModel:
-        rows = materialize(lexical(labelled), "url-sample")
-        n, blocked = rows.agg(F.count(F.lit(1)), F.sum("label")).first()
+    def fit(
+        cls, labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, rounds: int = 12, depth: int = 4, seed: int = 7
+    ) -> UrlModel:
+        by_fold = [f for k in range(FOLDS) for f in (
+            F.coalesce(F.sum(F.when(fold() == k, F.col("label"))), F.lit(0)).alias(f"blocked_{k}"), F.count_if(fold() == k).alias(f"n_{k}"))]
+        counts = [F.sum("label").alias("blocked"), F.count(F.lit(1)).alias("n"), *by_fold]
+        domains = materialize(lexical(labelled).groupBy("domain", "top").agg(*counts), "url-domain")
+        n, blocked = domains.agg(F.coalesce(F.sum("n"), F.lit(0)), F.sum("blocked")).first()
         if not n or blocked in (0, n):
-            return cls(None, float(bool(blocked)), {})
-        prior = blocked / n
-        rates = {
-            c: materialize(
-                rows.groupBy(c).agg(((F.sum("label") + 4 * prior) / (F.count(F.lit(1)) + 4)).alias(f"{c}_rate")), f"url-{c}"
-            )
-            for c in ("top", "domain")
-        }
-        model = cls(None, prior, rates)
+            return cls(None, float(bool(blocked)), {}, n)
+        names = [c for c in domains.columns if c not in ("domain", "top")]
+        tops = materialize(domains.groupBy("top").agg(*[F.sum(c).alias(c) for c in names]), "url-top")
+        sections = materialize(lexical(labelled).groupBy("section").agg(*counts), "url-section")
+        model = cls(None, blocked / n, {"top": tops, "domain": domains.drop("top"), "section": sections}, n)
+        rows = materialize(lexical(sample(labelled, sample_rows)), "url-sample")
         trees = GBTClassifier(labelCol="label", featuresCol="features", maxIter=rounds, maxDepth=depth, stepSize=0.3, seed=seed)
-        model.trees = trees.fit(model.assembled(rows).select("features", F.col("label").cast("double")).coalesce(4))
+        fitted = model.assembled(rows, counted=True)
+        model.trees = trees.fit(fitted.select("features", F.col("label").cast("double").alias("label")).coalesce(4))
         return model
 
-    def assembled(self, rows: DataFrame) -> DataFrame:
+    def assembled(self, rows: DataFrame, counted: bool = False) -> DataFrame:
+        """Feature vectors; the suffix rates of rows that were ``counted`` leave out their own fold."""
         for c, table in self.rates.items():
-            rows = rows.join(F.broadcast(table), c, "left").fillna({f"{c}_rate": self.constant})
+            folds = F.array(*[F.struct(F.col(f"blocked_{k}").alias("b"), F.col(f"n_{k}").alias("n")) for k in range(FOLDS)])
+            table = table.select(c, F.col("blocked").alias("__blocked"), F.col("n").alias("__n"), folds.alias("__folds"))
+            if table.count() <= BROADCAST_SUFFIXES:
+                rows = rows.join(F.broadcast(table), c, "left")
+            else:
+                rows = join_groups(materialize(rows, "url-rows"), table, [c], "__n", self.labelled)
+            own = F.get("__folds", fold())
+            less, rest = (own["b"], own["n"]) if counted else (F.lit(0), F.lit(0))
+            known = (F.col("__blocked") - less + 4 * self.prior) / (F.col("__n") - rest + 4)
+            rows = rows.withColumn(f"{c}_rate", F.coalesce(known, F.lit(self.prior))).drop("__blocked", "__n", "__folds")
         return VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(rows)
 
     def block_probability(self, rows: DataFrame) -> DataFrame:
         """``rows`` (with columns url, host, path) and ``blocked``, the probability of block."""
         if self.trees is None:
-            return rows.withColumn("blocked", F.lit(self.constant))
+            return rows.withColumn("blocked", F.lit(self.prior))
         scored = self.trees.transform(self.assembled(lexical(rows)))
         return scored.select(*rows.columns, vector_to_array("probability")[1].alias("blocked"))
 
@@ -152,7 +179,7 @@ def judge(
     rule, verdict = decide(rules, F.col("host"), F.col("path"))
     rows = rows.withColumn("rule", rule).withColumn("by_rule", verdict)
     labelled = rows.where("rule is not null").withColumn("label", (F.col("by_rule") == "block").cast("int"))
-    model = UrlModel.fit(sample(labelled.select("page_id", "url", "host", "path", "label"), sample_rows))
+    model = UrlModel.fit(labelled.select("page_id", "url", "host", "path", "label"), sample_rows)
     by_trees = F.when(F.col("blocked") >= 0.5, F.lit("block")).otherwise(F.lit("allow"))
     return model.block_probability(rows).select(
         "page_id", "url", "host", "path", "rule", F.coalesce("by_rule", by_trees).alias("verdict"), "blocked")
