@@ -3,7 +3,8 @@
 A page is read into leaf blocks, the runs of text between the starts and ends of block elements. A block
 is described by its ancestors (element names, classes, ids, roles) and by its text (length, links,
 punctuation, digits, place). The field was trained on labelled pages, and Viterbi decoding says which
-blocks are the article. Scripts, styles and other elements that hold no prose are never blocks.
+blocks are the article. Scripts, styles, heads, form controls, drawings and media are never blocks; the text of any other
+element, formulas, buttons, listings, fallbacks and hidden ones included, is text of its block, and the field decides.
 
 Inside a block character references are decoded and white space becomes one blank; blocks are joined by
 one line feed, whole and in page order. A null or empty page, one without blocks, and one without main
@@ -15,10 +16,11 @@ Pages are independent, so extraction is a map over rows; training data and weigh
 
 from __future__ import annotations
 
+import bisect
 import functools
 import html as entities
 import re
-from collections.abc import Iterator
+from collections.abc import Container, Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -33,12 +35,12 @@ TRAINING_PAGES = 500
 
 # Names of HTML elements.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_RAW = frozenset("script style textarea title iframe noframes xmp".split())
-_SILENT = frozenset("head noscript template svg math object canvas audio video select button datalist map".split())
+_RAW = frozenset("script style textarea title iframe noframes".split())
+_SILENT = frozenset("head noscript template svg canvas audio video select datalist".split())
 _BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure "
     "footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option p pre section summary table "
-    "tbody td tfoot th thead tr ul".split()
+    "tbody td tfoot th thead tr ul xmp".split()
 )
 # Elements that end open ones of their kind when they start: which, and what bounds the search.
 _IMPLIED = {
@@ -52,6 +54,7 @@ _TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^'">])*)>""")
 _LOOSE = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)")
 _ATTRIBUTE = re.compile(r"""([^\s=/"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _PART = re.compile(r"[^a-z0-9]+")
+_XMP_END = re.compile(r"</xmp[^>]*>?", re.I)
 
 
 @dataclass
@@ -71,11 +74,67 @@ class _Element:
 
 @dataclass
 class _Open:
-    """The block that text goes into."""
+    """The block that text goes into, and what its first text stood in."""
 
     pieces: list[str] = field(default_factory=list)
     linked: int = 0
-    stack: list[_Element] = field(default_factory=list)
+    features: list[str] = field(default_factory=list)
+    inner: str = ""
+    main: bool = False
+
+
+class _Stack:
+    """The open elements, with counts and places of what is asked of them, so that no step looks at all of them."""
+
+    def __init__(self, known: Container[str] | None):
+        self.known = known
+        self.elements: list[_Element] = []
+        self.places: dict[str, list[int]] = {}  # of each name, rising
+        self.blocks: list[int] = []
+        self.features: dict[str, int] = {}
+        self.silent = self.links = self.main = 0
+
+    def push(self, element: _Element) -> None:
+        at = len(self.elements)
+        self.elements.append(element)
+        self.places.setdefault(element.name, []).append(at)
+        if element.name in _BLOCK:
+            self.blocks.append(at)
+        for f in element.features:
+            if self.known is None or f in self.known:
+                self.features[f] = self.features.get(f, 0) + 1
+        self.silent += element.silent
+        self.links += element.name == "a"
+        self.main += element.main
+
+    def pop(self, index: int) -> None:
+        """Close the element at ``index`` and all inside it."""
+        while len(self.elements) > index:
+            element = self.elements.pop()
+            self.places[element.name].pop()
+            if element.name in _BLOCK:
+                self.blocks.pop()
+            for f in element.features:
+                if self.known is None or f in self.known:
+                    self.features[f] -= 1
+                    if not self.features[f]:
+                        del self.features[f]
+            self.silent -= element.silent
+            self.links -= element.name == "a"
+            self.main -= element.main
+
+    def last(self, names: Iterable[str]) -> int:
+        """The place of the innermost open element of these names, or -1."""
+        return max((self.places[name][-1] for name in names if self.places.get(name)), default=-1)
+
+    def first_after(self, names: Iterable[str], bound: int) -> int:
+        """The place of the outermost open element of these names inside ``bound``, or -1."""
+        found = []
+        for name in names:
+            places = self.places.get(name, ())
+            k = bisect.bisect_right(places, bound)
+            found += places[k : k + 1]
+        return min(found, default=-1)
 
 
 @functools.lru_cache(maxsize=4096)
@@ -89,18 +148,20 @@ def _element(name: str, attributes: str) -> _Element:
                     features.append(f"c:{word}")
                     features += [f"w:{part}" for part in _PART.split(word) if part]
             elif key == "hidden" or key == "style" and "display:none" in value.replace(" ", ""):
-                silent = True
+                features.append("hidden")
             elif key == "data-main":
                 main = True
     return _Element(name, tuple(features), silent, main)
 
 
-def read(page: str, labelled: bool = False) -> list[Block]:
-    """The leaf blocks of a page in order; ``labelled`` pages say which are main."""
-    stack: list[_Element] = []
+def read(page: str, labelled: bool = False, known: Container[str] | None = None) -> list[Block]:
+    """The leaf blocks of a page in order; ``labelled`` pages say which are main.
+
+    ``known`` are the only features that matter, if given: with it, time is linear in the page.
+    """
+    stack = _Stack(known)
     out: list[Block] = []
     now = _Open()
-    silent = links = 0
 
     def flush() -> None:
         nonlocal now
@@ -110,22 +171,17 @@ def read(page: str, labelled: bool = False) -> list[Block]:
                 out.append(_described(text, now, labelled))
             now = _Open()
 
-    def pop(index: int) -> None:
-        nonlocal silent, links
-        for element in stack[index:]:
-            silent -= element.silent
-            links -= element.name == "a"
-        del stack[index:]
-
     def add(text: str) -> None:
-        if silent or not text:
+        if stack.silent or not text:
             return
         if not now.pieces:
             if text.isspace():
                 return
-            now.stack = list(stack)
+            now.features = list(stack.features)
+            now.inner = stack.elements[stack.blocks[-1]].name if stack.blocks else ""
+            now.main = stack.main > 0
         now.pieces.append(text)
-        if links:
+        if stack.links:
             now.linked += len(text)
 
     at, n = 0, len(page)
@@ -159,33 +215,33 @@ def read(page: str, labelled: bool = False) -> list[Block]:
                 flush()
             elif name == "br":
                 add(" ")
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i].name == name:
-                    pop(i)
-                    break
-                if name not in _BLOCK and stack[i].name in _BLOCK:
-                    break  # inline ends do not reach out of their block
+            at_name = stack.last((name,))
+            # Inline ends do not reach out of their block.
+            if at_name >= 0 and (name in _BLOCK or not stack.blocks or at_name > stack.blocks[-1]):
+                stack.pop(at_name)
             continue
         if name in _BLOCK:
             flush()
             if name in _IMPLIED:
                 kinds, bounds = _IMPLIED[name]
-                for i in range(len(stack) - 1, -1, -1):
-                    if stack[i].name in bounds:
-                        break
-                    if stack[i].name in kinds:
-                        pop(i)
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i].name == "p":
-                    pop(i)
-                    break
-                if stack[i].name in _P_BOUND:
-                    break
+                ended = stack.first_after(kinds, stack.last(bounds))
+                if ended >= 0:
+                    stack.pop(ended)
+            paragraph = stack.last(("p",))
+            if paragraph > stack.last(_P_BOUND):
+                stack.pop(paragraph)
         if name in ("body", "main", "article", "header", "nav"):
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i].name == "head":
-                    pop(i)
-                    break
+            head = stack.last(("head",))
+            if head >= 0:
+                stack.pop(head)
+        if name == "xmp":  # a listing: what looks like markup in it is text
+            end = _XMP_END.search(page, at)
+            stack.push(_element(name, tag[3]))
+            add(page[at : n if end is None else end.start()].replace("&", "&amp;"))
+            flush()
+            stack.pop(len(stack.elements) - 1)
+            at = n if end is None else end.end()
+            continue
         if name in _RAW:
             end = re.compile(rf"</{name}[^>]*>?", re.I).search(page, at)
             at = n if end is None else end.end()
@@ -195,10 +251,7 @@ def read(page: str, labelled: bool = False) -> list[Block]:
             continue
         if name in _VOID:
             continue
-        element = _element(name, tag[3])
-        stack.append(element)
-        silent += element.silent
-        links += name == "a"
+        stack.push(_element(name, tag[3]))
     flush()
     for i, block in enumerate(out):
         place = i / len(out)
@@ -208,13 +261,7 @@ def read(page: str, labelled: bool = False) -> list[Block]:
 
 
 def _described(text: str, now: _Open, labelled: bool) -> Block:
-    features = {"bias"}
-    inner = ""
-    for element in now.stack:
-        features.update(element.features)
-        if element.name in _BLOCK:
-            inner = element.name
-    features.add(f"t:{inner}")
+    features = {"bias", *now.features, f"t:{now.inner}"}
     words = text.count(" ") + 1
     features.add(f"words:{words if words < 3 else 5 if words < 6 else 10 if words < 11 else 20 if words < 21 else 40}")
     links = now.linked / max(1, sum(map(len, now.pieces)))
@@ -227,7 +274,7 @@ def _described(text: str, now: _Open, labelled: bool) -> Block:
         features.add("copyright")
     if links and "|" in text:
         features.add("bar")
-    return Block(text, sorted(features), labelled and any(x.main for x in now.stack))
+    return Block(text, sorted(features), labelled and now.main)
 
 
 @dataclass
@@ -342,7 +389,7 @@ def trained(n: int = TRAINING_PAGES) -> BlockField:
 
 
 def main_text(page: str | None, model: BlockField) -> str:
-    blocks = read(page or "")
+    blocks = read(page or "", known=model.index)
     return "\n".join(b.text for b, main in zip(blocks, model.decode(blocks), strict=True) if main)
 
 

@@ -1,6 +1,7 @@
 """Operators' array code against plain versions; no Spark."""
 
 import random
+import time
 
 import numpy as np
 import public_tokenizers
@@ -188,3 +189,23 @@ def test_the_parent_is_seated_among_its_own_tables():
     few = pitman_yor._root_seats(customers, 0, 10**6, [200.0] * 6)[1].mean()
     many = pitman_yor._root_seats(customers, 0, 10**6, [10.0**6] * 6)[1].mean()
     assert few < 1.1 and many > 1.5
+
+
+def test_text_of_every_element_is_kept():
+    model = html.trained()
+    paragraph = "<p>A plain paragraph of an article, with commas, as there are many of them.</p>"
+    page = (f"<article>{paragraph}<p>Energy is <math><mi>E</mi><mo>=</mo><mi>mc</mi></math> by law, as everyone knows well.</p>{paragraph}"
+            f"<p>The <button>quick</button> fox <span hidden>always</span> jumps over the lazy dog.</p>{paragraph}"
+            f"<xmp>if (a < b && c) {{ <b>run</b>(); }}</xmp><object>No plugin, so this text.</object>{paragraph}</article>")
+    text = html.main_text(page, model)
+    for kept in ("Energy is E=mc by law", "The quick fox always jumps", "if (a < b && c) { <b>run</b>(); }", "No plugin, so this text."):
+        assert kept in text
+    assert "none" not in html.main_text(f"<article>{paragraph}<p>x<script>none</script><svg><text>none</text></svg></p></article>", model)
+
+
+def test_unclosed_elements_take_linear_time():
+    model = html.trained()
+    page = "<body><article>" + "".join(f"<span><div>Some words of text {i}, more of them.</div></a>" for i in range(40_000))
+    started = time.perf_counter()
+    assert html.main_text(page, model).count("\n") > 30_000 and len(page) > 2_000_000
+    assert time.perf_counter() - started < 20

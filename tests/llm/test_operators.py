@@ -8,6 +8,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
@@ -95,6 +96,27 @@ def test_trees_learn_held_out_urls(spark):
     assert right > max(scored.label.mean(), 1 - scored.label.mean())  # better than one verdict for all
 
 
+def test_suffix_statistics_count_all_labelled_rows(spark, monkeypatch):
+    """The trees see a few rows; a domain's rate comes from all of them, and without a row's own label."""
+    rows = spark.range(4000).select(
+        F.col("id").alias("page_id"), F.concat(F.lit("http://"), F.when(F.col("id") % 8 == 0, "shop.net").otherwise(
+            F.concat(F.lit("a"), F.col("id") % 50, F.lit(".org"))), F.lit("/x/"), F.col("id")).alias("url"),
+        (F.col("id") % 8 == 0).cast("int").alias("label"))
+    host, path = urls.host_and_path(rows["url"])
+    rows = rows.withColumn("host", host).withColumn("path", path)
+    model = urls.UrlModel.fit(rows, sample_rows=200)
+    assert {r["domain"]: (r["blocked"], r["n"]) for r in model.rates["domain"].collect()}["shop.net"] == (500, 500)
+    assert model.rates["top"].count() == 2 and model.labelled == 4000
+    folds = {r["f"]: r["n"] for r in rows.where("label = 1").groupBy(urls.fold().alias("f")).agg(F.count("*").alias("n")).collect()}
+    asked = urls.lexical(rows.where("label = 1")).withColumn("f", urls.fold())
+    for r in model.assembled(asked, counted=True).limit(20).collect():  # rates of the other folds
+        rest = 500 - folds[r["f"]]
+        assert r["features"][urls.FEATURES.index("domain_rate")] == pytest.approx((rest + 4 * 0.125) / (rest + 4))
+    before = sorted(model.block_probability(rows).select("page_id", "blocked").collect())
+    monkeypatch.setattr(urls, "BROADCAST_SUFFIXES", 0)
+    assert sorted(model.block_probability(rows).select("page_id", "blocked").collect()) == before
+
+
 def test_pages_as_rows(spark):
     df = spark.createDataFrame([(1, "u", None), (1, "u", "<p"), (None, None, "<article><p>Some text here, long enough.</p></article>")],
                                "page_id long, url string, html string")
@@ -189,6 +211,20 @@ def test_words_that_are_not_broadcast_have_their_counts_too(spark, sf_dir, monke
     assert abs(after.sum() / before.sum() - 1) < 0.002
 
 
+def test_pipeline_stages_on_odd_and_empty_tables(spark, odd, empty, sf_dir):
+    """Nulls in any column, repeated and empty rows, clashing names: every stage keeps the columns and its rules."""
+    for rows in (odd, empty):
+        for name, stage in corpus_pipeline.STAGES:
+            out = stage(spark, rows, sf_dir)
+            if name != "byte_bpe":
+                assert out.columns == odd.columns
+            counts = {"toxicity": len(ODD), "near_duplicates": 5, "byte_bpe": len(ODD)}
+            if name in counts:
+                assert out.count() == (counts[name] if rows is odd else 0)
+            else:
+                assert out.where("text is null or text = ''").count() <= 4 and (rows is odd or out.count() == 0)
+
+
 def test_pipeline_stages(spark, sf_dir):
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
     docs = documents
