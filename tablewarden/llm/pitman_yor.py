@@ -227,7 +227,7 @@ def _tally(group: pd.DataFrame) -> tuple[list[np.ndarray], np.ndarray, np.ndarra
 def _pairs(ids: np.ndarray, size: np.ndarray, held: np.ndarray, start: int, n: int):
     """Distinct (predecessor, word) pairs of a chunk as one number each, their training counts, and each token's pair."""
     key = _before(ids, size, start).astype(np.int64) * n + ids
-    order = np.argsort(key, kind="stable").astype(np.int32)
+    order = np.argsort(key).astype(np.int32)
     key = key[order]
     new = np.concatenate([[True], key[1:] != key[:-1]]) if len(key) else np.zeros(0, dtype=bool)
     distinct, inverse = key[new], np.empty(len(key), dtype=np.int32)
