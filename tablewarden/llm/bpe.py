@@ -131,6 +131,9 @@ def ragged(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.repeat(start - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)
 
 
+_COMPARED = 1 << 18
+
+
 def same_bytes(
     a: np.ndarray, a_start: np.ndarray, a_end: np.ndarray, b: np.ndarray, b_start: np.ndarray, b_end: np.ndarray,
 ) -> np.ndarray:
@@ -138,10 +141,14 @@ def same_bytes(
     size = a_end - a_start
     same = size == b_end - b_start
     some = np.flatnonzero(same & (size > 0))
-    if len(some):
-        size = size[some]
-        equal = a[ragged(a_start[some], size)] == b[ragged(b_start[some], size)]
-        same[some] = np.logical_and.reduceat(equal, np.cumsum(size) - size)
+    ends, at = np.cumsum(size[some]), 0
+    while at < len(some):  # a bounded number of bytes at a time
+        last = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + _COMPARED, side="right")))
+        part = some[at:last]
+        n = size[part]
+        equal = a[ragged(a_start[part], n)] == b[ragged(b_start[part], n)]
+        same[part] = np.logical_and.reduceat(equal, np.cumsum(n) - n)
+        at = last
     return same
 
 
