@@ -27,14 +27,23 @@ def _typed(name: str, dtype: T.DataType) -> Column:
     return (known if isinstance(dtype, T.StringType) else known.try_cast(dtype)).alias(name)
 
 
+def _may_be_number(text: Column) -> Column:
+    """False only for texts that no cast to a number takes: a failing cast costs an exception for every cell.
+
+    White space, signs, points and digits sort before the colon; letters begin a number in nan and inf(inity) only.
+    """
+    return (text < ":") | F.lower(F.substring(text, 1, 3)).isin("nan", "inf")
+
+
 def _inferred(raw: DataFrame) -> T.StructType:
     """Integer, else number, else string: one pass over all columns."""
     aggs = []
     for c in raw.columns:
         known = F.when(~F.col(f"`{c}`").isin(*NA_TOKENS), F.col(f"`{c}`"))
+        word = ~_may_be_number(known)
         aggs += [
-            F.count_if(known.isNotNull() & known.try_cast("bigint").isNull()).alias(f"{c}__i"),
-            F.count_if(known.isNotNull() & known.try_cast("double").isNull()).alias(f"{c}__d"),
+            F.count_if(known.isNotNull() & (word | known.contains(".") | known.try_cast("bigint").isNull())).alias(f"{c}__i"),
+            F.count_if(known.isNotNull() & (word | known.try_cast("double").isNull())).alias(f"{c}__d"),
             F.count_if(known.isNull()).alias(f"{c}__na"),
             F.count("*").alias(f"{c}__n"),
         ]

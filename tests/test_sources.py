@@ -14,6 +14,22 @@ def test_missing_words_in_typed_columns(spark, tmp_path):
     assert [tuple(r) for r in got.orderBy("id").collect()] == [(1, None, 1.5, 'a, "b"'), (2, 7, None, None), (3, None, None, None)]
 
 
+def test_inference_casts_no_words(spark, tmp_path):
+    """Texts that can't be numbers are told by their first letters; a failing cast throws an exception for every cell."""
+    cells = ["Yes", "Infinity", "-inf", "NaN ", "12.0", "1e3", " 7 ", "\t1.5", "+4", "0x1p3", "1.5d", "Info", "nano", "é1", ":1", "~"]
+    rows = "".join(f'{i},"{c}"\n' for i, c in enumerate(cells))
+    (tmp_path / "d.csv").write_text("id,s\n" + rows)
+    raw = tables._raw_csv(spark, str(tmp_path / "d.csv"), None, False)
+    got = raw.select("s", tables._may_be_number(F.col("s")).alias("may"), F.col("s").try_cast("double").isNotNull().alias("is")).collect()
+    assert len(got) == len(cells) and all(r["may"] for r in got if r["is"])
+    assert [r["s"] for r in got if r["may"] and not r["is"]] == ["Info", "nano"]
+    for i, c in enumerate(cells):  # each text alone in its column gets the type that its casts give
+        (tmp_path / f"{i}.csv").write_text(f'id,s\n1,"{c}"\n')
+    one = {c: dict(tables.read_csv(spark, str(tmp_path / f"{i}.csv")).dtypes)["s"] for i, c in enumerate(cells)}
+    assert {c for c, t in one.items() if t == "string"} == {"Yes", "Info", "nano", "é1", ":1", "~"}
+    assert {c for c, t in one.items() if t == "bigint"} == {" 7 ", "+4"}
+
+
 def test_missing_file(spark):
     with pytest.raises(FileNotFoundError):
         tables.read_csv(spark, "/tmp/there-is-no-such-file.csv")
