@@ -12,10 +12,13 @@ the leaf with the largest gain next, until the tree has its leaves. For these th
 together, so a tree takes about as many jobs as it has levels.
 
 The driver holds histograms of the open nodes, of a size set by features, bins and leaves and checked against
-``HISTOGRAM_BYTES``. Margins are kept with the blocks and brought up to date every ``KEEP_EVERY`` trees; a lost
-block is read again and gets its margin from the trees. A table that fills one partition only (``PART_ROWS``
-rows) has no sums to exchange, so there the task that holds it grows ``KEEP_EVERY`` trees in turn, by the same steps. (Here, jobs of a few milliseconds over blocks of arrays, hundreds
-to thousands of them, are RDD jobs: planning a query for each would take longer than running it.)
+``HISTOGRAM_BYTES``. Bins of zeros are not added up: they are what a node's sum leaves over, so columns of indicators
+cost little. Margins are kept with the blocks and brought up to date every ``KEEP_EVERY`` trees; between, a worker
+remembers those of the blocks that it met. A lost block is read again and gets its margin from the trees. A table
+that fills one partition only (``PART_ROWS`` rows) has no sums to exchange, so there the task that holds it grows
+``KEEP_EVERY`` trees in turn, by the same steps; larger ones are dealt over all cores. (Here, jobs of a few milliseconds
+over blocks of arrays, hundreds to thousands of them, are RDD jobs: planning a query for each would take longer than
+running it.)
 
 Null features are not allowed, NaN counts as larger than all numbers. Gains that differ by less than a
 billionth count as equal; of equal ones the first feature, then the lower threshold wins.
@@ -25,13 +28,14 @@ from __future__ import annotations
 
 import heapq
 import pickle
+from collections import OrderedDict
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import StorageLevel
+from pyspark import StorageLevel, TaskContext
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,7 +44,9 @@ from tablewarden.session import materialize
 
 HISTOGRAM_BYTES = 1 << 30
 KEEP_EVERY = 10
-PART_ROWS = 1 << 16  # rows of a task, at least
+PART_ROWS = 1 << 19  # rows of a task, 150 bytes each with 80 features; fewer where cores would stay idle, but not for smaller tables
+_LEAST_ROWS = 1 << 13
+_REMEMBERED = 1 << 26  # bytes of margins in a worker
 _FEW_PARTS = 16
 _SAME = 1e-9
 
@@ -67,7 +73,7 @@ class BoostParams:
 
 @dataclass
 class Tree:
-    """Nodes as lists; a node without a feature (-1) is a leaf. Rows with a bin up to ``code`` go left."""
+    """Nodes as lists; a node without a feature (-1) is a leaf. Rows with a bin of the feature up to ``code`` go left."""
 
     feature: list[int] = field(default_factory=lambda: [-1])
     code: list[int] = field(default_factory=lambda: [0])
@@ -94,15 +100,16 @@ class Tree:
         return out
 
     def _walk(self, x: np.ndarray, cut: Sequence) -> np.ndarray:
-        feature, cut = np.array(self.feature), np.array(cut)
-        left, right = np.array(self.left), np.array(self.right)
-        node, every = np.zeros(len(x), dtype=np.int64), np.arange(len(x))
-        while True:
-            inner = feature[node] >= 0
-            if not inner.any():
-                return node
-            rows, at = every[inner], node[inner]
-            node[rows] = np.where(x[rows, feature[at]] <= cut[at], left[at], right[at])
+        feature, cut, here = np.array(self.feature), np.array(cut), np.arange(len(self.feature))
+        inner = feature >= 0
+        feature = np.where(inner, feature, 0)
+        # A node's children side by side, the right one first; a leaf is its own child.
+        child = np.stack([np.where(inner, self.right, here), np.where(inner, self.left, here)], axis=1).ravel()
+        flat, first = np.ascontiguousarray(x).ravel(), np.arange(len(x)) * x.shape[1]
+        node = np.zeros(len(x), dtype=np.int64)
+        for _ in range(max(map(len, self.paths()))):
+            node = child[2 * node + (flat[first + feature[node]] <= cut[node])]
+        return node
 
     def leaf_of_codes(self, codes: np.ndarray) -> np.ndarray:
         return self._walk(codes, self.code)
@@ -128,7 +135,10 @@ def bin_edges(arrays: DataFrame, d: int, bins: int) -> list[np.ndarray]:
 
 @dataclass(frozen=True)
 class Binned:
-    """Blocks (codes, label) in the shared folder. Codes number all bins of all features through."""
+    """Blocks in the shared folder: (bin of each feature, cells, cells of each row, label).
+
+    Cells number all bins of all features through; a row has one for each feature whose bin is not that of zero.
+    """
 
     blocks: DataFrame
     edges: list[np.ndarray]
@@ -140,50 +150,72 @@ class Binned:
         first = arrays.first()
         edges = bin_edges(arrays, len(first["features"]) if first else 0, bins)
         offsets = np.concatenate([[0], np.cumsum([len(e) for e in edges])]).astype(np.int64)
+        zeros = _zeros(edges)
+        small, number = (np.min_scalar_type(int(n)) for n in (max(map(len, edges), default=1) - 1, offsets[-1]))
 
         def block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 if batch.num_rows:
                     x = batch.column("features").flatten().to_numpy().reshape(batch.num_rows, -1)
-                    codes = np.empty(x.shape, dtype=np.int32)
+                    codes = np.empty(x.shape, dtype=small)
                     for f, e in enumerate(edges):
-                        codes[:, f] = offsets[f] + np.minimum(np.searchsorted(e, x[:, f]), len(e) - 1)
+                        codes[:, f] = np.minimum(np.searchsorted(e, x[:, f]), len(e) - 1)
                     y = batch.column("label").to_numpy()
-                    yield pa.RecordBatch.from_pydict({"block": [pickle.dumps((codes, y))]})
+                    for at in range(0, len(y), _LEAST_ROWS):
+                        part = codes[at : at + _LEAST_ROWS]
+                        met = part != zeros
+                        cells = (part + offsets[:-1])[met].astype(number)
+                        made = (part, cells, met.sum(axis=1).astype(np.int32), y[at : at + _LEAST_ROWS])
+                        yield pa.RecordBatch.from_pydict({"block": [pickle.dumps(made)]})
+
+        blocks, rows = materialize(arrays.mapInArrow(block, "block binary"), "binned"), arrays.count()
+        if rows <= PART_ROWS:
+            return cls(blocks.coalesce(1), edges, offsets)
+        cores = train.sparkSession.sparkContext.defaultParallelism
+        return cls(blocks.repartition(max(-(-rows // PART_ROWS), min(cores, -(-rows // _LEAST_ROWS)))), edges, offsets)
+
 
-        blocks = materialize(arrays.mapInArrow(block, "block binary"), "binned")
-        return cls(blocks.coalesce(max(1, -(-arrays.count() // PART_ROWS))), edges, offsets)
+def _zeros(edges: list[np.ndarray]) -> np.ndarray:
+    """The bin of zero in each feature."""
+    return np.array([min(np.searchsorted(e, 0.0), len(e) - 1) for e in edges], dtype=np.int64)
 
 
 def _sigmoid(margin: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-margin))
 
 
-def _sums(blocks: Iterable[tuple], recent: Sequence[Tree], tree: Tree, wanted: Sequence[int], width: int) -> np.ndarray:
-    """([gradient, Hessian, rows], wanted node, bin) of some blocks; ``recent`` trees are not in their margins yet."""
+def _sums(
+    blocks: Iterable[tuple[tuple, np.ndarray]], tree: Tree, wanted: Sequence[int], offsets: np.ndarray, zeros: np.ndarray
+) -> np.ndarray:
+    """([gradient, Hessian, rows], wanted node, bin) of some blocks with their margins."""
     slot = np.full(len(tree.feature), -1)
     slot[list(wanted)] = np.arange(len(wanted))
+    width = int(offsets[-1])
     size = len(wanted) * width
-    total = np.zeros((3, size))
-    for block in blocks:
-        codes, y, _ = block
+    total, of_node = np.zeros((3, size)), np.zeros((3, len(wanted)))
+    for (codes, cells, met, y), margin in blocks:
         own = slot[tree.leaf_of_codes(codes)]
         held = own >= 0
-        p = _sigmoid(_margin(block, recent)[held])
-        at = (codes[held] + (own[held] * width)[:, None]).ravel()
+        own, times = own[held], met[held]
+        p = _sigmoid(margin[held])
+        at = cells[np.repeat(held, met)] + np.repeat(own * width, times)
         for k, w in enumerate((p - y[held], p * (1 - p))):
-            total[k] += np.bincount(at, np.repeat(w, codes.shape[1]), size)
+            total[k] += np.bincount(at, np.repeat(w, times), size)
+            of_node[k] += np.bincount(own, w, len(wanted))
         total[2] += np.bincount(at, minlength=size)
-    return total.reshape(3, len(wanted), width)
+        of_node[2] += np.bincount(own, minlength=len(wanted))
+    total = total.reshape(3, len(wanted), width)
+    total[:, :, offsets[:-1] + zeros] = of_node[:, :, None] - np.add.reduceat(total, offsets[:-1], axis=2)
+    return total
 
 
 class _Rows:
     """The blocks with their margins, and the sums over them."""
 
     def __init__(self, binned: Binned, start: float):
-        self.width = int(binned.offsets[-1])
+        self.offsets, self.zeros = binned.offsets, _zeros(binned.edges)
         parsed = binned.blocks.rdd.map(lambda r: pickle.loads(r["block"]))
-        self.kept = parsed.map(lambda b: (*b, np.full(len(b[1]), start))).persist(StorageLevel.MEMORY_AND_DISK)
+        self.kept = parsed.map(lambda b: (b, np.full(len(b[-1]), start))).persist(StorageLevel.MEMORY_AND_DISK)
         self.parts = self.kept.getNumPartitions()
         self.recent: list[Tree] = []
 
@@ -191,23 +223,25 @@ class _Rows:
         self.recent = [*self.recent, *trees]
         if len(self.recent) >= KEEP_EVERY:
             recent, before = self.recent, self.kept
-            self.kept = before.map(lambda b: (b[0], b[1], _margin(b, recent))).persist(StorageLevel.MEMORY_AND_DISK)
+            of = before.id()
+            self.kept = before.mapPartitions(lambda blocks: _caught_up(of, blocks, recent)).persist(StorageLevel.MEMORY_AND_DISK)
             self.kept.count()
             before.unpersist()
             self.recent = []
 
     def histograms(self, tree: Tree, wanted: Sequence[int]) -> np.ndarray:
         """(node, bin, [gradient, Hessian, rows]) of the wanted nodes; one Spark job."""
-        recent, width = self.recent, self.width
+        recent, offsets, zeros, of = self.recent, self.offsets, self.zeros, self.kept.id()
         # A few partitions are added up by the driver, more of them by tasks first.
         depth = 1 if self.parts <= _FEW_PARTS else 2
-        total = self.kept.mapPartitions(lambda blocks: [_sums(blocks, recent, tree, wanted, width)]).treeReduce(np.add, depth)
+        total = self.kept.mapPartitions(
+            lambda blocks: [_sums(_caught_up(of, blocks, recent), tree, wanted, offsets, zeros)]).treeReduce(np.add, depth)
         return total.transpose(1, 2, 0)
 
     def grown_in_place(self, grower: Grower, rounds: int) -> list[Tree]:
         """The next trees, where all blocks are in one partition: no sums have to leave it between them."""
-        recent, width = self.recent, self.width
-        return self.kept.mapPartitions(lambda blocks: [_Here(list(blocks), recent, width).grown(grower, rounds)]).collect()[0]
+        offsets, zeros = self.offsets, self.zeros
+        return self.kept.mapPartitions(lambda blocks: [_Here(list(blocks), offsets, zeros).grown(grower, rounds)]).collect()[0]
 
     def done(self) -> None:
         self.kept.unpersist()
@@ -216,27 +250,43 @@ class _Rows:
 class _Here:
     """The blocks of a task, for trees that need no others."""
 
-    def __init__(self, blocks: list[tuple], recent: Sequence[Tree], width: int):
-        self.blocks, self.width = [(b[0], b[1], _margin(b, recent)) for b in blocks], width
+    def __init__(self, blocks: list[tuple], offsets: np.ndarray, zeros: np.ndarray):
+        self.blocks, self.offsets, self.zeros = blocks, offsets, zeros
 
     def histograms(self, tree: Tree, wanted: Sequence[int]) -> np.ndarray:
-        return _sums(self.blocks, [], tree, wanted, self.width).transpose(1, 2, 0)
+        return _sums(self.blocks, tree, wanted, self.offsets, self.zeros).transpose(1, 2, 0)
 
     def grown(self, grower: Grower, rounds: int) -> list[Tree]:
         trees = []
         for _ in range(rounds):
             trees.append(grower.grow(self))
-            self.blocks = [(b[0], b[1], _margin(b, trees[-1:])) for b in self.blocks]
+            self.blocks = [(b, _margin(b, margin, trees[-1:])) for b, margin in self.blocks]
         return trees
 
 
-def _margin(block: tuple, trees: Sequence[Tree]) -> np.ndarray:
-    codes, _, margin = block
+def _margin(block: tuple, margin: np.ndarray, trees: Sequence[Tree]) -> np.ndarray:
     for tree in trees:
-        margin = margin + np.array(tree.value)[tree.leaf_of_codes(codes)]
+        margin = margin + np.array(tree.value)[tree.leaf_of_codes(block[0])]
     return margin
 
 
+# Per process: margins after some of the recent trees, by stored table, partition and block; what was used last comes last.
+_MET: OrderedDict[tuple, tuple[int, np.ndarray]] = OrderedDict()
+
+
+def _caught_up(of: int, blocks: Iterable[tuple], recent: Sequence[Tree]) -> Iterator[tuple]:
+    """The blocks of a partition of table ``of``, their margins brought up to date with the recent trees."""
+    part = TaskContext.get().partitionId()
+    for n, (block, margin) in enumerate(blocks):
+        done, margin = _MET.pop((of, part, n), (0, margin))
+        margin = _margin(block, margin, recent[done:])
+        if recent:
+            _MET[of, part, n] = (len(recent), margin)
+            while sum(m.nbytes for _, m in _MET.values()) > _REMEMBERED:
+                _MET.popitem(last=False)
+        yield block, margin
+
+
 @dataclass(order=True)
 class _Leaf:
     """A node that may be split; the queue's order is the largest gain, then the oldest node."""
@@ -288,8 +338,8 @@ class Grower:
 
     def _apply(self, tree: Tree, leaf: _Leaf, node: int) -> tuple[int, int]:
         feature, code, gain, _ = leaf.split
-        threshold = float(self.edges[feature][code - self.offsets[feature]])
-        return tree.split(node, feature, code, threshold, gain)
+        own = int(code - self.offsets[feature])
+        return tree.split(node, feature, own, float(self.edges[feature][own]), gain)
 
     def _value(self, tree: Tree, node: int, sums: np.ndarray) -> None:
         tree.value[node] = float(-self.params.rate * sums[0] / (sums[1] + self.params.ridge)) if sums[2] else 0.0
@@ -396,7 +446,7 @@ def fit_trees(
     binned = binned or Binned.of(train, features, label, params.bins)
     grower, start = Grower(binned.edges, binned.offsets, params), 0.0
     if params.prior:
-        n, positive = binned.blocks.rdd.map(lambda r: pickle.loads(r["block"])[1]).map(
+        n, positive = binned.blocks.rdd.map(lambda r: pickle.loads(r["block"])[-1]).map(
             lambda y: np.array([len(y), y.sum()])).treeReduce(np.add, 2) if binned.edges else (0, 0)
         start = float(np.log(positive / (n - positive))) if 0 < positive < n else 0.0
     trees: list[Tree] = []

@@ -116,3 +116,26 @@ def test_odd_tables(spark, tmp_path):
     assert pairs.where("p = probability").count() == 30
     with pytest.raises(ValueError, match="fewer"):
         boosting.Grower([np.zeros(10**6)], np.array([0, 10**6]), BoostParams(depth=12))
+
+
+def test_zeros_are_not_added_up(spark, monkeypatch):
+    """Blocks list only cells away from zero, and a tree's margins are computed once by a worker that remembers them."""
+    x, y = sample()
+    binned = boosting.Binned.of(frame(spark, x, y), "features", "label", 256)
+    blocks = [boosting.pickle.loads(r["block"]) for r in binned.blocks.collect()]
+    assert sum(len(cells) for _, cells, _, _ in blocks) == np.count_nonzero(x)
+    assert {codes.dtype for codes, *_ in blocks} == {np.dtype("uint8")}
+    tree = boosting.Tree(value=[0.5])
+    monkeypatch.setattr(boosting, "TaskContext", type("T", (), {"get": staticmethod(lambda: type("C", (), {"partitionId": lambda s: 0})())}))
+    own = [(b, np.zeros(len(b[-1]))) for b in blocks]
+    for n in (1, 2, 2):
+        assert all((m == n * 0.5).all() for _, m in boosting._caught_up(-1, own, [tree] * n))
+    assert {boosting._MET[-1, 0, k][0] for k in range(len(own))} == {2}
+
+
+def test_tables_beyond_a_part_use_all_cores(spark, monkeypatch):
+    monkeypatch.setattr(boosting, "PART_ROWS", 100)
+    monkeypatch.setattr(boosting, "_LEAST_ROWS", 20)
+    x, y = sample()
+    binned = boosting.Binned.of(frame(spark, x, y), "features", "label", 16)
+    assert binned.blocks.rdd.getNumPartitions() == min(spark.sparkContext.defaultParallelism, 12)
