@@ -122,6 +122,14 @@ def test_margins_are_held_out(spark, rings):
         assert got[r["id"]][1] == pytest.approx(r["margin"][1], abs=1e-6)
 
 
+def test_svm_stores_no_lifted_rows(rings, monkeypatch):
+    """Only narrow tables are stored: 256 numbers a row, twice, filled the disk."""
+    stored, plain = [], models.materialize
+    monkeypatch.setattr(models, "materialize", lambda df, name, **more: stored.append((name, df.columns)) or plain(df, name, **more))
+    models.fit_svm(rings, width=16, max_iter=3, folds=3)
+    assert stored == [("svm-folds", ["id", "features", "label", "fold"]), ("svm-margins", ["id", "label", "fold", "margin"])]
+
+
 def test_cross_validation(rings):
     row = cv_summary(cross_validate(Candidate("line", models.fit_logistic, {"max_iter": 5}), rings, 3)).first()
     assert row["folds"] == 3 and 0.2 < row["cv_auc_mean"] < 0.8
