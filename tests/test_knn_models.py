@@ -58,6 +58,39 @@ def test_knn_searches_few_cells_of_clusters(spark, monkeypatch):
     assert all(got[10 * i] == np.lexsort((np.arange(4000), apart[i]))[:3].tolist() for i in range(400))
 
 
+def test_knn_sends_queries_to_bundles_of_leaves(spark, monkeypatch):
+    """Vectors spread evenly reach nearly all leaves; a query travels once to a bundle, and only rows within bounds return."""
+    monkeypatch.setattr(knn, "PAIRS", 9)
+    sent = []
+    met = knn.KnnIndex._met
+
+    def counted(self, asked, *rest):
+        found = materialize(met(self, asked, *rest), "met")
+        sent.append((asked.count(), found.count()))
+        return found
+
+    monkeypatch.setattr(knn.KnnIndex, "_met", counted)
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(1200, 24)).astype(np.float32)
+    x[1100:] = x[:100]  # ties between copies
+    df = spark.createDataFrame([(i, v.tolist(), float(i % 2)) for i, v in enumerate(x)], "id long, vec array<float>, label double")
+    index = knn.KnnIndex(df, cell_rows=30, fan=8)
+    asked = df.select(F.col("id").alias("qid"), "vec")
+    found, visits = index.search(asked, 5, exclude_self=True)
+    leaves = int((index.tree.size[index.tree.leaves] > 0).sum())
+    assert leaves > 40 and visits.count() > 0.8 * 1200 * leaves  # a query reaches nearly all leaves
+    bundles, back = sent[1]
+    assert bundles <= 1200 * 4 and back < 1200 * 4 * 6
+    got = {}
+    for r in found.orderBy("qid", "dist", "id").collect():
+        got.setdefault(r["qid"], []).append(r["id"])
+    wide = x.astype(float)
+    for i in range(1200):
+        apart = np.sqrt(((wide - wide[i]) ** 2).sum(axis=1))
+        apart[i] = np.inf
+        assert got[i] == np.lexsort((np.arange(1200), apart))[:5].tolist()
+
+
 def test_knn_tree_within_its_bound(spark, monkeypatch):
     monkeypatch.setattr(knn, "TREE_BYTES", 4000)
     rng = np.random.default_rng(8)
