@@ -5,9 +5,11 @@ import pytest
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
+from tablewarden import session
 from tablewarden.operators import forest, models
 from tablewarden.operators.forest import Forest, ForestParams, fit_forest_trees
 from tablewarden.operators.models import load_model, save_model
+from tablewarden.plans.training import metrics_of
 
 
 def sample(n=600, seed=3):
@@ -117,6 +119,26 @@ def test_pure_labels_and_packing(spark, rows):
     assert (forest._unpacked(forest._packed(codes, widths), widths) == codes).all()
 
 
+def test_scores_are_computed_once(spark, rows, tmp_path):
+    """Five metrics read the scores several times; a search over all rows must not run again for each."""
+    met = spark.sparkContext.accumulator(0)
+
+    class Constant:
+        def score(self, df):
+            seen = F.udf(lambda i: met.add(1) or 0.5, "double").asNondeterministic()
+            return df.withColumn("probability", seen("id")).withColumn("prediction", F.lit(1.0))
+
+    found = metrics_of(Constant(), rows)
+    assert met.value == 600 and found["auc"] == 0.5 and found["recall"] == 1.0
+
+
+def test_parts_of_stored_vectors_are_bounded(spark, rows, monkeypatch):
+    """Their number grows with the rows, not only with the shuffle partitions."""
+    monkeypatch.setattr(session, "SPREAD_ROWS", 20)
+    counts = session.materialize(rows, "spread", spread_by="id", rows=600).groupBy(F.input_file_name()).count().collect()
+    assert len(counts) >= 25 and max(r["count"] for r in counts) < 60 and sum(r["count"] for r in counts) == 600
+
+
 def test_bagging_is_poisson():
     drawn = np.bincount(forest.Sampler(ForestParams(), np.full(82, 2)).times(7, forest._mixed(np.arange(200_000, dtype=np.uint64))), minlength=4) / 200_000
     assert drawn[:4] == pytest.approx([0.3679, 0.3679, 0.1839, 0.0613], abs=0.005)
