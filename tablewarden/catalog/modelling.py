@@ -192,7 +192,7 @@ def stream_score(spark, sf_dir):
     rows.drop("outcome").write.parquet(path)
     stream = spark.readStream.schema(rows.drop("outcome").schema).parquet(path)
     answers = score_stream(stream, SUBJECT, state, model).select(
-        "subject_id", "prediction", "probability", "confidence", "destination")
+        "subject_id", "prediction", "probability", "confidence", F.array_join("risk_factors", "; ").alias("risk_factors"), "destination")
     return r6(run_available(answers, "answers")[0])
 
 
