@@ -12,8 +12,8 @@ the leaf with the largest gain next, until the tree has its leaves. For these th
 together, so a tree takes about as many jobs as it has levels.
 
 The driver holds histograms of the open nodes, of a size set by features, bins and leaves and checked against
-``HISTOGRAM_BYTES``. Bins of zeros are not added up: they are what a node's sum leaves over, so columns of indicators
-cost little. Margins are kept with the blocks and brought up to date every ``KEEP_EVERY`` trees; between, a worker
+``HISTOGRAM_BYTES``. Bins of zeros are not added up: they are what a node's sum leaves over. Features of few bins are added
+up together (:class:`Joint`), so columns of indicators cost little. Margins are kept with the blocks and brought up to date every ``KEEP_EVERY`` trees; between, a worker
 remembers those of the blocks that it met. A lost block is read again and gets its margin from the trees. A table
 that fills one partition only (``PART_ROWS`` rows) has no sums to exchange, so there the task that holds it grows
 ``KEEP_EVERY`` trees in turn, by the same steps; larger ones are dealt over all cores. (Here, jobs of a few milliseconds
@@ -47,6 +47,9 @@ KEEP_EVERY = 10
 PART_ROWS = 1 << 19  # rows of a task, 150 bytes each with 80 features; fewer where cores would stay idle, but not for smaller tables
 _LEAST_ROWS = 1 << 13
 _REMEMBERED = 1 << 26  # bytes of margins in a worker
+JOINT = 1 << 10  # values of a joint code; fewer for tables of few rows
+_LEAST_JOINT = 1 << 5
+_CHUNK_ROWS = 1 << 17  # rows that are added up at once
 _FEW_PARTS = 16
 _SAME = 1e-9
 
@@ -119,17 +122,34 @@ class Tree:
 
 
 def bin_edges(arrays: DataFrame, d: int, bins: int) -> list[np.ndarray]:
-    """Upper bounds of the bins of each feature of ``features`` (an array column); the last one is the maximum."""
-    cells = arrays.select(F.posexplode("features").alias("f", "v")).where("not isnan(v)")
-    marks = [i / bins for i in range(1, bins + 1)]
-    guide = cells.groupBy("f").agg(
-        F.percentile_approx("v", marks, 10_000).alias("q"), F.approx_count_distinct("v").alias("n")).collect()
-    edges = {r["f"]: np.unique(r["q"]) for r in guide}
-    few = [r["f"] for r in guide if r["n"] <= 1.5 * bins]
-    if few:
-        listed = cells.where(F.col("f").isin(few)).distinct().groupBy("f").agg(F.collect_list("v").alias("v"))
-        for r in listed.where(F.size("v") <= bins).collect():
-            edges[r["f"]] = np.unique(r["v"])
+    """Upper bounds of the bins of each feature of ``features`` (an array column); the last one is the maximum.
+
+    Distinct values are counted inside the tasks, up to ``bins`` of a feature; only features with more are ranked.
+    """
+    def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met: list[np.ndarray | None] = [np.zeros(0)] * d
+        for batch in batches:
+            x = batch.column("features").flatten().to_numpy().reshape(batch.num_rows, -1)
+            for f, own in enumerate(met):
+                if own is not None:
+                    own = np.unique(np.concatenate([own, x[:, f]]))
+                    own = own[~np.isnan(own)] + 0.0  # no negative zeros
+                    met[f] = own if len(own) <= bins else None
+        yield pa.RecordBatch.from_pydict({
+            "f": pa.array(range(d), pa.int32()), "v": pa.array(met, pa.list_(pa.float64()))})
+
+    each = arrays.select("features").mapInArrow(distinct, "f int, v array<double>")
+    listed = each.groupBy("f").agg(
+        F.array_distinct(F.flatten(F.collect_list("v"))).alias("v"), F.count_if(F.col("v").isNull()).alias("over"))
+    known = {r["f"]: np.unique(r["v"]) for r in listed.where((F.col("over") == 0) & (F.size("v") <= bins)).collect()}
+    edges = {f: v for f, v in known.items() if len(v)}
+    many = [f for f in range(d) if f not in known] if known or not arrays.isEmpty() else []
+    if many:
+        marks = [i / bins for i in range(1, bins + 1)]
+        value = [F.get("features", F.lit(f)) for f in many]
+        ranked = arrays.agg(*[
+            F.percentile_approx(F.when(~F.isnan(v), v), marks, 10_000).alias(f"q{f}") for f, v in zip(many, value, strict=True)]).first()
+        edges |= {f: np.unique(ranked[f"q{f}"]) for f in many}
     return [edges.get(f, np.zeros(1)) for f in range(d)]
 
 
@@ -188,64 +208,180 @@ def _sigmoid(margin: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-margin))
 
 
+@dataclass(frozen=True)
+class Joint:
+    """Groups of features whose bins are added up together, as one code of few values.
+
+    Features that are never away from zero in the same row, such as the columns of one category, share the digits of a
+    number; several such numbers make a code of up to ``JOINT`` values. A feature's own sums are marginal sums of its group's.
+    """
+
+    values: list[int]  # per group
+    places: list[list[tuple[int, int, list[int]]]]  # per group and number: its place value, its digits, its features
+    group: np.ndarray  # of each feature, -1 for constant ones
+    codes: list[np.ndarray]  # per feature: what each bin adds to the group's code
+    bins: list[np.ndarray]  # per feature: its bin for each of the group's codes
+
+    @classmethod
+    def of(cls, widths: Sequence[int], zeros: np.ndarray, together: np.ndarray, most: int) -> Joint:
+        """``together`` counts rows in which two features are both away from zero."""
+        numbers: list[list] = []  # digits, features
+        for f in np.flatnonzero(np.asarray(widths) > 1).tolist():
+            fit = next((x for x in numbers if x[0] + widths[f] - 1 <= most // 4 and not together[f, x[1]].any()), None)
+            if fit is None:
+                numbers.append([widths[f], [f]])
+            else:
+                fit[0] += widths[f] - 1
+                fit[1].append(f)
+        groups: list[list] = []  # values, numbers
+        for digits, features in sorted(numbers, key=lambda x: -x[0]):
+            fit = next((x for x in groups if x[0] * digits <= most), None)
+            if fit is None:
+                groups.append(fit := [1, []])
+            fit[1].append((fit[0], digits, features))
+            fit[0] *= digits
+        group, codes = np.full(len(widths), -1), [np.zeros(w, np.int64) for w in widths]
+        bins = [np.zeros(1, np.int64) for _ in widths]
+        for g, (values, inside) in enumerate(groups):
+            for place, digits, features in inside:
+                digit, number = 1, np.arange(values) // place % digits
+                for f in features:
+                    group[f] = g
+                    others = np.delete(np.arange(widths[f]), zeros[f])
+                    codes[f][others] = (digit + np.arange(len(others))) * place
+                    of_number = np.full(digits, zeros[f])
+                    of_number[digit : digit + len(others)] = others
+                    bins[f] = of_number[number]
+                    digit += len(others)
+        return cls([x[0] for x in groups], [x[1] for x in groups], group, codes, bins)
+
+    def coded(self, bins: np.ndarray) -> np.ndarray:
+        """(group, row): the codes of rows."""
+        out = np.zeros((len(self.values), len(bins)), np.min_scalar_type(max(self.values, default=1) - 1))
+        for f, g in enumerate(self.group):
+            if g >= 0:
+                out[g] += self.codes[f].astype(out.dtype)[bins[:, f]]
+        return out
+
+    def leaf_of(self, tree: Tree, groups: np.ndarray, node: np.ndarray | None = None, below: int | None = None) -> np.ndarray:
+        """The leaf of each row, from a ``node`` on its way there; or the last node of its way with a number below ``below``."""
+        n, most = groups.shape[1] if len(groups) else 0, max(self.values, default=1)
+        feature, left, right = np.array(tree.feature), np.array(tree.left), np.array(tree.right)
+        inner = (feature >= 0) & (right < (below or len(feature)))
+        child = np.zeros((len(feature), most), np.min_scalar_type(len(feature)))
+        for i in np.flatnonzero(inner):
+            own = self.bins[feature[i]]
+            child[i, : len(own)] = np.where(own <= tree.code[i], left[i], right[i])
+        first, child, flat = np.where(inner, self.group[feature], 0) * n, child.ravel(), groups.ravel()
+        node = np.zeros(n, np.int64) if node is None else node
+        while len(rows := np.flatnonzero(inner[node])):
+            if len(rows) == n:
+                node = child[node * most + flat[first[node] + np.arange(n)]].astype(np.int64)
+            else:
+                at, node = node[rows], node.copy()
+                node[rows] = child[at * most + flat[first[at] + rows]]
+        return node
+
+    def apart(self, sums: Sequence[np.ndarray], into: np.ndarray, offsets: np.ndarray) -> None:
+        """Set the sums of the features' bins, but those of zeros, from the groups' (..., code)."""
+        for own, values, inside in zip(sums, self.values, self.places, strict=True):
+            for place, digits, features in inside:
+                number = own.reshape(*own.shape[:-1], values // (place * digits), digits, place).sum(axis=(-3, -1))
+                for f in features:
+                    others = np.flatnonzero(self.codes[f])
+                    into[..., offsets[f] + others] = number[..., self.codes[f][others] // place]
+
+
+def _together(codes: np.ndarray, zeros: np.ndarray) -> np.ndarray:
+    away = (codes != zeros).astype(np.float32)
+    return (away.T @ away).astype(np.float64)  # blocks have too few rows for rounding
+
+
+def _chunks(blocks: Iterable[tuple], joint: Joint, start: float) -> Iterator[tuple]:
+    """((joint codes, labels), margins) of a partition, in blocks of many rows."""
+    def joined(held: list[tuple]) -> tuple:
+        y = np.concatenate([b[-1] for b in held])
+        short = y.astype(np.int8)
+        return (np.hstack([joint.coded(b[0]) for b in held]), short if (short == y).all() else y), np.full(len(y), start)
+
+    held: list[tuple] = []
+    for block in blocks:
+        held.append(block)
+        if sum(len(b[-1]) for b in held) >= _CHUNK_ROWS:
+            yield joined(held)
+            held = []
+    if held:
+        yield joined(held)
+
+
 def _sums(
-    blocks: Iterable[tuple[tuple, np.ndarray]], tree: Tree, wanted: Sequence[int], offsets: np.ndarray, zeros: np.ndarray
+    blocks: Iterable[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]], nodes: int, wanted: Sequence[int], joint: Joint,
+    offsets: np.ndarray, zeros: np.ndarray,
 ) -> np.ndarray:
-    """([gradient, Hessian, rows], wanted node, bin) of some blocks with their margins."""
-    slot = np.full(len(tree.feature), -1)
-    slot[list(wanted)] = np.arange(len(wanted))
-    width = int(offsets[-1])
-    size = len(wanted) * width
-    total, of_node = np.zeros((3, size)), np.zeros((3, len(wanted)))
-    for (codes, cells, met, y), margin in blocks:
-        own = slot[tree.leaf_of_codes(codes)]
-        held = own >= 0
-        own, times = own[held], met[held]
-        p = _sigmoid(margin[held])
-        at = cells[np.repeat(held, met)] + np.repeat(own * width, times)
-        for k, w in enumerate((p - y[held], p * (1 - p))):
-            total[k] += np.bincount(at, np.repeat(w, times), size)
-            of_node[k] += np.bincount(own, w, len(wanted))
-        total[2] += np.bincount(at, minlength=size)
-        of_node[2] += np.bincount(own, minlength=len(wanted))
-    total = total.reshape(3, len(wanted), width)
-    total[:, :, offsets[:-1] + zeros] = of_node[:, :, None] - np.add.reduceat(total, offsets[:-1], axis=2)
-    return total
+    """([gradient, Hessian, rows], wanted node, bin) of blocks of (joint codes, leaf, gradient, Hessian) of rows."""
+    slot = np.full(nodes, -1)
+    slot[list(wanted)] = np.arange(n := len(wanted))
+    sums, of_node = [np.zeros((3, n * v)) for v in joint.values], np.zeros((3, n))
+    for groups, leaf, *slopes in blocks:
+        own = slot[leaf]
+        held = np.flatnonzero(own >= 0)
+        every = len(held) == len(own)
+        own, weights = (own, (*slopes, None)) if every else (own[held], (*(w[held] for w in slopes), None))
+        for k, w in enumerate(weights):
+            of_node[k] += np.bincount(own, w, n)
+        for total, values, code in zip(sums, joint.values, groups, strict=True):
+            at = own * values + (code if every else code[held])
+            for k, w in enumerate(weights):
+                total[k] += np.bincount(at, w, n * values)
+    out = np.zeros((3, n, int(offsets[-1])))
+    joint.apart([x.reshape(3, n, -1) for x in sums], out, offsets)
+    out[:, :, offsets[:-1] + zeros] = of_node[:, :, None] - np.add.reduceat(out, offsets[:-1], axis=2)
+    return out
+
+
+def _slopes(y: np.ndarray, margin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Gradients and Hessians."""
+    p = _sigmoid(margin)
+    return p - y, p * (1 - p)
 
 
 class _Rows:
     """The blocks with their margins, and the sums over them."""
 
     def __init__(self, binned: Binned, start: float):
-        self.offsets, self.zeros = binned.offsets, _zeros(binned.edges)
+        self.offsets, self.zeros = binned.offsets, (zeros := _zeros(binned.edges))
         parsed = binned.blocks.rdd.map(lambda r: pickle.loads(r["block"]))
-        self.kept = parsed.map(lambda b: (b, np.full(len(b[-1]), start))).persist(StorageLevel.MEMORY_AND_DISK)
+        together, rows = parsed.map(lambda b: (_together(b[0], zeros), len(b[-1]))).treeReduce(
+            lambda a, b: (a[0] + b[0], a[1] + b[1]))
+        self.joint = joint = Joint.of([len(e) for e in binned.edges], zeros, together, max(_LEAST_JOINT, min(JOINT, rows // 16)))
+        self.kept = parsed.mapPartitions(lambda blocks: _chunks(blocks, joint, start)).persist(StorageLevel.MEMORY_AND_DISK)
         self.parts = self.kept.getNumPartitions()
         self.recent: list[Tree] = []
 
     def add(self, trees: Sequence[Tree]) -> None:
         self.recent = [*self.recent, *trees]
         if len(self.recent) >= KEEP_EVERY:
-            recent, before = self.recent, self.kept
+            recent, before, joint = self.recent, self.kept, self.joint
             of = before.id()
-            self.kept = before.mapPartitions(lambda blocks: _caught_up(of, blocks, recent)).persist(StorageLevel.MEMORY_AND_DISK)
+            self.kept = before.mapPartitions(lambda blocks: _caught_up(of, blocks, recent, joint)).persist(StorageLevel.MEMORY_AND_DISK)
             self.kept.count()
             before.unpersist()
             self.recent = []
 
-    def histograms(self, tree: Tree, wanted: Sequence[int]) -> np.ndarray:
-        """(node, bin, [gradient, Hessian, rows]) of the wanted nodes; one Spark job."""
-        recent, offsets, zeros, of = self.recent, self.offsets, self.zeros, self.kept.id()
+    def histograms(self, tree: Tree, wanted: Sequence[int], sure: int) -> np.ndarray:
+        """(node, bin, [gradient, Hessian, rows]) of the wanted nodes; one Spark job. The first ``sure`` nodes will stay."""
+        recent, joint, offsets, zeros, of = self.recent, self.joint, self.offsets, self.zeros, self.kept.id()
         # A few partitions are added up by the driver, more of them by tasks first.
         depth = 1 if self.parts <= _FEW_PARTS else 2
-        total = self.kept.mapPartitions(
-            lambda blocks: [_sums(_caught_up(of, blocks, recent), tree, wanted, offsets, zeros)]).treeReduce(np.add, depth)
+        total = self.kept.mapPartitions(lambda blocks: [_sums((
+            (groups, joint.leaf_of(tree, groups), *_slopes(y, margin)) for (groups, y), margin in _caught_up(of, blocks, recent, joint)
+        ), len(tree.feature), wanted, joint, offsets, zeros)]).treeReduce(np.add, depth)
         return total.transpose(1, 2, 0)
 
     def grown_in_place(self, grower: Grower, rounds: int) -> list[Tree]:
         """The next trees, where all blocks are in one partition: no sums have to leave it between them."""
-        offsets, zeros = self.offsets, self.zeros
-        return self.kept.mapPartitions(lambda blocks: [_Here(list(blocks), offsets, zeros).grown(grower, rounds)]).collect()[0]
+        joint, offsets, zeros = self.joint, self.offsets, self.zeros
+        return self.kept.mapPartitions(lambda blocks: [_Here(list(blocks), joint, offsets, zeros).grown(grower, rounds)]).collect()[0]
 
     def done(self) -> None:
         self.kept.unpersist()
@@ -254,23 +390,32 @@ class _Rows:
 class _Here:
     """The blocks of a task, for trees that need no others."""
 
-    def __init__(self, blocks: list[tuple], offsets: np.ndarray, zeros: np.ndarray):
-        self.blocks, self.offsets, self.zeros = blocks, offsets, zeros
+    def __init__(self, blocks: list[tuple], joint: Joint, offsets: np.ndarray, zeros: np.ndarray):
+        self.blocks, self.joint, self.offsets, self.zeros = blocks, joint, offsets, zeros
 
-    def histograms(self, tree: Tree, wanted: Sequence[int]) -> np.ndarray:
-        return _sums(self.blocks, tree, wanted, self.offsets, self.zeros).transpose(1, 2, 0)
+    def histograms(self, tree: Tree, wanted: Sequence[int], sure: int) -> np.ndarray:
+        # Rows go on from the node where they were left, among those that stay.
+        leaf_of = self.joint.leaf_of
+        self.node = [leaf_of(tree, b[0], at, sure) for (b, _), at in zip(self.blocks, self.node, strict=True)]
+        leaves = [leaf_of(tree, b[0], at) for (b, _), at in zip(self.blocks, self.node, strict=True)]
+        blocks = ((b[0], leaf, *s) for (b, _), leaf, s in zip(self.blocks, leaves, self.slopes, strict=True))
+        return _sums(blocks, len(tree.feature), wanted, self.joint, self.offsets, self.zeros).transpose(1, 2, 0)
 
     def grown(self, grower: Grower, rounds: int) -> list[Tree]:
         trees = []
         for _ in range(rounds):
-            trees.append(grower.grow(self))
-            self.blocks = [(b, _margin(b, margin, trees[-1:])) for b, margin in self.blocks]
+            self.node = [np.zeros(len(margin), np.int64) for _, margin in self.blocks]
+            self.slopes = [_slopes(b[1], margin) for b, margin in self.blocks]
+            trees.append(tree := grower.grow(self))
+            value = np.array(tree.value)
+            self.blocks = [
+                (b, margin + value[self.joint.leaf_of(tree, b[0], at)]) for (b, margin), at in zip(self.blocks, self.node, strict=True)]
         return trees
 
 
-def _margin(block: tuple, margin: np.ndarray, trees: Sequence[Tree]) -> np.ndarray:
+def _margin(block: tuple, margin: np.ndarray, trees: Sequence[Tree], joint: Joint | None) -> np.ndarray:
     for tree in trees:
-        margin = margin + np.array(tree.value)[tree.leaf_of_codes(block[0])]
+        margin = margin + np.array(tree.value)[joint.leaf_of(tree, block[0]) if joint else tree.leaf_of_codes(block[0])]
     return margin
 
 
@@ -278,12 +423,15 @@ def _margin(block: tuple, margin: np.ndarray, trees: Sequence[Tree]) -> np.ndarr
 _MET: OrderedDict[tuple, tuple[int, np.ndarray]] = OrderedDict()
 
 
-def _caught_up(of: int, blocks: Iterable[tuple], recent: Sequence[Tree]) -> Iterator[tuple]:
-    """The blocks of a partition of table ``of``, their margins brought up to date with the recent trees."""
+def _caught_up(of: int, blocks: Iterable[tuple], recent: Sequence[Tree], joint: Joint | None = None) -> Iterator[tuple]:
+    """The blocks of a partition of table ``of``, their margins brought up to date with the recent trees.
+
+    With ``joint`` blocks hold joint codes, else bins.
+    """
     part = TaskContext.get().partitionId()
     for n, (block, margin) in enumerate(blocks):
         done, margin = _MET.pop((of, part, n), (0, margin))
-        margin = _margin(block, margin, recent[done:])
+        margin = _margin(block, margin, recent[done:], joint)
         if recent:
             _MET[of, part, n] = (len(recent), margin)
             while sum(m.nbytes for _, m in _MET.values()) > _REMEMBERED:
@@ -355,14 +503,16 @@ class Grower:
         for leaf in leaves:
             children = self._apply(trial, leaf, leaf.node)
             wanted.append(children[int(leaf.split[3][2] * 2 > leaf.sums[2])])  # the smaller one
-        for leaf, node, hist in zip(leaves, wanted, rows.histograms(trial, wanted), strict=True):
+        # Level by level the tree takes these very splits, in this order.
+        sure = len((trial if self.params.leaves is None else tree).feature)
+        for leaf, node, hist in zip(leaves, wanted, rows.histograms(trial, wanted, sure), strict=True):
             other = leaf.hist - hist
             leaf.below = (hist, other) if node == trial.left[leaf.node] else (other, hist)
 
     def grow(self, rows: _Rows | _Here) -> Tree:
         """One tree for the margins of ``rows``."""
         p, tree = self.params, Tree()
-        hist = rows.histograms(tree, [0])[0]
+        hist = rows.histograms(tree, [0], 1)[0]
         sums = hist[: self.offsets[1]].sum(axis=0)
         self._value(tree, 0, sums)
         root = self._leaf(0, 0, sums, hist)
